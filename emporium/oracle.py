@@ -171,3 +171,65 @@ def seller_monthly() -> str:
     # The view's CTEs extend the shared WITH list (hence the leading comma).
     parts = [f"{name} AS ({sql.strip()})" for name, sql in {**RAW, **CLEAN}.items()]
     return "WITH " + ",\n".join(parts) + SELLER_MONTHLY
+
+
+# ---------------------------------------------------------------------------
+# Final statements per registered query (each is prefixed with all CTEs).
+# ---------------------------------------------------------------------------
+def _union_all(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def null_keys(checks: dict[str, list[str]]) -> str:
+    return _union_all([f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                       f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {t}"
+                       for t, cols in checks.items() for c in cols])
+
+
+def range_checks(rules) -> str:
+    return _union_all([f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{n}' AS check_name, "
+                       f"COUNT(*) FILTER (WHERE {p}) AS bad_count FROM {t}" for t, c, n, p in rules])
+
+
+def row_counts(tables: list[str]) -> str:
+    return _union_all([f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in tables])
+
+
+def pk_dups(pks: dict[str, list[str]]) -> str:
+    def key(cols):
+        return "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols) + ")"
+    return _union_all([f"SELECT '{t}' AS table_name, {key(cols)} AS pk_value, COUNT(*) AS duplicate_count "
+                       f"FROM {t} GROUP BY {', '.join(cols)} HAVING COUNT(*) > 1" for t, cols in pks.items()])
+
+
+def orphans(source: str) -> str:
+    return _union_all([
+        f"SELECT '{c}' AS fk_column, s.{c} AS fk_value FROM {source} s "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {d} x WHERE x.{c} = s.{c})"
+        for c, d in [("order_id", "dim_orders"), ("product_id", "dim_products"), ("seller_id", "dim_sellers")]])
+
+
+GMV = "coalesce(f.price, 0) + coalesce(f.freight_value, 0)"
+ORDER_TOTALS = f"(SELECT f.order_id, SUM({GMV}) AS gmv, COUNT(*) AS items FROM fact_order_items f GROUP BY f.order_id)"
+
+
+def by_order_attribute(expr: str, name: str) -> str:
+    return f"""
+SELECT {name}, gmv, items, total_orders, CAST(gmv AS DOUBLE) / NULLIF(total_orders, 0) AS avg_order_value FROM (
+  SELECT {expr} AS {name}, CAST(SUM(t.gmv) AS DECIMAL(38,2)) AS gmv, CAST(coalesce(SUM(t.items), 0) AS BIGINT) AS items,
+    COUNT(DISTINCT o.order_id) AS total_orders
+  FROM dim_orders o LEFT JOIN {ORDER_TOTALS} t ON t.order_id = o.order_id
+  GROUP BY 1)"""
+
+
+def describe(table: str, cols: list[str]) -> str:
+    return _union_all([
+        f"SELECT '{c}' AS column_name, COUNT({c}) AS count, AVG({c}) AS mean, round(STDDEV_SAMP({c}), 9) AS std, "
+        f"CAST(MIN({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50, "
+        f"quantile_cont({c}, 0.75) AS p75, CAST(MAX({c}) AS DOUBLE) AS max FROM {table}" for c in cols])
+
+
+DELAY_BUCKET = """CASE WHEN dd IS NULL THEN 'Not Delivered' WHEN dd <= -7 THEN 'Very Early' WHEN dd <= -1 THEN 'Early'
+  WHEN dd = 0 THEN 'On Time' WHEN dd <= 7 THEN 'Late' ELSE 'Very Late' END"""
+
+D_E = "order_delivered_customer_date IS NOT NULL AND order_estimated_delivery_date IS NOT NULL AND order_delivered_customer_date <= order_estimated_delivery_date"

@@ -12,6 +12,7 @@ defaults follow what the source effectively loads where that is defensible.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -113,8 +114,8 @@ def _renamed_products(raw: DataFrame) -> DataFrame:
                                    "product_description_lenght": "product_description_length"})
 
 
-def clean_products(raw: DataFrame, raw_translation: DataFrame,
-                   opts: CleanOptions = CleanOptions()) -> DataFrame:
+def filtered_products(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """Products with a category and positive weight and dimensions (before translation)."""
     p = _renamed_products(raw).where(F.col("product_category_name").isNotNull())
     p = p.withColumns({c: F.col(c).try_cast("double") for c in PRODUCT_MEASURES})
     if opts.impute == "median":
@@ -122,9 +123,14 @@ def clean_products(raw: DataFrame, raw_translation: DataFrame,
         p = fill_with_median(p, PRODUCT_MEASURES)
     elif opts.impute is not None:
         raise ValueError(f"unknown impute mode {opts.impute!r}")
-    p = p.where(F.col("product_weight_g") > 0).where(
+    return p.where(F.col("product_weight_g") > 0).where(
         (F.col("product_length_cm") > 0) & (F.col("product_height_cm") > 0)
         & (F.col("product_width_cm") > 0))
+
+
+def clean_products(raw: DataFrame, raw_translation: DataFrame,
+                   opts: CleanOptions = CleanOptions()) -> DataFrame:
+    p = filtered_products(raw, opts)
     # Left join keeps every product; the translation side is one row per category
     # (a few hundred at most) and AQE broadcasts it from its measured size.
     joined = p.join(category_translation(raw_translation), "product_category_name", "left")
@@ -268,31 +274,57 @@ def clean_order_items(raw: DataFrame, dim_orders: DataFrame, dim_products: DataF
 # ---------------------------------------------------------------------------
 # E9 driver
 # ---------------------------------------------------------------------------
-def clean_all(raw: dict[str, DataFrame | None], opts: CleanOptions = CleanOptions()) -> dict[str, DataFrame]:
+class LazyTables(Mapping):
+    """Table name -> DataFrame, each built on first access.
+
+    Building a DataFrame runs analysis; queries that need two tables should not
+    pay for the other six (three of which carry large text-normalisation tables).
+    """
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def clean_all(raw: dict[str, DataFrame | None], opts: CleanOptions = CleanOptions()) -> LazyTables:
     """Build every warehouse table whose sources are present; warn and skip the rest."""
-    out: dict[str, DataFrame] = {}
+    b: dict[str, Callable[[], DataFrame]] = {}
 
     def have(*names: str) -> bool:
+        if hasattr(raw, "available"):
+            return all(raw.available(n) for n in names)
         return all(raw.get(n) is not None for n in names)
 
     if have("customers"):
-        out["dim_customers"] = clean_customers(raw["customers"], opts)
+        b["dim_customers"] = lambda: clean_customers(raw["customers"], opts)
     if have("products", "product_category_translation"):
-        out["dim_products"] = clean_products(raw["products"], raw["product_category_translation"], opts)
+        b["dim_products"] = lambda: clean_products(raw["products"], raw["product_category_translation"], opts)
     if have("sellers"):
-        out["dim_sellers"] = clean_sellers(raw["sellers"], opts)
+        b["dim_sellers"] = lambda: clean_sellers(raw["sellers"], opts)
     if have("orders"):
-        out["dim_orders"] = clean_orders(raw["orders"], raw.get("order_payments"), opts)
+        b["dim_orders"] = lambda: clean_orders(raw["orders"], raw.get("order_payments"), opts)
     if have("order_payments"):
-        out["dim_payments"] = clean_payments(raw["order_payments"], opts)
+        b["dim_payments"] = lambda: clean_payments(raw["order_payments"], opts)
     if have("order_reviews"):
-        out["dim_reviews"] = clean_reviews(raw["order_reviews"], opts)
+        b["dim_reviews"] = lambda: clean_reviews(raw["order_reviews"], opts)
     if have("geolocation"):
-        out["dim_geolocation"] = clean_geolocation(raw["geolocation"], opts)
-    if have("order_items") and all(k in out for k in ("dim_orders", "dim_products", "dim_sellers")):
-        out["fact_order_items"] = clean_order_items(raw["order_items"], out["dim_orders"],
-                                                    out["dim_products"], out["dim_sellers"])
+        b["dim_geolocation"] = lambda: clean_geolocation(raw["geolocation"], opts)
+    tables = LazyTables(b)
+    if have("order_items") and all(k in b for k in ("dim_orders", "dim_products", "dim_sellers")):
+        b["fact_order_items"] = lambda: clean_order_items(
+            raw["order_items"], tables["dim_orders"], tables["dim_products"], tables["dim_sellers"])
     for t in TABLES:
-        if t not in out:
+        if t not in b:
             log.warning("source data for %s not available; table skipped", t)
-    return out
+    return tables

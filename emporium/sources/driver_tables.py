@@ -25,8 +25,16 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 FIXED_SIZE_TABLES = ("nation", "region")
 
 
+_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one driver table (the unresolved scan is reused within a session)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READ_CACHE:
+        _READ_CACHE[key] = spark.read.parquet(path)
+    return _READ_CACHE[key]
 
 
 def _days(n) -> Column:
@@ -182,6 +190,27 @@ BUILDERS = {
 }
 
 
+class _LazySources(dict):
+    """Builds a source DataFrame only when a pipeline asks for it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._dir = spark, sf_dir
+
+    def get(self, name, default=None):
+        if name not in BUILDERS:
+            return default
+        return self[name]
+
+    def available(self, name) -> bool:
+        return name in BUILDERS
+
+    def __missing__(self, name):
+        df = BUILDERS[name](self._spark, self._dir)
+        self[name] = df
+        return df
+
+
 def marketplace_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All nine sources, lazily defined over the driver tables of ``sf_dir``."""
-    return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+    return _LazySources(spark, sf_dir)
