@@ -14,6 +14,8 @@ to the warehouse schema with ``try_cast``.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -190,27 +192,28 @@ BUILDERS = {
 }
 
 
-class _LazySources(dict):
+class _LazySources(Mapping):
     """Builds a source DataFrame only when a pipeline asks for it."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        super().__init__()
         self._spark, self._dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
 
-    def get(self, name, default=None):
-        if name not in BUILDERS:
-            return default
-        return self[name]
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = BUILDERS[name](self._spark, self._dir)
+        return self._built[name]
 
-    def available(self, name) -> bool:
-        return name in BUILDERS
+    def __iter__(self):
+        return iter(BUILDERS)
 
-    def __missing__(self, name):
-        df = BUILDERS[name](self._spark, self._dir)
-        self[name] = df
-        return df
+    def __len__(self) -> int:
+        return len(BUILDERS)
+
+    def available(self, name: str) -> bool:
+        return name in BUILDERS
 
 
-def marketplace_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def marketplace_sources(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """All nine sources, lazily defined over the driver tables of ``sf_dir``."""
     return _LazySources(spark, sf_dir)
