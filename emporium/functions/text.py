@@ -130,11 +130,28 @@ def strip_accents_legacy(c: ColumnOrName) -> Column:
 
 
 def normalize_place(c: ColumnOrName, legacy_nan: bool = False) -> Column:
-    """lower -> strip whitespace -> strip accents, the city normalisation chain."""
+    """lower -> strip whitespace -> strip accents, the city normalisation chain.
+
+    As one expression; :func:`with_normalized_place` is the cheaper DataFrame form.
+    """
     base = strip_whitespace(lower(c))
     return strip_accents_legacy(base) if legacy_nan else strip_accents(base)
 
 
+def with_normalized_place(df, src: str, dst: str, legacy_nan: bool = False):
+    """Add ``dst`` = normalised ``src``, one projection per step.
+
+    ``strip_accents`` reads its input three times (guard, split, pass-through) and
+    the city rules read theirs twice per rule; separate projections keep each step
+    evaluated once per row (Catalyst does not inline a non-trivial expression into
+    several references).
+    """
+    tmp = f"__{dst}_base"
+    strip = strip_accents_legacy if legacy_nan else strip_accents
+    return (df.withColumn(tmp, strip_whitespace(lower(src)))
+            .withColumn(dst, strip(F.col(tmp))).drop(tmp))
+
+
 # Case-insensitive substring -> replacement for the whole city
 # value, applied in this order (the first rule that matches wins).
 CITY_RULES: tuple[tuple[str, str], ...] = (

@@ -145,17 +145,17 @@ def clean_products(raw: DataFrame, raw_translation: DataFrame,
 # ---------------------------------------------------------------------------
 # E3 sellers
 # ---------------------------------------------------------------------------
-def normalized_seller_city(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> Column:
-    """Seller city after lower/strip/accent removal, before the spelling rules."""
-    return TX.normalize_place("seller_city", opts.legacy_nan)
+def normalized_sellers(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """Sellers with ``seller_city`` lower-cased, stripped and accent-free (before the rules)."""
+    return TX.with_normalized_place(raw, "seller_city", "seller_city", opts.legacy_nan)
 
 
 def clean_sellers(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
-    city = TX.apply_contains_rules(normalized_seller_city(raw, opts))
-    return raw.select(_s("seller_id").alias("seller_id"),
-                      _zip("seller_zip_code_prefix", opts.legacy_zip).alias("seller_zip_code_prefix"),
-                      city.alias("seller_city"),
-                      _s("seller_state").alias("seller_state"))
+    n = normalized_sellers(raw, opts)
+    return n.select(_s("seller_id").alias("seller_id"),
+                    _zip("seller_zip_code_prefix", opts.legacy_zip).alias("seller_zip_code_prefix"),
+                    TX.apply_contains_rules("seller_city").alias("seller_city"),
+                    _s("seller_state").alias("seller_state"))
 
 
 # ---------------------------------------------------------------------------
@@ -235,11 +235,12 @@ def clean_reviews(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFr
 # E7 geolocation
 # ---------------------------------------------------------------------------
 def clean_geolocation(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    raw = TX.with_normalized_place(raw, "geolocation_city", "geolocation_city", opts.legacy_nan)
     return raw.select(
         _zip("geolocation_zip_code_prefix", opts.legacy_zip).alias("geolocation_zip_code_prefix"),
         F.col("geolocation_lat").try_cast("double").alias("geolocation_lat"),
         F.col("geolocation_lng").try_cast("double").alias("geolocation_lng"),
-        TX.normalize_place("geolocation_city", opts.legacy_nan).alias("geolocation_city"),
+        F.col("geolocation_city"),
         _s("geolocation_state").alias("geolocation_state"))
 
 

@@ -160,8 +160,7 @@ for _name, _table, _col in [("value_counts_order_status", "dim_orders", "order_s
 
 
 def _normalized_sellers(spark, sf_dir):
-    raw = marketplace_sources(spark, sf_dir)["sellers"]
-    return raw.select(C.normalized_seller_city(raw).alias("seller_city"))
+    return C.normalized_sellers(marketplace_sources(spark, sf_dir)["sellers"]).select("seller_city")
 
 
 @register("single_entry_cities", O.with_ctes(

@@ -57,23 +57,33 @@ def create_tables(spark: SparkSession, db: str, buckets: int | None = None) -> N
 def conform(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
     """Cast to the target schema. Returns (rows that convert, rejected rows with a reason).
 
-    A value that is ``''`` or ``'NULL'`` loads as null; a non-null value whose
-    cast fails rejects the row. One pass computes both outputs' columns.
+    A text value ``''`` or ``'NULL'`` loads as null; a non-null value whose cast
+    fails rejects the row. Columns that already have their target type pass
+    through untouched, so conforming a cleaned frame costs nothing; the raw-row
+    JSON is only built on the reject path.
     """
-    casted, bad_flags = [], []
+    in_types = dict(df.dtypes)
+    casted, ok, bad_flags = [], [], []
     for f in spec.schema.fields:
         raw = F.col(f.name)
-        as_text = raw.cast("string")
-        nulled = F.when(as_text.isin(*NULL_TOKENS), F.lit(None)).otherwise(raw)
+        src_type = in_types.get(f.name)
+        nulled = raw
+        if src_type == "string":
+            nulled = F.when(raw.isin(*NULL_TOKENS), F.lit(None)).otherwise(raw)
+        if src_type == f.dataType.simpleString():
+            casted.append(nulled.alias(f.name))   # same type: only the NULL tokens change
+            continue
         typed = nulled.try_cast(f.dataType)
         casted.append(typed.alias(f.name))
-        bad_flags.append(F.when(nulled.isNotNull() & typed.isNull(), F.lit(f.name)))
-    reason = F.concat_ws(",", *bad_flags)
-    tagged = df.select(*casted, reason.alias("_reject_columns"),
-                       F.to_json(F.struct(*[F.col(c).cast("string") for c in spec.columns])).alias("_raw"))
-    good = tagged.where(F.col("_reject_columns") == "").select(*spec.columns)
-    rejects = tagged.where(F.col("_reject_columns") != "").select(
-        F.lit(spec.name).alias("table_name"), F.col("_reject_columns").alias("columns"), "_raw")
+        failed = nulled.isNotNull() & typed.isNull()
+        ok.append(~failed)
+        bad_flags.append(F.when(failed, F.lit(f.name)))
+    all_ok = reduce(lambda a, b: a & b, ok) if ok else F.lit(True)
+    good = df.where(all_ok).select(*casted)
+    rejects = df.where(~all_ok).select(
+        F.lit(spec.name).alias("table_name"),
+        F.concat_ws(",", *bad_flags).alias("columns") if bad_flags else F.lit("").alias("columns"),
+        F.to_json(F.struct(*[F.col(c).cast("string") for c in spec.columns])).alias("_raw"))
     return good, rejects
 
 
@@ -96,7 +106,12 @@ def load_tables(spark: SparkSession, tables: dict[str, DataFrame], db: str,
     for name in load_order():
         if name not in tables:
             continue
-        good, bad = conform(tables[name], TABLES[name])
+        spec = TABLES[name]
+        good, bad = conform(tables[name], spec)
+        if spec.bucket_by:
+            # one task per bucket: each bucket is written as one file, not one per task
+            good = good.repartition(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                    spec.bucket_by)
         good.write.insertInto(f"{db}.{name}", overwrite=True)
         loaded.append(name)
         rejects.append(bad)
