@@ -38,14 +38,7 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    m = re.search(r"sf([0-9.]+)", sf_dir)
-    sf = float(m.group(1)) if m else None
-    wh_dir = tempfile.mkdtemp(prefix="emporium-bench-wh-")
-    spark = build_session(f"local[{cpus}]", "emporium-bench", shuffle_partitions=cpus * 2,
-                          extra={"spark.sql.warehouse.dir": wh_dir, "spark.driver.memory": "16g"})
+def suite(spark, sf_dir: str, db: str) -> dict[str, float]:
     times: dict[str, float] = {}
 
     def timed(name, fn):
@@ -53,10 +46,6 @@ def main() -> None:
         fn()
         times[name] = round(time.time() - t0, 3)
 
-    # warm-up (JIT, first-job costs) on the smallest tables, not timed
-    run(QUERIES["kpi_exec"](spark, "/root/testdata/sf0.001"))
-
-    db = "bench_wh"
     timed("load_warehouse", lambda: load_warehouse(spark, marketplace_sources(spark, sf_dir), db))
     WH.create_views(spark, db)
     t = WH.warehouse_tables(spark, db)
@@ -79,6 +68,21 @@ def main() -> None:
     timed("e2e_seller_monthly", lambda: run(QUERIES["v_seller_monthly"](spark, sf_dir)))
     timed("e2e_fact_order_items", lambda: run(QUERIES["fact_order_items"](spark, sf_dir)))
     timed("e2e_dim_reviews", lambda: run(QUERIES["dim_reviews"](spark, sf_dir)))
+    return times
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    m = re.search(r"sf([0-9.]+)", sf_dir)
+    sf = float(m.group(1)) if m else None
+    wh_dir = tempfile.mkdtemp(prefix="emporium-bench-wh-")
+    spark = build_session(f"local[{cpus}]", "emporium-bench", shuffle_partitions=cpus * 2,
+                          extra={"spark.sql.warehouse.dir": wh_dir, "spark.driver.memory": "16g"})
+    # One untimed pass over the smallest tables first: JIT and code generation are
+    # paid once per JVM, so the timed pass measures steady-state throughput.
+    suite(spark, "/root/testdata/sf0.001", "warm_wh")
+    times = suite(spark, sf_dir, "bench_wh")
 
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec", "queries": times, "sf": sf}))

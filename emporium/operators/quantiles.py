@@ -9,9 +9,10 @@ the ranking is distributed instead:
 2. range-partition and sort those distinct values, then ``checkpoint()`` them to
    the shared checkpoint folder (lineage cut; both later uses read the same
    partitioning);
-3. per partition, a running count (Arrow batches, ``mapInPandas``); per
-   partition totals are a tiny table (one row per partition and column) whose
-   prefix sums give every partition its global offset;
+3. per partition, a running count (a window over the partition id -- the
+   partitions are balanced by the range split); per-partition totals are a tiny
+   table (one row per partition and column) whose prefix sums give every
+   partition its global offset;
 4. the rows whose rank interval contains a wanted position are picked by a join
    against the per-column target table (one row per requested probability).
 """
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,21 +35,6 @@ def _value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c")))
 
 
-def _running_count(batches):
-    run: dict[tuple[int, str], int] = {}
-    for pdf in batches:
-        if pdf.empty:
-            yield pdf.assign(cum=pd.Series(dtype="int64"))
-            continue
-        out = []
-        for (pid, name), g in pdf.groupby(["pid", "column_name"], sort=False):
-            base = run.get((pid, name), 0)
-            cum = g["c"].cumsum() + base
-            run[(pid, name)] = int(cum.iloc[-1])
-            out.append(g.assign(cum=cum))
-        yield pd.concat(out)
-
-
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     partitions: int | None = None) -> DataFrame:
     """Rows ``(column_name, prob, value)``; nulls and NaN are skipped, as in pandas.
@@ -63,9 +48,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ranged = (vc.repartitionByRange(n_parts, "column_name", "v")
               .sortWithinPartitions("column_name", "v")
               .checkpoint(eager=True))
+    run = (Window.partitionBy("pid", "column_name").orderBy("v")
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = (ranged.withColumn("pid", F.spark_partition_id())
-             .mapInPandas(_running_count,
-                          "column_name string, v double, c long, pid int, cum long"))
+             .withColumn("cum", F.sum("c").over(run)))
     part_tot = local.groupBy("column_name", "pid").agg(F.max("cum").alias("tot"))
     w = Window.partitionBy("column_name").orderBy("pid")
     offsets = (part_tot  # one row per (column, partition): bounded by columns x partitions

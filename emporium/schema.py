@@ -131,3 +131,19 @@ def load_order(specs: dict[str, TableSpec] | None = None) -> list[str]:
         if not progressed:
             raise ValueError(f"foreign-key cycle among {pending}")
     return done
+
+
+def load_levels(specs: dict[str, TableSpec] | None = None) -> list[list[str]]:
+    """Foreign-key levels: every table's referenced tables sit in an earlier level.
+
+    Tables of one level do not reference each other and can be written concurrently.
+    """
+    specs = specs or TABLES
+    level: dict[str, int] = {}
+    for name in load_order(specs):
+        deps = [d for d in specs[name].fks.values() if d in specs and d != name]
+        level[name] = 1 + max((level[d] for d in deps), default=-1)
+    out: list[list[str]] = [[] for _ in range(max(level.values(), default=-1) + 1)]
+    for name in load_order(specs):
+        out[level[name]].append(name)
+    return out

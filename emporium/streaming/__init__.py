@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The source project is a batch ELT: its "live connection" is a dashboard querying
+the warehouse tables, with no watermarks, windows over event time or state. A
+dashboard on top of this library queries the loaded catalog tables and views
+(``spark.table('<db>.vw_seller_monthly')``) the same way.
+"""
