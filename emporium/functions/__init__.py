@@ -1,6 +1,6 @@
 """Column expressions (JVM-side built-ins only)."""
 from .numeric import money_sum, round_half_up_long, safe_divide, to_number_or_zero  # noqa: F401
-from .temporal import (delay_bucket, delay_days, format_timestamp, month_start,  # noqa: F401
-                       on_time_flag, parse_timestamp, weekday)
+from .temporal import (day_name, delay_bucket, delay_days, format_timestamp, month_name,  # noqa: F401
+                       month_start, on_time_flag, parse_timestamp, weekday)
 from .text import (apply_contains_rules, lower, normalize_place, replace_values,  # noqa: F401
                    strip_accents, strip_accents_legacy, strip_whitespace)

@@ -28,6 +28,16 @@ def month_start(c: ColumnOrName) -> Column:
     return F.trunc(_col(c).cast("date"), "month").cast("timestamp_ntz")
 
 
+def month_name(c: ColumnOrName) -> Column:
+    """'January' ... 'December'."""
+    return F.date_format(_col(c), "MMMM")
+
+
+def day_name(c: ColumnOrName) -> Column:
+    """'Monday' ... 'Sunday'."""
+    return F.date_format(_col(c), "EEEE")
+
+
 def weekday(c: ColumnOrName) -> Column:
     """0 = Monday ... 6 = Sunday."""
     return F.weekday(_col(c).cast("date"))

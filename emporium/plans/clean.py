@@ -189,6 +189,12 @@ def undefined_payment_orders(raw_payments: DataFrame) -> DataFrame:
     return raw_payments.where(t == UNDEFINED_PAYMENT).select(_s("order_id").alias("order_id")).distinct()
 
 
+def undefined_payment_order_count(raw_orders: DataFrame, raw_payments: DataFrame) -> DataFrame:
+    """How many orders carry an undefined payment (a semi join, then a count)."""
+    return (parse_orders(raw_orders).join(undefined_payment_orders(raw_payments), "order_id", "left_semi")
+            .agg(F.count(F.lit(1)).alias("undefined_payment_orders")))
+
+
 def clean_orders(raw_orders: DataFrame, raw_payments: DataFrame | None,
                  opts: CleanOptions = CleanOptions()) -> DataFrame:
     o = parse_orders(raw_orders)

@@ -99,7 +99,9 @@ def _gmv_by_order_attribute(t: Tables, attrs: dict[str, Column]) -> DataFrame:
 
 
 def gmv_by_month(t: Tables) -> DataFrame:
-    return _gmv_by_order_attribute(t, {"month": TM.month_start("order_purchase_timestamp")})
+    out = _gmv_by_order_attribute(t, {"month": TM.month_start("order_purchase_timestamp")})
+    return out.select("month", TM.month_name("month").alias("month_name"),
+                      *[c for c in out.columns if c != "month"])
 
 
 def gmv_by_year(t: Tables) -> DataFrame:
@@ -139,6 +141,26 @@ def gmv_by_state(t: Tables) -> DataFrame:
         F.rank().over(Window.orderBy(F.desc_nulls_last("gmv"))).alias("gmv_rank"))
 
 
+def zip_locations(geolocation: DataFrame) -> DataFrame:
+    """One row per zip prefix: mean coordinates and the number of geolocation rows.
+
+    Geolocation holds many rows per zip; reducing it first keeps the customer join
+    one-to-one (no fan-out) and the reduction has map-side partial aggregation.
+    """
+    return (geolocation.groupBy("geolocation_zip_code_prefix")
+            .agg(F.avg("geolocation_lat").alias("lat"), F.avg("geolocation_lng").alias("lng"),
+                 F.count(F.lit(1)).alias("geolocation_rows")))
+
+
+def customer_locations(t: Tables) -> DataFrame:
+    """Customers with the mean coordinates of their zip prefix (null when unknown)."""
+    z = zip_locations(t["dim_geolocation"])
+    c = t["dim_customers"]
+    return (c.join(z, c.customer_zip_code_prefix == z.geolocation_zip_code_prefix, "left")
+            .select("customer_id", "customer_zip_code_prefix", "customer_city", "customer_state",
+                    "lat", "lng", "geolocation_rows"))
+
+
 # ---------------------------------------------------------------------------
 # M13-M15 orders and payments
 # ---------------------------------------------------------------------------

@@ -228,8 +228,9 @@ FROM (SELECT CAST(SUM({O.GMV}) AS DECIMAL(38,2)) AS gmv, COUNT(DISTINCT seller_i
      (SELECT COUNT(DISTINCT order_id) AS total_orders, COUNT(DISTINCT customer_id) AS active_customers FROM dim_orders) o
 """))(_measure(M.kpi_exec))
 
-register("gmv_by_month", O.with_ctes(O.by_order_attribute(
-    "CAST(date_trunc('month', o.order_purchase_timestamp) AS TIMESTAMP)", "month")))(_measure(M.gmv_by_month))
+register("gmv_by_month", O.with_ctes(f"""
+SELECT month, monthname(month) AS month_name, gmv, items, total_orders, avg_order_value FROM ({O.by_order_attribute(
+    "CAST(date_trunc('month', o.order_purchase_timestamp) AS TIMESTAMP)", "month")})"""))(_measure(M.gmv_by_month))
 register("gmv_by_year", O.with_ctes(O.by_order_attribute(
     "CAST(year(o.order_purchase_timestamp) AS INTEGER)", "year")))(_measure(M.gmv_by_year))
 register("gmv_by_weekday", O.with_ctes(f"""
@@ -352,3 +353,27 @@ FROM om LEFT JOIN fm ON om.customer_state IS NOT DISTINCT FROM fm.customer_state
   AND om.order_status IS NOT DISTINCT FROM fm.order_status"""))
 def q_measures_by_state_status(spark, sf_dir):
     return M.measure_frame(driver_warehouse(spark, sf_dir), by=["customer_state", "order_status"])
+
+
+register("customer_locations", O.with_ctes("""
+SELECT c.customer_id, c.customer_zip_code_prefix, c.customer_city, c.customer_state, z.lat, z.lng, z.geolocation_rows
+FROM dim_customers c LEFT JOIN (
+  SELECT geolocation_zip_code_prefix, AVG(geolocation_lat) AS lat, AVG(geolocation_lng) AS lng,
+    COUNT(*) AS geolocation_rows
+  FROM dim_geolocation GROUP BY geolocation_zip_code_prefix) z
+ON z.geolocation_zip_code_prefix = c.customer_zip_code_prefix"""))(_measure(M.customer_locations))
+
+
+@register("undefined_payment_orders", O.with_ctes("""
+SELECT COUNT(*) AS undefined_payment_orders FROM raw_orders
+WHERE order_id IN (SELECT order_id FROM undefined_orders)"""))
+def q_undefined_payment_orders(spark, sf_dir):
+    src = marketplace_sources(spark, sf_dir)
+    return C.undefined_payment_order_count(src["orders"], src["order_payments"])
+
+
+@register("distinct_categories", O.with_ctes("""
+SELECT DISTINCT product_category_name AS value FROM dim_products"""))
+def q_distinct_categories(spark, sf_dir):
+    products = driver_warehouse(spark, sf_dir)["dim_products"]
+    return P.distinct_values(products, "product_category_name").withColumnRenamed("product_category_name", "value")
