@@ -252,19 +252,25 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column | str]) -> DataFrame:
 
 
 def seller_scorecard(t: Tables) -> DataFrame:
+    """Per seller: orders, items, GMV, item-weighted on-time rate and review average, GMV rank.
+
+    One pass: items per (order, seller) meet per-order on-time counts and
+    per-order review sums on ``order_id``, then one aggregation by seller.
+    """
+    from ..plans.views import review_sums_per_order
     fact, orders = t["fact_order_items"], t["dim_orders"]
     per_os = items_per_order_seller(fact)
     o = (orders.select("order_id", TM.on_time_flag("order_delivered_customer_date",
                                                    "order_estimated_delivery_date").alias("flag"))
          .groupBy("order_id").agg(F.count(F.lit(1)).alias("k"), F.sum("flag").alias("t")))
-    k = F.col("k")
-    s = (per_os.join(o, "order_id").groupBy("seller_id")
-         .agg(F.count(F.lit(1)).alias("orders"), F.sum(F.col("n_items") * k).alias("items"),
+    j = per_os.join(o, "order_id", "left").join(review_sums_per_order(t["dim_reviews"]), "order_id", "left")
+    k, n = F.col("k"), F.col("n_items")
+    s = (j.groupBy("seller_id")
+         .agg(F.count("k").alias("orders"), F.sum(n * k).alias("items"),
               _money(F.sum(F.col("gmv") * k)).alias("gmv"),
-              F.sum(F.col("n_items") * F.col("t")).alias("on_time_items")))
-    from ..plans.views import seller_review_average
-    r = seller_review_average(per_os, t["dim_reviews"])
-    return (s.join(r, "seller_id", "left")
+              F.sum(n * F.col("t")).alias("on_time_items"),
+              N.safe_divide(F.sum(n * F.col("s")), F.sum(n * F.col("c"))).alias("avg_review")))
+    return (s.where(F.col("orders") > 0)
             .select("seller_id", "orders", "items", "gmv",
                     N.safe_divide("on_time_items", "items").alias("on_time_rate"), "avg_review",
                     F.rank().over(Window.orderBy(F.desc_nulls_last("gmv"))).alias("gmv_rank")))

@@ -14,12 +14,13 @@ numbers as the item-grain SQL:
 * ``COUNT(DISTINCT order_id)`` becomes ``COUNT(*)`` of those unique rows, which
   removes the distinct-aggregation double shuffle;
 * the review average joins reviews pre-summed per order to items pre-counted per
-  (order, seller), i.e. the 1:N fan-out of the SQL is replaced by weights.
+  (order, seller), i.e. the 1:N fan-out of the SQL is replaced by weights, and
+  it is computed in the same pass as the monthly metrics (no second fact scan).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
@@ -58,35 +59,43 @@ def order_months(orders: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("k"), F.sum("flag").alias("t")))
 
 
-def seller_review_average(per_os: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Item-weighted mean review score per seller (each review counts once per item)."""
-    rv = (reviews.where(F.col("order_id").isNotNull())
-          .groupBy("order_id")
-          .agg(F.sum("review_score").alias("s"), F.count("review_score").alias("c")))
-    return (per_os.join(rv, "order_id")
-            .groupBy("seller_id")
-            .agg(N.safe_divide(F.sum(F.col("n_items") * F.col("s")),
-                               F.sum(F.col("n_items") * F.col("c"))).alias("avg_review")))
-
-
-def seller_monthly_base(per_os: DataFrame, orders: DataFrame) -> DataFrame:
-    k = F.col("k")
-    return (per_os.join(order_months(orders), "order_id")
-            .groupBy("month", "seller_id")
-            .agg(F.count(F.lit(1)).alias("orders"),
-                 F.sum(F.col("n_items") * k).alias("items"),
-                 F.sum(F.col("gmv") * k).cast("decimal(38,2)").alias("gmv"),
-                 F.sum(F.col("n_items") * F.col("t")).alias("on_time_items")))
+def review_sums_per_order(reviews: DataFrame) -> DataFrame:
+    """order_id -> sum and count of non-null review scores (one row per order)."""
+    return (reviews.where(F.col("order_id").isNotNull()).groupBy("order_id")
+            .agg(F.sum("review_score").alias("s"), F.count("review_score").alias("c")))
 
 
 def seller_monthly(fact: DataFrame, orders: DataFrame, reviews: DataFrame,
                    ordered: bool = True) -> DataFrame:
+    """The seller-month view in one pass over the fact.
+
+    Items per (order, seller) meet the order months and the per-order review sums
+    on ``order_id`` (one key, one partitioning, no fan-out). One aggregation by
+    (month, seller) yields the base metrics and each group's share of the review
+    sums; the seller-level review average is then a window over those already
+    aggregated rows (a few per seller). Fact rows whose order is missing still
+    count for reviews, as in the SQL; an order listed under several months
+    contributes its reviews once (on its first month).
+    """
     per_os = items_per_order_seller(fact)
-    base = seller_monthly_base(per_os, orders)
-    out = (base.join(seller_review_average(per_os, reviews), "seller_id", "left")
+    om = order_months(orders)
+    om = om.withColumn("first", F.col("month").eqNullSafe(F.min("month").over(Window.partitionBy("order_id"))))
+    j = (per_os.join(om, "order_id", "left")
+         .join(review_sums_per_order(reviews), "order_id", "left"))
+    k, n = F.col("k"), F.col("n_items")
+    once = F.col("k").isNull() | F.col("first")
+    g = (j.groupBy("month", "seller_id")
+         .agg(F.count("k").alias("orders"),
+              F.sum(n * k).alias("items"),
+              F.sum(F.col("gmv") * k).cast("decimal(38,2)").alias("gmv"),
+              F.sum(n * F.col("t")).alias("on_time_items"),
+              F.sum(F.when(once, n * F.col("s"))).alias("rs"),
+              F.sum(F.when(once, n * F.col("c"))).alias("rc")))
+    by_seller = Window.partitionBy("seller_id")
+    out = (g.withColumn("avg_review", N.safe_divide(F.sum("rs").over(by_seller), F.sum("rc").over(by_seller)))
+           .where(F.col("orders") > 0)
            .select("month", "seller_id", "orders", "items", "gmv",
-                   N.safe_divide("on_time_items", "items").alias("on_time_rate"),
-                   "avg_review"))
+                   N.safe_divide("on_time_items", "items").alias("on_time_rate"), "avg_review"))
     return out.orderBy("month", "seller_id") if ordered else out
 
 
