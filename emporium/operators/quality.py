@@ -147,31 +147,49 @@ def orphan_sample(fact: DataFrame, dim: DataFrame, col: str, n: int = 10) -> Dat
     return fact.select(col).join(dim.select(col), col, "left_anti").limit(n)
 
 
+def _table_checks(df: DataFrame, table: str, keys: Sequence[str], rules) -> DataFrame:
+    """Row count, null-key counts and range-rule counts of one table in ONE aggregate.
+
+    Rows: (check_name, table_name, column_name, bad_count); the row count comes
+    back as check 'row_count' and is used to list every table in the report.
+    """
+    checks = [("row_count", None, F.count(F.lit(1)))]
+    checks += [("null_key", c, F.count_if(F.col(c).isNull())) for c in keys]
+    checks += [(f"range {n}", c, F.count_if(F.expr(p))) for t, c, n, p in rules if t == table]
+    row = df.agg(*[e.alias(f"c{i}") for i, (_, _, e) in enumerate(checks)])
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("check_name"), F.lit(c).cast("string").alias("column_name"),
+                 F.col(f"c{i}").cast("long").alias("bad_count")) for i, (n, c, _) in enumerate(checks)]))
+    return row.select(F.lit(table).alias("table_name"), stacked.alias("s")).select(
+        "s.check_name", "table_name", "s.column_name", "s.bad_count")
+
+
 def gate_report(tables: Mapping[str, DataFrame], phase: str = "post_load") -> DataFrame:
-    """All gates as one report: (phase, check_name, table_name, column_name, bad_count, status)."""
+    """All gates as one report: (phase, check_name, table_name, column_name, bad_count, status).
+
+    One aggregate per table covers its null keys and range rules; the post-load
+    phase adds primary-key duplicates (grouped counts) and orphans (anti joins).
+    """
     keys = PRE_LOAD_NULL_KEYS if phase == "pre_load" else POST_LOAD_NULL_KEYS
-    nulls = null_key_report(tables, keys).select(
-        F.lit("null_key").alias("check_name"), "table_name", "column_name", F.col("null_count").alias("bad_count"))
-    ranges = range_report(tables).select(
-        F.concat(F.lit("range "), F.col("check_name")).alias("check_name"), "table_name", "column_name",
-        "bad_count")
-    parts = [nulls, ranges]
+    per_table = _union([_table_checks(df, t, keys.get(t, []), RANGE_RULES) for t, df in tables.items()])
+    parts = [per_table.where(F.col("check_name") != "row_count")]
     if phase != "pre_load":
-        dup = pk_duplicates(tables).groupBy("table_name").agg(F.count(F.lit(1)).alias("bad_count"))
-        all_tables = row_counts(tables).select("table_name")
+        dup = pk_duplicates(tables).groupBy("table_name").agg(F.count(F.lit(1)).alias("dups"))
+        spark = next(iter(tables.values())).sparkSession
+        all_tables = spark.createDataFrame([(t,) for t in tables], "table_name string")  # table names only
         parts.append(all_tables.join(dup, "table_name", "left").select(
             F.lit("pk_duplicate").alias("check_name"), "table_name",
             F.lit(None).cast("string").alias("column_name"),
-            F.coalesce("bad_count", F.lit(0)).cast("long").alias("bad_count")))
+            F.coalesce("dups", F.lit(0)).cast("long").alias("bad_count")))
         if "fact_order_items" in tables:
             orph = orphans(tables["fact_order_items"], tables).groupBy("fk_column").agg(
-                F.count(F.lit(1)).alias("bad_count"))
+                F.count(F.lit(1)).alias("n"))
             fks = tables["fact_order_items"].sparkSession.createDataFrame(
                 [(c,) for c, _ in FK_CHECKS], "fk_column string")
             parts.append(fks.join(orph, "fk_column", "left").select(
                 F.lit("orphan").alias("check_name"), F.lit("fact_order_items").alias("table_name"),
                 F.col("fk_column").alias("column_name"),
-                F.coalesce("bad_count", F.lit(0)).cast("long").alias("bad_count")))
+                F.coalesce("n", F.lit(0)).cast("long").alias("bad_count")))
     rep = _union(parts)
     return rep.select(F.lit(phase).alias("phase"), "check_name", "table_name", "column_name", "bad_count",
                       F.when(F.col("bad_count") > 0, "fail").otherwise("ok").alias("status"))
