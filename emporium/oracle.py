@@ -233,3 +233,18 @@ DELAY_BUCKET = """CASE WHEN dd IS NULL THEN 'Not Delivered' WHEN dd <= -7 THEN '
   WHEN dd = 0 THEN 'On Time' WHEN dd <= 7 THEN 'Late' ELSE 'Very Late' END"""
 
 D_E = "order_delivered_customer_date IS NOT NULL AND order_estimated_delivery_date IS NOT NULL AND order_delivered_customer_date <= order_estimated_delivery_date"
+
+
+def gate_report(null_checks: dict[str, list[str]], rules, pks: dict[str, list[str]]) -> str:
+    parts = [f"SELECT 'null_key' AS check_name, '{t}' AS table_name, '{c}' AS column_name, "
+             f"COUNT(*) FILTER (WHERE {c} IS NULL) AS bad_count FROM {t}"
+             for t, cols in null_checks.items() for c in cols]
+    parts += [f"SELECT 'range {n}', '{t}', '{c}', COUNT(*) FILTER (WHERE {p}) FROM {t}" for t, c, n, p in rules]
+    parts += [f"SELECT 'pk_duplicate', '{t}', CAST(NULL AS VARCHAR), "
+              f"(SELECT COUNT(*) FROM (SELECT 1 FROM {t} GROUP BY {', '.join(cols)} HAVING COUNT(*) > 1))"
+              for t, cols in pks.items()]
+    parts += [f"SELECT 'orphan', 'fact_order_items', '{c}', (SELECT COUNT(*) FROM fact_order_items s "
+              f"WHERE NOT EXISTS (SELECT 1 FROM {d} x WHERE x.{c} = s.{c}))"
+              for c, d in [("order_id", "dim_orders"), ("product_id", "dim_products"), ("seller_id", "dim_sellers")]]
+    return ("SELECT 'post_load' AS phase, check_name, table_name, column_name, CAST(bad_count AS BIGINT) AS bad_count, "
+            "CASE WHEN bad_count > 0 THEN 'fail' ELSE 'ok' END AS status FROM (" + _union_all(parts) + ")")

@@ -129,6 +129,12 @@ def q_dq_orphans_raw_items(spark, sf_dir):
     return Q.orphans(C.conform_order_items(marketplace_sources(spark, sf_dir)["order_items"]), w)
 
 
+@register("dq_gate_report", O.with_ctes(O.gate_report(
+    Q.POST_LOAD_NULL_KEYS, Q.RANGE_RULES, {t: list(s.pk) for t, s in TABLES.items()})))
+def q_dq_gate_report(spark, sf_dir):
+    return Q.gate_report(dict(driver_warehouse(spark, sf_dir)), "post_load")
+
+
 # --- profiling (A9-A20, U4, W2) -------------------------------------------------
 @register("untranslated_categories", O.with_ctes("""
 SELECT DISTINCT p.product_category_name FROM dim_products p

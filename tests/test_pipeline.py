@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from emporium.plans.pipeline import run_pipeline
 from emporium.plans.warehouse import driver_warehouse
-from emporium.sources import csv_source as CS
+from emporium.sources import csv_source as CS  # noqa: I001
 from emporium.sources import warehouse as WH
 from emporium.sources.driver_tables import marketplace_sources
 
@@ -63,3 +63,17 @@ def test_bucketed_join_needs_no_fact_shuffle(spark, tmpdir_path):
     plan = t._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(order_id" not in plan, plan
     assert F is not None
+
+
+def test_csv_quotes_commas_and_newlines_survive(spark, tmpdir_path):
+    from emporium.plans import clean as C
+    rows = [("r1", "o1", "5", "Ótimo, recomendo", 'linha 1\nlinha "2", fim', "2018-01-01 00:00:00",
+             "2018-01-02 00:00:00"),
+            ("r2", "o2", "4", None, "", "2018-01-01 00:00:00", "2018-01-02 00:00:00")]
+    df = spark.createDataFrame(rows, CS.SOURCE_SCHEMAS["order_reviews"])
+    path = CS.write_csv_sources({"order_reviews": df}, tmpdir_path)["order_reviews"]
+    back = CS.read_csv_source(spark, "order_reviews", path)
+    got = {r.review_id: r for r in C.clean_reviews(back).collect()}
+    assert got["r1"].review_comment_message == 'linha 1\nlinha "2", fim'
+    assert got["r1"].review_comment_title == "Otimo, recomendo"
+    assert got["r2"].review_comment_title is None
