@@ -26,6 +26,7 @@ low-cardinality attribute (state, status, payment type, category).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -310,6 +311,10 @@ FACT_MEASURES = ("gmv", "items", "active_sellers")
 DERIVED = ("avg_order_value",)
 MEASURES = ORDER_MEASURES + FACT_MEASURES + DERIVED
 
+# Slicer fields reached through the fact only (product and seller attributes).
+PRODUCT_ATTRS = ("product_category_name", "product_category_name_english")
+SELLER_ATTRS = ("seller_city", "seller_state", "seller_zip_code_prefix")
+
 
 def order_attributes(t: Tables) -> DataFrame:
     """dim_orders + customer attributes + derived calendar columns (the slicer fields)."""
@@ -319,33 +324,69 @@ def order_attributes(t: Tables) -> DataFrame:
                           "purchase_weekday": TM.weekday(ts)}))
 
 
+def _item_attributes(t: Tables, by_i: Sequence[str], item_where) -> DataFrame:
+    """Fact pre-aggregated per (order, seller, product) with the product/seller fields needed."""
+    fact = t["fact_order_items"].select(
+        "order_id", "seller_id", "product_id",
+        (F.coalesce("price", F.lit(0)) + F.coalesce("freight_value", F.lit(0))).alias("g"))
+    f = fact.groupBy("order_id", "seller_id", "product_id").agg(
+        F.sum("g").alias("gmv"), F.count(F.lit(1)).alias("n_items"))
+    need = set(by_i) | ({"*"} if item_where is not None else set())
+    if need & set(PRODUCT_ATTRS) or item_where is not None:
+        f = f.join(t["dim_products"].select("product_id", *PRODUCT_ATTRS), "product_id", "left")
+    if need & set(SELLER_ATTRS) or item_where is not None:
+        f = f.join(t["dim_sellers"].select("seller_id", *SELLER_ATTRS), "seller_id", "left")
+    return f.where(item_where) if item_where is not None else f
+
+
 def measure_frame(t: Tables, measures: Sequence[str] = MEASURES, by: Sequence[str] = (),
-                  where: str | Column | None = None) -> DataFrame:
-    """Evaluate ``measures`` grouped by order/customer attributes ``by`` under ``where``."""
+                  where: str | Column | None = None, item_where: str | Column | None = None) -> DataFrame:
+    """Evaluate ``measures`` grouped by ``by`` under the filters.
+
+    ``by`` may mix order/customer fields (``order_attributes``) and product/seller
+    fields (``PRODUCT_ATTRS``, ``SELLER_ATTRS``). ``where`` filters orders and
+    customers and so reaches every measure; ``item_where`` filters products and
+    sellers and reaches only the item measures (gmv, items, active_sellers,
+    and gmv's share in avg_order_value) -- filters flow from a dimension to the
+    fact, never from the fact back to orders.
+    """
     unknown = set(measures) - set(MEASURES)
     if unknown:
         raise ValueError(f"unknown measures {sorted(unknown)}")
+    item_fields = set(PRODUCT_ATTRS) | set(SELLER_ATTRS)
     by = list(by)
+    by_o = [b for b in by if b not in item_fields]
+    by_i = [b for b in by if b in item_fields]
     o = order_attributes(t)
     if where is not None:
         o = o.where(where)
-    frames = []
     d, e = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
-    frames.append(o.groupBy(*by).agg(
+    om = o.groupBy(*by_o).agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count_distinct("customer_id").alias("active_customers"),
         F.count_if(d.isNotNull() & e.isNotNull() & (d <= e)).alias("_on_time"),
-        F.count_if(d.isNotNull()).alias("_delivered")))
-    if set(measures) & set(FACT_MEASURES + DERIVED):
-        keyed = o.select("order_id", *by)
-        per_os = items_per_order_seller(t["fact_order_items"].select(
-            "order_id", "seller_id", F.coalesce("price", F.lit(0)).alias("price"),
-            F.coalesce("freight_value", F.lit(0)).alias("freight_value")))
-        frames.append(per_os.join(keyed, "order_id").groupBy(*by).agg(
-            _money(F.sum("gmv")).alias("gmv"), F.sum("n_items").alias("items"),
-            F.count_distinct("seller_id").alias("active_sellers")))
-    values = ["total_orders", "active_customers", "_on_time", "_delivered", "gmv", "items", "active_sellers"]
-    out = _combine(frames, by, values) if by else _combine_global(frames, values)
+        F.count_if(d.isNotNull()).alias("_delivered"))
+    order_vals = ["total_orders", "active_customers", "_on_time", "_delivered"]
+    item_vals = ["gmv", "items", "active_sellers"]
+    need_items = bool(set(measures) & set(FACT_MEASURES + DERIVED)) or by_i
+    if need_items:
+        f = (_item_attributes(t, by_i, item_where).join(o.select("order_id", *by_o), "order_id")
+             .groupBy(*by).agg(_money(F.sum("gmv")).alias("gmv"), F.sum("n_items").alias("items"),
+                               F.count_distinct("seller_id").alias("active_sellers")))
+    if not by_i:
+        frames = [om, f] if need_items else [om]
+        out = (_combine(frames, by, order_vals + item_vals) if by
+               else _combine_global(frames, order_vals + item_vals))
+    elif by_o:
+        # item groups carry the order measures of their order/customer slice
+        cond = [F.col(f"i.{b}").eqNullSafe(F.col(f"o.{b}")) for b in by_o]
+        out = (f.alias("i").join(om.alias("o"), reduce(lambda a, b: a & b, cond), "left")
+               .select(*[F.col(f"i.{b}").alias(b) for b in by],
+                       *[F.col(f"o.{v}") for v in order_vals], *[F.col(f"i.{v}") for v in item_vals]))
+    else:
+        # no order/customer slice: order measures are one row of totals
+        tot = om.first()
+        out = f.select(*by, *[F.lit(tot[v]).cast("long").alias(v) for v in order_vals], *item_vals)
     derived = {
         "total_orders": F.coalesce("total_orders", F.lit(0)).cast("long"),
         "active_customers": F.coalesce("active_customers", F.lit(0)).cast("long"),

@@ -383,3 +383,27 @@ SELECT DISTINCT product_category_name AS value FROM dim_products"""))
 def q_distinct_categories(spark, sf_dir):
     products = driver_warehouse(spark, sf_dir)["dim_products"]
     return P.distinct_values(products, "product_category_name").withColumnRenamed("product_category_name", "value")
+
+
+@register("measures_by_category_state", O.with_ctes(f"""
+, oa AS (SELECT o.*, c.customer_state FROM dim_orders o LEFT JOIN dim_customers c ON c.customer_id = o.customer_id),
+om AS (SELECT customer_state, COUNT(DISTINCT order_id) AS total_orders, COUNT(DISTINCT customer_id) AS active_customers,
+         COUNT(*) FILTER (WHERE {O.D_E}) AS on_time,
+         COUNT(*) FILTER (WHERE order_delivered_customer_date IS NOT NULL) AS delivered
+       FROM oa GROUP BY 1),
+fm AS (SELECT p.product_category_name_english, oa.customer_state, CAST(SUM({O.GMV}) AS DECIMAL(38,2)) AS gmv,
+         COUNT(*) AS items, COUNT(DISTINCT f.seller_id) AS active_sellers
+       FROM fact_order_items f JOIN oa ON oa.order_id = f.order_id
+       LEFT JOIN dim_products p ON p.product_id = f.product_id
+       LEFT JOIN dim_sellers s ON s.seller_id = f.seller_id
+       WHERE s.seller_city <> 'sao paulo'
+       GROUP BY 1, 2)
+SELECT fm.product_category_name_english, fm.customer_state, om.total_orders, om.active_customers,
+  CAST(om.on_time AS DOUBLE) / NULLIF(om.delivered, 0) AS on_time_pct, fm.gmv, fm.items, fm.active_sellers,
+  CAST(fm.gmv AS DOUBLE) / NULLIF(om.total_orders, 0) AS avg_order_value
+FROM fm LEFT JOIN om ON om.customer_state IS NOT DISTINCT FROM fm.customer_state"""))
+def q_measures_by_category_state(spark, sf_dir):
+    """Slicers on both sides: customer state (reaches every measure) and category/seller
+    city (reach the item measures only)."""
+    return M.measure_frame(driver_warehouse(spark, sf_dir), by=["product_category_name_english", "customer_state"],
+                           item_where="seller_city <> 'sao paulo'")
