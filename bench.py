@@ -27,7 +27,7 @@ from emporium.operators import profile as P  # noqa: E402
 from emporium.operators import quality as Q  # noqa: E402
 from emporium.plans import measures as M  # noqa: E402
 from emporium.plans import views as V  # noqa: E402
-from emporium.plans.pipeline import load_warehouse  # noqa: E402
+from emporium.plans.elt import load_warehouse  # noqa: E402
 from emporium.sources.driver_tables import marketplace_sources  # noqa: E402
 from emporium.registry import QUERIES  # noqa: E402
 from emporium.session import build_session  # noqa: E402

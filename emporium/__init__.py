@@ -8,7 +8,7 @@ Layout
 - ``operators`` -- reusable DataFrame operators (first-per-key, duplicates, profiling,
                    exact distributed quantiles, data-quality gates, guarded joins).
 - ``plans``     -- entity cleaning pipelines, the two warehouse views, the measure layer and
-                   the end-to-end pipeline.
+                   the end-to-end ELT job.
 - ``streaming`` -- intentionally empty: the source project has no streaming workload.
 """
 

@@ -1,4 +1,4 @@
-"""End-to-end pipeline: extract -> gate -> clean -> pre-load checks -> load -> post-load checks.
+"""End-to-end ELT job: extract -> gate -> clean -> pre-load checks -> load -> post-load checks.
 
 Only the table writes and the (small) gate reports are actions; everything
 else is one lazy plan per table. Post-load checks read the loaded tables back
@@ -21,7 +21,7 @@ log = logging.getLogger(__name__)
 
 
 @dataclass
-class PipelineResult:
+class EltResult:
     tables: dict[str, DataFrame]
     pre_load: DataFrame | None
     post_load: DataFrame
@@ -54,10 +54,10 @@ def load_warehouse(spark: SparkSession, sources, db: str, opts: CleanOptions = C
     return WH.LoadResult(first.loaded + second.loaded, rejects)
 
 
-def run_pipeline(spark: SparkSession, source_dir: str | None = None, db: str = "marketplace",
+def run_elt(spark: SparkSession, source_dir: str | None = None, db: str = "marketplace",
                  sources: dict[str, DataFrame] | None = None, export_dir: str | None = None,
                  opts: CleanOptions = CleanOptions(), strict: bool = False,
-                 buckets: int | None = None, pre_checks: bool = True) -> PipelineResult:
+                 buckets: int | None = None, pre_checks: bool = True) -> EltResult:
     """Run the whole load. Give either ``source_dir`` (CSV files) or ready ``sources`` frames.
 
     Any source that fails to read halts the run before transforming (as the
@@ -80,4 +80,4 @@ def run_pipeline(spark: SparkSession, source_dir: str | None = None, db: str = "
     if strict:
         Q.enforce(post)
     export = WH.export_csv(spark, db, export_dir) if export_dir else None
-    return PipelineResult(stored, pre, post, load.rejects, export)
+    return EltResult(stored, pre, post, load.rejects, export)

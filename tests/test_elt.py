@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from emporium.plans.pipeline import run_pipeline
+from emporium.plans.elt import run_elt
 from emporium.plans.warehouse import driver_warehouse
 from emporium.sources import csv_source as CS  # noqa: I001
 from emporium.sources import warehouse as WH
@@ -35,13 +35,13 @@ def test_conform_rejects_bad_values(spark):
     assert [(r.table_name, r.columns) for r in bad.collect()] == [("fact_order_items", "order_item_id")]
 
 
-def test_pipeline_end_to_end_twice(spark, tmpdir_path):
+def test_elt_end_to_end_twice(spark, tmpdir_path):
     src_dir = os.path.join(tmpdir_path, "sources")
     CS.write_csv_sources(dict(marketplace_sources(spark, SF_SMALL)), src_dir)
     expected = {k: v.count() for k, v in driver_warehouse(spark, SF_SMALL).items()}
     out_dir = os.path.join(tmpdir_path, "export")
     for _ in range(2):  # idempotent: the second run overwrites, it does not append
-        res = run_pipeline(spark, source_dir=src_dir, db="mkt_test", export_dir=out_dir)
+        res = run_elt(spark, source_dir=src_dir, db="mkt_test", export_dir=out_dir)
         got = {k: v.count() for k, v in res.tables.items()}
         assert got == expected
     post = {(r.check_name, r.table_name, r.column_name): r.bad_count for r in res.post_load.collect()}
