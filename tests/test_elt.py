@@ -58,8 +58,9 @@ def test_elt_end_to_end_twice(spark, tmpdir_path):
 
 
 def test_bucketed_join_needs_no_fact_shuffle(spark, tmpdir_path):
-    WH.create_database(spark, "mkt_test")
-    t = spark.table("mkt_test.fact_order_items").join(spark.table("mkt_test.dim_orders"), "order_id")
+    from emporium.plans.elt import load_warehouse
+    load_warehouse(spark, marketplace_sources(spark, SF_SMALL), "mkt_bucketed", buckets=4)
+    t = spark.table("mkt_bucketed.fact_order_items").join(spark.table("mkt_bucketed.dim_orders"), "order_id")
     plan = t._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(order_id" not in plan, plan
     assert F is not None
