@@ -22,6 +22,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -39,6 +40,35 @@ def build_session(master: str = "local[8]", app: str = "emporium",
     return spark
 
 
+def recommended_conf(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of compressed Parquet.
+
+    * shuffle partitions: enough that a partition stays near the target size
+      (Parquet expands several-fold in a shuffle), at least two waves of tasks;
+      AQE coalesces the ones that turn out small;
+    * file splits of the target size so scan tasks are balanced;
+    * the broadcast threshold stays at a fixed, small size: AQE broadcasts a
+      side only after measuring it below this bound;
+    * skew splitting on, with thresholds tied to the target size;
+    * reliable checkpoints are removed once their DataFrame is garbage.
+    """
+    expanded = input_bytes * 3
+    parts = max(2 * total_cores, -(-expanded // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by the cluster.
 

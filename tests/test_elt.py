@@ -78,3 +78,21 @@ def test_csv_quotes_commas_and_newlines_survive(spark, tmpdir_path):
     assert got["r1"].review_comment_message == 'linha 1\nlinha "2", fim'
     assert got["r1"].review_comment_title == "Otimo, recomendo"
     assert got["r2"].review_comment_title is None
+
+
+def test_missing_source_halts_before_transforming(spark, tmpdir_path):
+    from emporium.plans.elt import run_elt
+    try:
+        run_elt(spark, source_dir=tmpdir_path, db="mkt_halt")
+        raise AssertionError("expected ExtractError")
+    except CS.ExtractError as e:
+        assert "orders" in e.errors
+    assert not spark.catalog.databaseExists("mkt_halt")
+
+
+def test_recommended_conf_scales_partitions():
+    from emporium.session import recommended_conf
+    small = recommended_conf(10 * 1024**3, 64)
+    big = recommended_conf(100 * 1024**4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) > 100 * int(small["spark.sql.shuffle.partitions"]) // 100
+    assert big["spark.sql.adaptive.autoBroadcastJoinThreshold"] == small["spark.sql.adaptive.autoBroadcastJoinThreshold"]
