@@ -96,3 +96,16 @@ def test_recommended_conf_scales_partitions():
     big = recommended_conf(100 * 1024**4, 8000)
     assert int(big["spark.sql.shuffle.partitions"]) > 100 * int(small["spark.sql.shuffle.partitions"]) // 100
     assert big["spark.sql.adaptive.autoBroadcastJoinThreshold"] == small["spark.sql.adaptive.autoBroadcastJoinThreshold"]
+
+
+def test_strict_mode_stops_before_writing(spark, tmpdir_path):
+    from emporium.operators.quality import QualityError
+    from emporium.plans.elt import run_elt
+    src = dict(marketplace_sources(spark, SF_SMALL))
+    bad = src["order_reviews"].withColumn("review_score", F.lit(9))   # every score out of range
+    try:
+        run_elt(spark, sources=dict(src, order_reviews=bad), db="mkt_strict", strict=True)
+        raise AssertionError("expected QualityError")
+    except QualityError as e:
+        assert "review_score" in str(e)
+    assert not spark.catalog.databaseExists("mkt_strict")

@@ -22,3 +22,16 @@ def test_order_filter_reaches_item_measures(spark):
               .selectExpr("CAST(SUM(price + freight_value) AS DECIMAL(38,2)) AS g").first().g)
     assert out.gmv == expect
     assert out.total_orders == t["dim_orders"].where("order_status = 'delivered'").count()
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark):
+    from emporium.registry import QUERIES
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        out = {}
+        for tz in ["UTC", "America/Sao_Paulo"]:
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            out[tz] = sorted(map(tuple, QUERIES["gmv_by_month"](spark, SF_SMALL).collect()), key=repr)
+        assert out["UTC"] == out["America/Sao_Paulo"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
