@@ -2,6 +2,8 @@
 from datetime import datetime
 from decimal import Decimal
 
+from pyspark.sql import types as T
+
 from emporium.plans import clean as C
 from emporium.plans.clean import CleanOptions
 from emporium.schema import SOURCE_SCHEMAS
@@ -94,7 +96,7 @@ def test_reviews_first_in_file_order_and_accents(spark):
             ("r1", "o2", "2", "x", "y", "bad", "2018-01-03 00:00:00", 20),
             (None, "o4", "3", None, "½ kg", None, None, 40),
             (None, "o5", "4", None, None, None, None, 50)]
-    schema = SOURCE_SCHEMAS["order_reviews"].add("src_ord", "long")
+    schema = T.StructType(SOURCE_SCHEMAS["order_reviews"].fields + [T.StructField("src_ord", T.LongType())])
     raw = spark.createDataFrame(rows, schema).repartition(3)
     out = {r.review_id: r for r in C.clean_reviews(raw).collect()}
     assert set(out) == {"r1", None}
