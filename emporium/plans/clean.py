@@ -60,8 +60,21 @@ def _s(c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def _whole(c: str) -> Column:
-    """NUMBER(38,0) semantics: fractional input rounds half away from zero."""
+_INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
+_FRACTIONAL = {"float", "double"}
+
+
+def _whole(df: DataFrame, c: str) -> Column:
+    """NUMBER(38,0) semantics: fractional input rounds half away from zero.
+
+    Integral input is cast directly; floating input is rounded (HALF_UP) in
+    double arithmetic; text and decimals go through decimal(38,0).
+    """
+    t = dict(df.dtypes).get(c)
+    if t in _INTEGRAL:
+        return F.col(c).cast("long")
+    if t in _FRACTIONAL:
+        return F.round(F.col(c), 0).try_cast("long")
     return F.col(c).try_cast("decimal(38,0)").try_cast("long")
 
 
@@ -137,7 +150,7 @@ def clean_products(raw: DataFrame, raw_translation: DataFrame,
     return joined.select(
         _s("product_id").alias("product_id"),
         _s("product_category_name").alias("product_category_name"),
-        *[_whole(c).alias(c) for c in ["product_name_length", "product_description_length",
+        *[_whole(joined, c).alias(c) for c in ["product_name_length", "product_description_length",
                                        "product_photos_qty", *PRODUCT_MEASURES]],
         F.col("product_category_name_english"))
 
@@ -209,9 +222,9 @@ def clean_orders(raw_orders: DataFrame, raw_payments: DataFrame | None,
 def clean_payments(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
     t = TX.replace_values(_s("payment_type"), PAYMENT_TYPE_FIXES)
     return (raw.select(_s("order_id").alias("order_id"),
-                       _whole("payment_sequential").alias("payment_sequential"),
+                       _whole(raw, "payment_sequential").alias("payment_sequential"),
                        t.alias("payment_type"),
-                       _whole("payment_installments").alias("payment_installments"),
+                       _whole(raw, "payment_installments").alias("payment_installments"),
                        F.col("payment_value").try_cast("decimal(10,2)").alias("payment_value"))
             .where(~F.col("payment_type").eqNullSafe(UNDEFINED_PAYMENT)))
 
@@ -222,7 +235,7 @@ def clean_payments(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataF
 def parse_reviews(raw: DataFrame) -> DataFrame:
     r = with_ingest_ordinal(raw)
     return r.select(_s("review_id").alias("review_id"), _s("order_id").alias("order_id"),
-                    _whole("review_score").alias("review_score"),
+                    _whole(r, "review_score").alias("review_score"),
                     _s("review_comment_title").alias("review_comment_title"),
                     _s("review_comment_message").alias("review_comment_message"),
                     *[TM.parse_timestamp(c).alias(c) for c in REVIEW_TS],
@@ -259,7 +272,7 @@ def conform_order_items(raw: DataFrame) -> DataFrame:
     freight_num = F.col("freight_value").try_cast("double")
     return (raw.where((price_num > 0) & (freight_num >= 0))
             .select(_s("order_id").alias("order_id"),
-                    F.coalesce(_whole("order_item_id"), F.lit(0).cast("long")).alias("order_item_id"),
+                    F.coalesce(_whole(raw, "order_item_id"), F.lit(0).cast("long")).alias("order_item_id"),
                     _s("product_id").alias("product_id"),
                     _s("seller_id").alias("seller_id"),
                     TM.parse_timestamp("shipping_limit_date").alias("shipping_deadline"),
