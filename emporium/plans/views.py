@@ -114,7 +114,9 @@ JOIN dim_orders o ON o.order_id = foi.order_id
 LEFT JOIN dim_products p ON p.product_id = foi.product_id
 """
 
-SELLER_MONTHLY_SQL = """
+# The view as the source states it (item grain, COUNT DISTINCT, 1:N reviews join).
+# Kept for equivalence tests; the catalog view below computes the same rows.
+SELLER_MONTHLY_LITERAL_SQL = """
 CREATE OR REPLACE TEMP VIEW vw_seller_monthly AS
 WITH base AS (
   SELECT CAST(trunc(CAST(order_purchase_timestamp AS DATE), 'MM') AS TIMESTAMP_NTZ) AS month,
@@ -138,6 +140,45 @@ ORDER BY b.month, b.seller_id
 """
 
 
+# The catalog view, in the same pre-aggregated form as ``seller_monthly``.
+# (In SQL, WHERE runs before window functions, hence the outer filter.)
+SELLER_MONTHLY_SQL = """
+CREATE OR REPLACE TEMP VIEW vw_seller_monthly AS
+WITH per_os AS (
+  SELECT order_id, seller_id, COUNT(*) AS n_items, SUM(price + freight_value) AS gmv
+  FROM fact_order_items GROUP BY order_id, seller_id
+), om AS (
+  SELECT order_id, month, k, t, month <=> MIN(month) OVER (PARTITION BY order_id) AS first
+  FROM (SELECT order_id,
+               CAST(trunc(CAST(order_purchase_timestamp AS DATE), 'MM') AS TIMESTAMP_NTZ) AS month,
+               COUNT(*) AS k,
+               SUM(CASE WHEN order_delivered_customer_date IS NOT NULL
+                         AND order_delivered_customer_date <= order_estimated_delivery_date
+                        THEN 1 ELSE 0 END) AS t
+        FROM dim_orders GROUP BY 1, 2) m
+), rv AS (
+  SELECT order_id, SUM(review_score) AS s, COUNT(review_score) AS c
+  FROM dim_reviews WHERE order_id IS NOT NULL GROUP BY order_id
+), g AS (
+  SELECT om.month, p.seller_id, COUNT(om.k) AS orders, SUM(p.n_items * om.k) AS items,
+         CAST(SUM(p.gmv * om.k) AS DECIMAL(38,2)) AS gmv, SUM(p.n_items * om.t) AS on_time_items,
+         SUM(CASE WHEN om.k IS NULL OR om.first THEN p.n_items * rv.s END) AS rs,
+         SUM(CASE WHEN om.k IS NULL OR om.first THEN p.n_items * rv.c END) AS rc
+  FROM per_os p LEFT JOIN om ON om.order_id = p.order_id LEFT JOIN rv ON rv.order_id = p.order_id
+  GROUP BY om.month, p.seller_id
+), w AS (
+  SELECT month, seller_id, orders, items, gmv,
+         try_divide(CAST(on_time_items AS DOUBLE), CAST(items AS DOUBLE)) AS on_time_rate,
+         try_divide(CAST(SUM(rs) OVER (PARTITION BY seller_id) AS DOUBLE),
+                    CAST(SUM(rc) OVER (PARTITION BY seller_id) AS DOUBLE)) AS avg_review
+  FROM g
+)
+SELECT month, seller_id, orders, items, gmv, on_time_rate, avg_review
+FROM w WHERE orders > 0
+ORDER BY month, seller_id
+"""
+
+
 def register_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)

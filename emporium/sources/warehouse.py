@@ -153,6 +153,7 @@ def create_views(spark: SparkSession, db: str) -> None:
     monthly = V.SELLER_MONTHLY_SQL.replace("CREATE OR REPLACE TEMP VIEW vw_seller_monthly",
                                            f"CREATE OR REPLACE VIEW {db}.vw_seller_monthly")
     for t in ["fact_order_items", "dim_orders", "dim_products", "dim_reviews", "base_order_items"]:
+        # table names appear after FROM / JOIN followed by an alias, space or newline
         base = base.replace(f" {t} ", f" {db}.{t} ").replace(f" {t}\n", f" {db}.{t}\n")
         monthly = monthly.replace(f" {t} ", f" {db}.{t} ").replace(f" {t}\n", f" {db}.{t}\n")
     spark.sql(base)
