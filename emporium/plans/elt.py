@@ -57,18 +57,24 @@ def load_warehouse(spark: SparkSession, sources, db: str, opts: CleanOptions = C
 def run_elt(spark: SparkSession, source_dir: str | None = None, db: str = "marketplace",
                  sources: dict[str, DataFrame] | None = None, export_dir: str | None = None,
                  opts: CleanOptions = CleanOptions(), strict: bool = False,
-                 buckets: int | None = None, pre_checks: bool = True) -> EltResult:
+                 buckets: int | None = None, pre_checks: bool = True,
+                 landing_dir: str | None = None) -> EltResult:
     """Run the whole load. Give either ``source_dir`` (CSV files) or ready ``sources`` frames.
 
     Any source that fails to read halts the run before transforming (as the
-    source pipeline does). ``strict`` makes a failed quality gate raise (the
+    source pipeline does). ``landing_dir`` first converts the CSV sources to
+    Parquet there (do this at scale: multi-line CSV is one task per file). ``strict`` makes a failed quality gate raise (the
     pre-load gates then run before anything is written); by default failures are
     reported and the load continues.
     """
     if sources is None:
         if source_dir is None:
             raise ValueError("give source_dir or sources")
-        sources, _ = CS.extract(spark, CS.source_paths(source_dir), require_all=True)
+        if landing_dir is not None:
+            # land the CSVs as Parquet once; everything after reads splittable files
+            sources = CS.read_landed(spark, CS.land_as_parquet(spark, CS.source_paths(source_dir), landing_dir))
+        else:
+            sources, _ = CS.extract(spark, CS.source_paths(source_dir), require_all=True)
     pre = None
     if pre_checks and strict:
         # must stop before writing: check the cleaning plans themselves

@@ -102,3 +102,29 @@ def write_csv_sources(frames: dict[str, DataFrame], base_dir: str) -> dict[str,
          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
         out[name] = path
     return out
+
+
+def land_as_parquet(spark: SparkSession, paths: dict[str, str], landing_dir: str,
+                    multiline: bool = True) -> dict[str, str]:
+    """Convert each CSV source to Parquet once, keeping the file-order ordinal.
+
+    A ``multiLine`` CSV file is read by one task; landing it once makes every
+    later read splittable and columnar. Sources that need first-wins ordering
+    carry ``src_ord`` into the Parquet files, so the ordering survives.
+    Returns the Parquet path per source; raises ``ExtractError`` if any source
+    cannot be read (nothing half-landed is reported as success).
+    """
+    frames, errors = extract(spark, paths, multiline)
+    if errors:
+        raise ExtractError(errors)
+    out = {}
+    for name, df in frames.items():
+        path = os.path.join(landing_dir, name)
+        df.write.mode("overwrite").parquet(path)
+        out[name] = path
+    return out
+
+
+def read_landed(spark: SparkSession, landed: dict[str, str]) -> dict[str, DataFrame]:
+    """The landed sources as DataFrames (all-string columns plus ``src_ord`` where kept)."""
+    return {name: spark.read.parquet(path) for name, path in landed.items()}
