@@ -16,13 +16,3 @@ def to_number_or_zero(c: ColumnOrName, dtype: str) -> Column:
 def safe_divide(a: ColumnOrName, b: ColumnOrName) -> Column:
     """a / b as double; null when b is 0 or null (a blank, not an error or infinity)."""
     return F.try_divide(_col(a).cast("double"), _col(b).cast("double"))
-
-
-def round_half_up_long(c: ColumnOrName) -> Column:
-    """Fractional measure -> whole number, halves away from zero (NUMBER(38,0) load)."""
-    return F.round(_col(c).try_cast("double"), 0).try_cast("long")
-
-
-def money_sum(c: ColumnOrName) -> Column:
-    """Exact decimal sum, widened to decimal(38,2) so results do not depend on row order."""
-    return F.sum(_col(c)).cast("decimal(38,2)")

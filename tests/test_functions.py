@@ -1,8 +1,6 @@
 import unicodedata
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from emporium.functions import (apply_contains_rules, delay_bucket, normalize_place, on_time_flag,
                                 parse_timestamp, safe_divide, strip_accents, strip_whitespace)
 
