@@ -114,32 +114,6 @@ JOIN dim_orders o ON o.order_id = foi.order_id
 LEFT JOIN dim_products p ON p.product_id = foi.product_id
 """
 
-# The view as the source states it (item grain, COUNT DISTINCT, 1:N reviews join).
-# Kept for equivalence tests; the catalog view below computes the same rows.
-SELLER_MONTHLY_LITERAL_SQL = """
-CREATE OR REPLACE TEMP VIEW vw_seller_monthly AS
-WITH base AS (
-  SELECT CAST(trunc(CAST(order_purchase_timestamp AS DATE), 'MM') AS TIMESTAMP_NTZ) AS month,
-         seller_id,
-         COUNT(DISTINCT order_id) AS orders,
-         COUNT(*) AS items,
-         CAST(SUM(price + freight_value) AS DECIMAL(38,2)) AS gmv,
-         AVG(CASE WHEN order_delivered_customer_date IS NOT NULL
-                   AND order_delivered_customer_date <= order_estimated_delivery_date
-                  THEN 1 ELSE 0 END) AS on_time_rate
-  FROM base_order_items
-  GROUP BY 1, 2
-), reviews AS (
-  SELECT foi.seller_id, AVG(r.review_score) AS avg_review
-  FROM fact_order_items foi JOIN dim_reviews r ON r.order_id = foi.order_id
-  GROUP BY foi.seller_id
-)
-SELECT b.month, b.seller_id, b.orders, b.items, b.gmv, b.on_time_rate, r.avg_review
-FROM base b LEFT JOIN reviews r ON r.seller_id = b.seller_id
-ORDER BY b.month, b.seller_id
-"""
-
-
 # The catalog view, in the same pre-aggregated form as ``seller_monthly``.
 # (In SQL, WHERE runs before window functions, hence the outer filter.)
 SELLER_MONTHLY_SQL = """
