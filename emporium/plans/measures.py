@@ -120,6 +120,12 @@ def gmv_by_weekday(t: Tables) -> DataFrame:
                       "gmv", "items", "total_orders", "avg_order_value")
 
 
+def gmv_weekday_vs_weekend(t: Tables) -> DataFrame:
+    """Two rows: purchases Monday-Friday against Saturday-Sunday."""
+    day_type = F.when(TM.weekday("order_purchase_timestamp") >= 5, "weekend").otherwise("weekday")
+    return _gmv_by_order_attribute(t, {"day_type": day_type})
+
+
 # ---------------------------------------------------------------------------
 # M12 geography
 # ---------------------------------------------------------------------------
@@ -290,6 +296,13 @@ def with_first_purchase(orders: DataFrame) -> DataFrame:
     return orders.join(first, "customer_id", "left")
 
 
+def orders_first_purchase(t: Tables) -> DataFrame:
+    """Every order with its customer's all-time first purchase (the cohort date)."""
+    o = with_first_purchase(t["dim_orders"].select("order_id", "customer_id", "order_purchase_timestamp"))
+    return o.select("order_id", "customer_id", "order_purchase_timestamp", "first_purchase_timestamp",
+                    TM.month_start("first_purchase_timestamp").alias("cohort_month"))
+
+
 def first_purchase_cohort(t: Tables) -> DataFrame:
     o = t["dim_orders"].where(F.col("customer_id").isNotNull())
     per_customer = (o.select("order_id", "customer_id", "order_purchase_timestamp")

@@ -407,3 +407,14 @@ def q_measures_by_category_state(spark, sf_dir):
     city (reach the item measures only)."""
     return M.measure_frame(driver_warehouse(spark, sf_dir), by=["product_category_name_english", "customer_state"],
                            item_where="seller_city <> 'sao paulo'")
+
+
+register("gmv_weekday_vs_weekend", O.with_ctes(O.by_order_attribute(
+    "CASE WHEN isodow(o.order_purchase_timestamp) >= 6 THEN 'weekend' ELSE 'weekday' END", "day_type")))(
+    _measure(M.gmv_weekday_vs_weekend))
+
+register("orders_first_purchase", O.with_ctes("""
+SELECT order_id, customer_id, order_purchase_timestamp,
+  MIN(order_purchase_timestamp) OVER (PARTITION BY customer_id) AS first_purchase_timestamp,
+  CAST(date_trunc('month', MIN(order_purchase_timestamp) OVER (PARTITION BY customer_id)) AS TIMESTAMP) AS cohort_month
+FROM dim_orders"""))(_measure(M.orders_first_purchase))
