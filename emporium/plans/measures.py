@@ -277,10 +277,12 @@ def seller_scorecard(t: Tables) -> DataFrame:
               _money(F.sum(F.col("gmv") * k)).alias("gmv"),
               F.sum(n * F.col("t")).alias("on_time_items"),
               N.safe_divide(F.sum(n * F.col("s")), F.sum(n * F.col("c"))).alias("avg_review")))
-    return (s.where(F.col("orders") > 0)
-            .select("seller_id", "orders", "items", "gmv",
-                    N.safe_divide("on_time_items", "items").alias("on_time_rate"), "avg_review",
-                    F.rank().over(Window.orderBy(F.desc_nulls_last("gmv"))).alias("gmv_rank")))
+    # Sellers grow with the data: rank them without a single-partition window.
+    from ..operators.ranking import global_rank
+    scored = (s.where(F.col("orders") > 0)
+              .select("seller_id", "orders", "items", "gmv",
+                      N.safe_divide("on_time_items", "items").alias("on_time_rate"), "avg_review"))
+    return global_rank(scored, [F.desc_nulls_last("gmv")], "gmv_rank")
 
 
 # ---------------------------------------------------------------------------
