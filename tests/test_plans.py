@@ -45,3 +45,26 @@ def test_null_key_report_scans_each_table_once(spark):
     report = Q.null_key_report(w, {"fact_order_items": ["order_id", "order_item_id", "product_id"]})
     # three key columns, still the relations of exactly one pass over the fact's plan
     assert optimized(report).count("Relation [") == optimized(fact).count("Relation [")
+
+
+def test_seller_monthly_scans_the_fact_once(spark):
+    from emporium.plans import views as V
+    w = driver_warehouse(spark, SF_SMALL)
+    p = optimized(V.seller_monthly(w["fact_order_items"], w["dim_orders"], w["dim_reviews"]))
+    assert p.count("l_extendedprice") >= 1
+    assert sum(1 for line in p.split("\n") if "Relation [" in line and "l_orderkey" in line) == 1
+
+
+def test_flagship_never_reads_review_text(spark):
+    p = plan(QUERIES["v_seller_monthly"](spark, SF_SMALL))
+    conv = [line for line in p.split("\n") if "FileScan" in line and "conv_id" in line]
+    assert conv and all("text:" not in line.split("ReadSchema")[1] for line in conv)
+    assert "translate(" not in p
+
+
+def test_seller_rank_has_no_single_partition_window(spark):
+    from emporium.plans import measures as M
+    p = plan(M.seller_scorecard(driver_warehouse(spark, SF_SMALL)))
+    rank_windows = [line for line in p.split("\n") if "Window [" in line and "rank(" in line]
+    assert rank_windows and all("__pid" in line.split("windowspecdefinition(")[1].split(",")[0]
+                                for line in rank_windows)
