@@ -31,26 +31,32 @@ class EltResult:
 
 FACT = "fact_order_items"
 FACT_DIMS = ("dim_orders", "dim_products", "dim_sellers")
+# Dimensions that reference orders but are not needed to build the fact.
+DEPENDENT_DIMS = ("dim_payments", "dim_reviews")
 
 
 def load_warehouse(spark: SparkSession, sources, db: str, opts: CleanOptions = CleanOptions(),
                    buckets: int | None = None) -> WH.LoadResult:
     """Clean and load every table; the fact is built from the *stored* dimensions.
 
-    Dimensions are written first (foreign-key order). The fact's key filters then
-    read the written, bucketed dimension tables instead of re-running their
-    cleaning plans: less work, and the fact's lineage starts at stored files, so
-    a lost executor re-runs only fact tasks.
+    The dimensions the fact depends on are written first (foreign-key order). The
+    fact's key filters then read those written tables instead of re-running their
+    cleaning plans -- less work, and the fact's lineage starts at stored files, so
+    a lost executor re-runs only fact tasks. The fact is written concurrently with
+    payments and reviews (same foreign-key level).
     """
     tables = dict(clean_all(sources, opts))
-    dims = {k: v for k, v in tables.items() if k != FACT}
-    first = WH.load_tables(spark, dims, db, buckets)
-    if FACT not in tables:
-        return first
-    stored = {d: spark.table(f"{db}.{d}") for d in FACT_DIMS}
-    fact = clean_order_items(sources["order_items"], *[stored[d] for d in FACT_DIMS])
-    second = WH.load_tables(spark, {FACT: fact}, db, buckets)
-    rejects = first.rejects.unionByName(second.rejects) if first.rejects is not None else second.rejects
+    # 1) the dimensions the fact is filtered by (with whatever they reference)
+    first = WH.load_tables(spark, {k: v for k, v in tables.items() if k in FACT_DIMS or
+                                   k not in (FACT, *DEPENDENT_DIMS)}, db, buckets)
+    # 2) the fact, from the stored dimensions, together with the remaining dimensions
+    rest = {k: v for k, v in tables.items() if k in DEPENDENT_DIMS}
+    if FACT in tables:
+        stored = {d: spark.table(f"{db}.{d}") for d in FACT_DIMS}
+        rest[FACT] = clean_order_items(sources["order_items"], *[stored[d] for d in FACT_DIMS])
+    second = WH.load_tables(spark, rest, db, buckets) if rest else WH.LoadResult([], None)
+    parts = [r for r in (first.rejects, second.rejects) if r is not None]
+    rejects = parts[0].unionByName(parts[1]) if len(parts) == 2 else (parts[0] if parts else None)
     return WH.LoadResult(first.loaded + second.loaded, rejects)
 
 
