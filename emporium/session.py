@@ -74,12 +74,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as
     is. Only when it is unset (unit tests, a laptop) do we create one ourselves.
+    On a Spark Connect session (no SparkContext) the server's setting applies.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: the server owns the checkpoint dir
+        return configured or ""
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    configured = configured or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
         configured = tempfile.mkdtemp(prefix="emporium-ckpt-")
     sc.setCheckpointDir(configured)
