@@ -12,9 +12,13 @@ from .conftest import SF_SMALL
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "conversations"]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 9)
+        return "nan" if math.isnan(v) else v
     if isinstance(v, decimal.Decimal):
         return str(v.normalize())
     if hasattr(v, "isoformat"):
@@ -47,6 +51,9 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _rows(df.columns, srows) == _rows(ocols, res.fetchall())
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {oracle}").fetchall()}
+    for c, t in df.dtypes:
+        assert duck_types[c] == SPARK_TO_DUCK.get(t, t.upper()), (c, t, duck_types[c])
 
 
 def test_entry_smoke(spark):
