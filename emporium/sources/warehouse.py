@@ -141,6 +141,26 @@ def load_tables(spark: SparkSession, tables: dict[str, DataFrame], db: str,
     return LoadResult(loaded, rej)
 
 
+def attach_warehouse(spark: SparkSession, db: str, location: str) -> list[str]:
+    """Register the table folders found under ``location`` as tables of ``db``.
+
+    For sessions whose catalog does not outlive the process (the default
+    in-memory catalog): a later run attaches what an earlier run wrote, then
+    re-creates the views. Returns the attached table names.
+    """
+    create_database(spark, db)
+    attached = []
+    for name in load_order():
+        path = os.path.join(location, name)
+        if not spark.catalog.tableExists(f"{db}.{name}") and os.path.isdir(path):
+            spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
+            attached.append(name)
+    if {"fact_order_items", "dim_orders", "dim_products", "dim_reviews"} <= set(
+            t.name for t in spark.catalog.listTables(db)):
+        create_views(spark, db)
+    return attached
+
+
 def warehouse_tables(spark: SparkSession, db: str) -> dict[str, DataFrame]:
     return {name: spark.table(f"{db}.{name}") for name in TABLES
             if spark.catalog.tableExists(f"{db}.{name}")}
