@@ -6,7 +6,6 @@ Library functions never create a session themselves; they take the caller's
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -89,10 +88,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="emporium-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A per-run folder under the shared checkpoint directory (never machine-local on a cluster)."""
-    base = ensure_checkpoint_dir(spark)
-    import uuid
-    return os.path.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
