@@ -180,7 +180,7 @@ def parse_orders(raw: DataFrame) -> DataFrame:
                       *[TM.parse_timestamp(c).alias(c) for c in ORDER_TS])
 
 
-def chronology_violation(orders: DataFrame | None = None) -> Column:
+def chronology_violation() -> Column:
     """approved < purchase OR carrier < approved OR delivered < carrier OR estimated < purchase.
 
     A comparison with a null timestamp is false, as with pandas NaT.
