@@ -33,10 +33,19 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
-def column_distinct_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """(column_name, distinct_count) -- exact, nulls not counted (``nunique``)."""
+def column_distinct_counts(df: DataFrame, cols: Sequence[str] | None = None,
+                           approx_rsd: float | None = None) -> DataFrame:
+    """(column_name, distinct_count), nulls not counted (``nunique``).
+
+    Exact by default (one aggregate; Spark expands the rows once per column and
+    de-duplicates map-side). ``approx_rsd`` switches to HyperLogLog sketches
+    (one pass, fixed-size state per column, no expansion) for very wide or very
+    large tables.
+    """
     cols = list(cols or df.columns)
-    row = df.agg(*[F.count_distinct(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    count = ((lambda c: F.approx_count_distinct(c, approx_rsd)) if approx_rsd is not None
+             else F.count_distinct)
+    row = df.agg(*[count(c).alias(f"c{i}") for i, c in enumerate(cols)])
     stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                            F.col(f"c{i}").cast("long").alias("distinct_count"))
                                   for i, c in enumerate(cols)]))
@@ -50,23 +59,32 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str] | None = None,
+             approx_accuracy: int | None = None) -> DataFrame:
     """count, mean, std (ddof 1), min, 25%, 50%, 75%, max per numeric column.
 
     Moments are one aggregate; quartiles are exact (linear interpolation) and
-    computed by the distributed ranking in ``quantiles``.
+    computed by the distributed ranking in ``quantiles``. ``approx_accuracy``
+    switches the quartiles to ``approx_percentile`` sketches (one pass, bounded
+    state; nearest-rank values, not interpolated) for very large inputs.
     """
     cols = list(cols or numeric_columns(df))
-    moments = df.select(F.explode(F.array(*[
+    stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols
-    ])).alias("s")).select("s.*").groupBy("column_name").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
+    ])).alias("s")).select("s.*")
+    moments = [F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+               F.min("v").alias("min"), F.max("v").alias("max")]
+    out = ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    if approx_accuracy is not None:
+        # one pass: moments and quartile sketches in the same aggregate
+        qs = F.percentile_approx("v", [0.25, 0.5, 0.75], approx_accuracy).alias("q")
+        agg = stacked.groupBy("column_name").agg(*moments, qs)
+        return agg.select("column_name", "count", "mean", "std", "min", F.col("q")[0].alias("p25"),
+                          F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
     q = (exact_quantiles(df, cols, [0.25, 0.5, 0.75])
          .groupBy("column_name").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("value")))
     q = q.toDF("column_name", "p25", "p50", "p75")
-    return moments.join(q, "column_name").select(
-        "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    return stacked.groupBy("column_name").agg(*moments).join(q, "column_name").select(*out)
 
 
 def review_id_profile(reviews: DataFrame) -> DataFrame:

@@ -90,3 +90,15 @@ def test_global_rank_equals_sql_rank_with_ties_and_nulls(spark):
     ours = {r.id: r.r for r in global_rank(df, order, "r", partitions=7).collect()}
     ref = {r.id: r.r for r in df.withColumn("r", F.rank().over(Window.orderBy(*order))).collect()}
     assert ours == ref
+
+
+def test_approximate_profiles_are_close(spark):
+    from emporium.operators.profile import column_distinct_counts
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"a": rng.integers(0, 5000, 20000).astype(float)})
+    df = spark.createDataFrame(pdf)
+    exact = column_distinct_counts(df).first().distinct_count
+    approx = column_distinct_counts(df, approx_rsd=0.02).first().distinct_count
+    assert abs(approx - exact) / exact < 0.1
+    d = describe(df, ["a"], approx_accuracy=10000).first()
+    assert abs(d.p50 - pdf["a"].median()) <= 50
