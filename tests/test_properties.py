@@ -28,3 +28,24 @@ def test_strip_accents_property(spark, texts):
         .select("s", strip_accents("s").alias("o")).collect()
     for r in rows:
         assert r.o == _ref(r.s), repr(r.s)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.integers(-50, 50).map(float), st.just(float("nan"))), min_size=1, max_size=300),
+       st.integers(1, 9))
+def test_exact_quantiles_property(spark, values, parts):
+    import math
+
+    import pandas as pd
+
+    from emporium.operators.quantiles import exact_quantiles
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    series = pd.Series(values, dtype="float64")
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = {r.prob: r.value for r in exact_quantiles(df, ["x"], probs, partitions=parts).collect()}
+    for p in probs:
+        expect = series.quantile(p)
+        if math.isnan(expect):
+            assert got[p] is None
+        else:
+            assert abs(got[p] - expect) < 1e-9, (p, got[p], expect)
