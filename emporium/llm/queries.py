@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import exact_dedup as X
 from .common import read_table
 from .packing import pack
+from .pieces import encode_decode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,3 +37,8 @@ ORACLE["op5_exact_dedup"] = X.ORACLE
 @query
 def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query
+def op2_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
