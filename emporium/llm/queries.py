@@ -10,6 +10,8 @@ from . import exact_dedup as X
 from .common import read_table
 from .packing import pack
 from .pieces import encode_decode
+from .simhash import simhash_groups
+from .substring import remove_repeated
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,3 +44,13 @@ def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op8_simhash_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read_table(spark, sf_dir, "documents")).drop("first", "text_key")
+
+
+@query
+def op3_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated(read_table(spark, sf_dir, "documents"))
