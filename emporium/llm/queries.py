@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import exact_dedup as X
+from . import topk as K
 from .common import read_table
 from .packing import pack
 from .pieces import encode_decode
+from .quality import scores
 from .simhash import simhash_groups
 from .substring import remove_repeated
 
@@ -54,3 +57,16 @@ def op8_simhash_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_nnpu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.top_inner_products(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op6_norm_sorted_topk"] = K.ORACLE
