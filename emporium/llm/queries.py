@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import exact_dedup as X
 from . import topk as K
 from .common import read_table
+from .lm import score_texts
 from .packing import pack
 from .pieces import encode_decode
 from .quality import scores
@@ -70,3 +71,8 @@ def op6_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op6_norm_sorted_topk"] = K.ORACLE
+
+
+@query
+def op7_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read_table(spark, sf_dir, "documents"))
