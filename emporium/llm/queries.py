@@ -14,6 +14,7 @@ from .lm import score_texts
 from .packing import pack
 from .pieces import encode_decode
 from .quality import scores
+from .quotes import linked_conversations
 from .simhash import simhash_groups
 from .substring import remove_repeated
 
@@ -76,3 +77,8 @@ ORACLE["op6_norm_sorted_topk"] = K.ORACLE
 @query
 def op7_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_conversations(read_table(spark, sf_dir, "conversations"))
