@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,6 @@ SYMBOLS = [b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in "
 N_HASHED = 256
 N_STYLE = 24
 N_FEATURES = 129 + N_STYLE + N_HASHED
-SCORED = "doc_id long, held_out boolean, score double, predicted int"
 
 
 def features(text: bytes) -> np.ndarray:
@@ -199,23 +199,30 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2,
     return fit(positive, unlabelled, prior)
 
 
+def scorer(spark, network: Network | None):
+    """A column function from text to score."""
+    sent = spark.sparkContext.broadcast(network)
+
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        if sent.value is None:
+            return pd.Series(np.ones(len(text)))
+        found = np.array([features((t or "").encode()) for t in text]).reshape(-1, N_FEATURES)
+        return pd.Series(sent.value.score(found).astype(np.float64))
+
+    return score
+
+
 def scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, threshold: float = 0.7,
            sample: int = 16_000) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted``."""
     rows = id_and_text(docs)
-    spark = rows.sparkSession
-    network = spark.sparkContext.broadcast(train(docs, labels, folds, held_out, sample))
-    schema = spark.createDataFrame([], "doc_id long, score double").schema
+    score = scorer(rows.sparkSession, train(docs, labels, folds, held_out, sample))
+    return rows.select("doc_id", F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"),
+                       score("text").alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = text_bytes(batch.column(1))
-            if network.value is None:
-                score = np.ones(len(texts))
-            else:
-                score = network.value.score(np.array([features(t) for t in texts]).reshape(-1, N_FEATURES))
-            yield to_batch(schema, {"doc_id": batch.column(0), "score": score.astype(np.float64)})
 
-    return rows.mapInArrow(run, schema).select(
-        "doc_id", F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"))
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """The documents that score ``threshold`` or more, with all their columns."""
+    score = scorer(docs.sparkSession, train(docs, labels))
+    return docs.filter(score(F.col("text").cast("string")) >= threshold)

@@ -17,6 +17,7 @@ from .quality import scores
 from .quotes import linked_conversations
 from .simhash import simhash_groups
 from .substring import remove_repeated
+from .suffix import remove_repeated_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,3 +83,8 @@ def op7_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_conversations(read_table(spark, sf_dir, "conversations"))
+
+
+@query
+def op10_induced_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(read_table(spark, sf_dir, "documents"))

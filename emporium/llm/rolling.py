@@ -6,11 +6,13 @@ from functools import lru_cache
 
 import numpy as np
 
+# Bytes of text that are hashed together; the tables of powers are of this size.
+SLICE = 1 << 20
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=6)
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n of an odd base and of its inverse."""
     up, down = np.ones(n + 1, np.uint64), np.ones(n + 1, np.uint64)
@@ -20,6 +22,24 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         return np.cumprod(up), np.cumprod(down)
 
 
+def table_size(n: int) -> int:
+    """One size of table for all slices; a longer text gets a larger one of its own."""
+    return SLICE + (SLICE >> 2) if n <= SLICE + (SLICE >> 2) else 1 << n.bit_length()
+
+
+def long_pieces(text: bytes) -> list[bytes]:
+    """A text cut at white space into pieces of about a slice; a longer word stays whole."""
+    out, at = [], 0
+    while len(text) - at > SLICE:
+        cut = max((text.rfind(c, at, at + SLICE) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")), default=-1)
+        if cut <= at:
+            cut = min((p for p in (text.find(c, at + SLICE) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+                       if p >= 0), default=len(text))
+        out.append(text[at:cut])
+        at = cut
+    return [*out, text[at:]]
+
+
 class Hasher:
     """One lane: random value per byte and an odd base, both from a seed."""
 
@@ -34,12 +54,12 @@ class Hasher:
         return h ^ (h >> np.uint64(29))
 
     def prefix(self, values: np.ndarray, base: int) -> np.ndarray:
-        size = 1 << max(12, int(len(values)).bit_length())
+        size = table_size(len(values))
         up, _ = powers(base, size)
         return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[:len(values)])])
 
     def take(self, prefix: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        size = 1 << max(12, int(len(prefix) - 1).bit_length())
+        size = table_size(len(prefix) - 1)
         _, down = powers(base, size)
         return self.mix((prefix[end] - prefix[start]) * down[start])
 
@@ -58,6 +78,21 @@ class Hasher:
             return self.take(self.prefix(items, self.outer), self.outer, at, at + width)
 
 
+def word_hashes(texts: list[bytes], lane: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and words per text; long texts go piece by piece."""
+    if len(texts) == 1 and len(texts[0]) > SLICE:
+        parts = [word_hashes([p], lane)[0] if len(p) <= SLICE else _hashed([p], lane)[0]
+                 for p in long_pieces(texts[0])]
+        found = np.concatenate(parts)
+        return found, np.array([len(found)])
+    return _hashed(texts, lane)
+
+
+def _hashed(texts: list[bytes], lane: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    buf, start, end, count = words(texts)
+    return lane.spans(buf, start, end), count
+
+
 def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(buffer, start, end, count)``: the words' spans in the joined texts, and words per text."""
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
