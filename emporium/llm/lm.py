@@ -37,8 +37,8 @@ from .sketch import pack_sorted, unpack_sorted
 
 LANE = rolling.Hasher(701)
 END = np.uint64(1)  # the end token's place among the word hashes
-CHUNK_BYTES = 16 << 20
-SHARD_BYTES = 32 << 20
+CHUNK_BYTES = 12 << 20
+SHARD_BYTES = 16 << 20
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double")
 # chunk and shard; one row is a chunk's body or a message between a chunk and a shard.
@@ -73,8 +73,8 @@ def expand(data: bytes) -> list[np.ndarray]:
 
 def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, each text followed by the end token, and tokens per text."""
-    buf, start, end, count = rolling.words([t.lower() for t in texts])
-    hashes = np.maximum(LANE.spans(buf, start, end), np.uint64(2))
+    hashes, count = rolling.word_hashes([t.lower() for t in texts], LANE)
+    hashes = np.maximum(hashes, np.uint64(2))
     out = np.full(len(hashes) + len(texts), END)
     last = np.cumsum(count + 1) - 1
     word = np.ones(len(out), bool)
@@ -176,7 +176,7 @@ def chunked(docs: DataFrame, folds: int, held_out: int, shards: int) -> DataFram
             values = ids.fill_null(0).to_numpy()
             outs = np.asarray(batch.column(2).to_pylist(), bool)
             texts = text_bytes(batch.column(1))
-            for a, b in byte_slices([len(t) for t in texts], 4 << 20):
+            for a, b in byte_slices([len(t) for t in texts], rolling.SLICE):
                 hashes, lengths = token_hashes(texts[a:b])
                 held.append((hashes, lengths, values[a:b], known[a:b], outs[a:b]))
                 size += sum(map(len, texts[a:b])) + b - a
