@@ -85,7 +85,7 @@ class Repeated:
 
 
 def count_repeated(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], bits: int = 28,
-                   depth: int = 2, flush: int = 4_000_000) -> Repeated:
+                   depth: int = 2, flush: int = 2_000_000) -> Repeated:
     """Sketch the keys that ``keys_of`` makes of every batch of ``rows``; merge; return the merged sketch."""
     spark = rows.sparkSession
     schema = spark.createDataFrame([], SCHEMA).schema
