@@ -13,8 +13,11 @@ ignored. Nothing is shuffled, so hot keys play no part; a lost task packs its pa
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,29 +33,75 @@ Piece = tuple  # (doc_id, start, doc_tokens, ids as little-endian uint32 bytes)
 
 
 class WordTokenizer:
-    """Ids of a text through a tokenizers file that treats white space as a mere boundary.
+    """Ids of a text through a tokenizers file that lower-cases and treats white space as a mere
+    boundary, as its pre-tokenizer does the place between a letter and a sentence mark.
 
-    Such a tokenizer encodes each word on its own, so words are encoded once and kept in a
-    bounded table."""
+    Such a tokenizer encodes each word on its own, so words are encoded once and kept in two
+    generations of a bounded table: words that are used again move to the younger one."""
 
-    def __init__(self, path: str, keep: int = 300_000):
+    MARKS = b".,;:!?"
+
+    def __init__(self, path: str, keep: int = 400_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.keep, self.known = keep, {}
+        self.keep, self.young, self.old = keep, {}, {}
+        ids = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(ids.values()) + 1, bool)
+        self.ends_word[[i for t, i in ids.items() if t.endswith("</w>")]] = True
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_new(self, words: list[bytes], together: int = 32) -> None:
+        """Words of letters alone are one pre-token each: many go through in one text, and the ids
+        that end a word cut them apart again. Other words go one by one."""
+        texts = [w.decode() for w in words]
+        letters = [i for i, t in enumerate(texts) if t.isalpha() and t.lower().isalpha()]
+        joined = [letters[i:i + together] for i in range(0, len(letters), together)]
+        for group, ids in zip(joined, self._ids([" ".join([texts[i] for i in g]) for g in joined])):
+            raw = np.array(ids, "<u4")
+            ends = ((np.flatnonzero(self.ends_word[raw]) + 1) * 4).tolist()
+            if len(ends) != len(group):
+                raise ValueError("the tokenizer does not end each word of letters with one id")
+            raw = raw.tobytes()
+            self.young.update((words[i], raw[a:b]) for i, a, b in zip(group, [0, *ends], ends))
+        apart = sorted(set(range(len(words))).difference(letters))
+        self.young.update((words[i], array("I", ids).tobytes())
+                          for i, ids in zip(apart, self._ids([texts[i] for i in apart])))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
-        if len(self.known) > self.keep:
-            self.known.clear()
-        new = list({w for ws in words for w in ws if w not in self.known})
-        encoded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
-        get = self.known.__getitem__
+        words = [t.lower().split() for t in texts]
+        if len(self.young) > self.keep:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        new, split = [], []
+        for w in {w for ws in words for w in ws if w not in young}:
+            if w in old:
+                young[w] = old[w]
+                continue
+            core = w.rstrip(self.MARKS)
+            if len(core) < len(w) and core and core.decode()[-1].lower()[-1].isalpha():
+                split.append((w, core, w[len(core):]))
+            else:
+                new.append(w)
+        parts = {p for _, core, tail in split for p in (core, tail) if p not in young}
+        young.update((p, old[p]) for p in parts if p in old)
+        self._encode_new(list({*new, *(p for p in parts if p not in old)}))
+        for w, core, tail in split:
+            young[w] = young[core] + young[tail]
+        get = young.__getitem__
         return [b"".join(map(get, ws)) for ws in words]
 
 
+@lru_cache(maxsize=2)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One for each worker process and file."""
+    return WordTokenizer(path)
+
+
 class SumOfSquaresPacker:
     """Places sequences into windows of ``size`` tokens; yields closed windows as lists of pieces."""
 
@@ -129,7 +178,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int =
     schema = rows.sparkSession.createDataFrame([], SCHEMA).schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, packer = WordTokenizer(tokenizer_path), SumOfSquaresPacker(window)
+        tokenizer, packer = word_tokenizer(tokenizer_path), SumOfSquaresPacker(window)
         end = np.array([end_id], "<u4").tobytes()
         sequence = (TaskContext.get().partitionId() << 32) - 1
         out: dict[str, list] = {f.name: [] for f in schema}
