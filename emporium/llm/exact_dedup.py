@@ -24,6 +24,9 @@ from .common import id_and_text, materialize, rank_id, scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# Digests of 32 bytes that may be broadcast (under 64 MB in memory).
+MOST_SENT = 400_000
+
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")
@@ -40,6 +43,8 @@ def first_seen_state(spark: SparkSession, landed: str, schema, files_per_batch:
         session.conf.set(k, spark.conf.get(k))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # Many small stores: no files set aside in advance, one bound on their memory together.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
     out = scratch_path(spark, "dedup-state")
@@ -77,10 +82,14 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256,
     state = materialize(first_seen_state(spark, landed.inputFiles()[0].rsplit("/", 1)[0], narrow.schema,
                                          files_per_batch), "dedup-groups")
 
-    # Full bytes on hits. Equal texts of a partition are combined before they are moved.
+    # Full bytes on hits. Equal texts of a partition are combined before they are moved; while the
+    # hits are few enough to be sent to every task, no other text is moved at all.
     hits = state.filter("n > 1").select("digest")
-    texts = (rows.select("norm").withColumn("digest", digest(F.col("norm")))
-             .join(hits, "digest", "left_semi").select("digest", "norm").distinct())
+    texts = rows.select("norm").withColumn("digest", digest(F.col("norm"))).select("digest", "norm")
+    if hits.count() <= MOST_SENT:
+        texts = texts.join(F.broadcast(hits), "digest", "left_semi").distinct()
+    else:
+        texts = texts.distinct().join(hits, "digest", "left_semi")
     clashes = materialize(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
                           .select("digest"), "dedup-clashes")
     joined = landed.drop("locator").join(state, "digest")
