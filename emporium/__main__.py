@@ -12,21 +12,22 @@ Tables land in ``<warehouse-dir>/<db>.db/<table>``; later commands attach them.
 from __future__ import annotations
 
 import argparse
-import os
 import sys
 
 from .plans.clean import CleanOptions
-from .session import build_session
+from .session import as_location, build_session, join_location, recommended_conf
 
 
 def _session(args):
-    extra = {"spark.sql.warehouse.dir": os.path.abspath(args.warehouse_dir)}
+    extra = {"spark.sql.warehouse.dir": as_location(args.warehouse_dir)}
+    if args.input_bytes:
+        extra = recommended_conf(args.input_bytes, args.cores) | extra
     return build_session(args.master, "emporium", args.shuffle_partitions, extra)
 
 
 def _attach(spark, args):
     from .sources.warehouse import attach_warehouse
-    attach_warehouse(spark, args.db, os.path.join(os.path.abspath(args.warehouse_dir), f"{args.db}.db"))
+    attach_warehouse(spark, args.db, join_location(as_location(args.warehouse_dir), f"{args.db}.db"))
 
 
 def cmd_elt(spark, args) -> int:
@@ -34,7 +35,8 @@ def cmd_elt(spark, args) -> int:
     opts = CleanOptions(enforce_chronology=args.enforce_chronology, impute=args.impute,
                         legacy_nan=args.legacy_nan, legacy_zip=args.legacy_zip)
     res = run_elt(spark, source_dir=args.source_dir, db=args.db, export_dir=args.export_dir, opts=opts,
-                  strict=args.strict, buckets=args.buckets, landing_dir=args.landing_dir)
+                  strict=args.strict, buckets=args.buckets, landing_dir=args.landing_dir,
+                  multiline=not args.single_line)
     if res.pre_load is not None:
         res.pre_load.orderBy("table_name", "check_name", "column_name").show(100, truncate=False)
     res.post_load.orderBy("table_name", "check_name", "column_name").show(100, truncate=False)
@@ -48,6 +50,7 @@ def cmd_check(spark, args) -> int:
     from .sources import warehouse as WH
     _attach(spark, args)
     rep = Q.gate_report(WH.warehouse_tables(spark, args.db), "post_load")
+    Q.duplicate_examples(Q.pk_duplicates(WH.warehouse_tables(spark, args.db))).show(truncate=False)
     Q.row_counts(WH.warehouse_tables(spark, args.db)).orderBy("table_name").show(truncate=False)
     rep.orderBy("table_name", "check_name", "column_name").show(100, truncate=False)
     for t, col, dim in [("fact_order_items", "order_id", "dim_orders"),
@@ -60,7 +63,7 @@ def cmd_check(spark, args) -> int:
 def cmd_export(spark, args) -> int:
     from .sources import warehouse as WH
     _attach(spark, args)
-    WH.export_csv(spark, args.db, os.path.abspath(args.out)).show(truncate=False)
+    WH.export_csv(spark, args.db, as_location(args.out), upper=args.upper).show(truncate=False)
     return 0
 
 
@@ -72,8 +75,10 @@ def cmd_query(spark, args) -> int:
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="python -m emporium")
-    p.add_argument("--master", default="local[*]")
-    p.add_argument("--shuffle-partitions", type=int, default=8)
+    p.add_argument("--master", help="only for local runs; spark-submit decides otherwise")
+    p.add_argument("--shuffle-partitions", type=int)
+    p.add_argument("--input-bytes", type=int, help="size the session for so much compressed input")
+    p.add_argument("--cores", type=int, default=8, help="with --input-bytes: cores of all executors")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     def common(sp):
@@ -85,6 +90,7 @@ def main(argv=None) -> int:
     e.add_argument("--source-dir", required=True)
     e.add_argument("--export-dir")
     e.add_argument("--landing-dir")
+    e.add_argument("--single-line", action="store_true", help="no quoted newlines: files are read by many tasks")
     e.add_argument("--buckets", type=int)
     e.add_argument("--strict", action="store_true")
     e.add_argument("--enforce-chronology", action="store_true")
@@ -97,6 +103,7 @@ def main(argv=None) -> int:
     x = sub.add_parser("export", help="every table and view to CSV folders")
     common(x)
     x.add_argument("--out", required=True)
+    x.add_argument("--upper", action="store_true", help="column names in upper case")
     q = sub.add_parser("query", help="run SQL over the warehouse tables and views")
     common(q)
     q.add_argument("--sql", required=True)

@@ -1,5 +1,5 @@
 """Column expressions (JVM-side built-ins only)."""
-from .numeric import safe_divide, to_number_or_zero  # noqa: F401
+from .numeric import safe_divide  # noqa: F401
 from .temporal import (day_name, delay_bucket, delay_days, format_timestamp, month_name,  # noqa: F401
                        month_start, on_time_flag, parse_timestamp, weekday)
 from .text import (apply_contains_rules, lower, normalize_place, replace_values,  # noqa: F401

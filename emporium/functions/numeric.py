@@ -1,4 +1,4 @@
-"""Numeric coercions and safe arithmetic."""
+"""Safe arithmetic."""
 
 from __future__ import annotations
 
@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from .text import ColumnOrName, _col
 
 
-def to_number_or_zero(c: ColumnOrName, dtype: str) -> Column:
-    """Coerce to ``dtype``; text that is not a number (and null) becomes 0."""
-    return F.coalesce(_col(c).try_cast(dtype), F.lit(0).cast(dtype))
-
-
 def safe_divide(a: ColumnOrName, b: ColumnOrName) -> Column:
     """a / b as double; null when b is 0 or null (a blank, not an error or infinity)."""
     return F.try_divide(_col(a).cast("double"), _col(b).cast("double"))

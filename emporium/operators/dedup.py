@@ -10,21 +10,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 INGEST_ORDINAL = "src_ord"
+# Copies of a row that one array stands for.
+COPIES = 10_000
 
 
 def with_ingest_ordinal(df: DataFrame, name: str = INGEST_ORDINAL) -> DataFrame:
     """Attach a file-order ordinal when the source did not bring one.
 
-    ``monotonically_increasing_id`` grows with partition index and row position,
-    and file splits are numbered in file order, so for a read it follows file order.
+    Spark deals file splits to tasks by size, so a row's place is its file, the
+    start of its split in that file, and its position in the split (the last part
+    of ``monotonically_increasing_id``, which grows inside a task). Frames that
+    are not read from files are ordered by partition and position alone.
     """
     if name in df.columns:
         return df
-    return df.withColumn(name, F.monotonically_increasing_id())
+    row = F.monotonically_increasing_id()
+    try:
+        return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("file"),
+                                            F.col("_metadata.file_block_start").alias("block"), row.alias("row")))
+    except AnalysisException:
+        return df.withColumn(name, F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("block"),
+                                            row.alias("row")))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -51,10 +62,23 @@ def duplicate_rows(df: DataFrame, count_col: str = "duplicate_count") -> DataFra
 
 
 def expand_duplicates(dups: DataFrame, count_col: str = "duplicate_count") -> DataFrame:
-    """Materialise one row per extra copy from :func:`duplicate_rows` output."""
+    """Materialise one row per extra copy from :func:`duplicate_rows` output.
+
+    A count is first cut into blocks of ``COPIES`` that are dealt out anew, so the copies of a
+    hot row are made by many tasks and no array holds more than ``COPIES`` entries.
+    """
     rest = [c for c in dups.columns if c != count_col]
-    return (dups.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col(count_col).cast("int"))))
-            .select(*rest))
+    n = F.col(count_col).cast("long")
+    # Blocks of blocks: two short arrays reach COPIES squared, each further level as much again.
+    left = dups.withColumn("__n", n)
+    for level in (COPIES ** 3, COPIES ** 2, COPIES):
+        whole = F.floor(F.col("__n") / level).cast("int")
+        left = (left.withColumn("__part", F.explode(F.concat(F.array_repeat(F.lit(level).cast("long"), whole),
+                                                             F.array(F.col("__n") % level))))
+                .where("__part > 0").withColumn("__n", F.col("__part")).drop("__part"))
+        if level > COPIES:
+            left = left.repartition(dups.sparkSession.sparkContext.defaultParallelism)
+    return (left.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n")))).select(*rest))
 
 
 def repeated_value_count(df: DataFrame, col: str) -> DataFrame:

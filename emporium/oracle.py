@@ -17,14 +17,16 @@ SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "raw_products": """
 SELECT CAST(p_partkey AS VARCHAR) AS product_id,
-  CASE WHEN p_partkey % 53 = 0 THEN NULL ELSE p_brand END AS product_category_name,
+  CASE WHEN p_partkey % 53 = 0 THEN NULL WHEN p_partkey % 41 = 0 THEN 'pc_gamer'
+    WHEN p_partkey % 43 = 0 THEN 'unlisted_category' ELSE p_brand END AS product_category_name,
   length(p_name) AS product_name_lenght, length(p_type) AS product_description_lenght, p_size % 6 AS product_photos_qty,
   CASE WHEN p_partkey % 31 = 0 THEN NULL WHEN p_partkey % 37 = 0 THEN 0.0E0 ELSE CAST(p_size AS DOUBLE) END AS product_weight_g,
   p_retailprice AS product_length_cm, CAST(p_size AS DOUBLE) AS product_height_cm, CAST(p_size AS DOUBLE) AS product_width_cm
 FROM part""",
     "raw_product_category_translation": """
-SELECT DISTINCT p_brand AS product_category_name, concat('en_', p_brand) AS product_category_name_english
-FROM part WHERE p_brand NOT IN ('Brand#7', 'Brand#9')""",
+SELECT p_brand AS product_category_name,
+  concat('en_', p_brand, CASE WHEN p_size % 2 = 1 THEN '_odd' ELSE '' END) AS product_category_name_english, p_partkey AS src_ord
+FROM part""",
     "raw_sellers": """
 SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, CAST(s_nationkey AS VARCHAR) AS seller_zip_code_prefix,
   CASE s_suppkey % 5 WHEN 0 THEN ' São Paulo - SP ' WHEN 1 THEN 'Rio de Janeiro / RJ' WHEN 2 THEN 'SAO MIGUEL'
@@ -32,35 +34,40 @@ SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, CAST(s_nationkey AS VARCHAR) AS
   n_name AS seller_state
 FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "raw_orders": """
-SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CASE WHEN o_orderkey % 61 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
   CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' ELSE 'canceled' END AS order_status,
   o_orderdate AS order_purchase_timestamp,
   CASE WHEN o_orderkey % 97 = 0 THEN o_orderdate - INTERVAL '1' DAY ELSE o_orderdate + INTERVAL '1' HOUR END AS order_approved_at,
   CASE WHEN o_orderkey % 89 = 0 THEN o_orderdate - INTERVAL '2' DAY ELSE o_orderdate + (1 + o_orderkey % 4) * INTERVAL '1' DAY END AS order_delivered_carrier_date,
   CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_orderdate + (5 + o_orderkey % 41) * INTERVAL '1' DAY END AS order_delivered_customer_date,
   o_orderdate + INTERVAL '24' DAY AS order_estimated_delivery_date
-FROM orders""",
+FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 71 = 0 THEN o_orderdate + INTERVAL '20' YEAR ELSE o_orderdate END AS o_orderdate)
+      FROM orders)""",
     "raw_order_payments": """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id, 1 AS payment_sequential,
-  CASE o_orderpriority WHEN '1-URGENT' THEN 'credit_card' WHEN '2-HIGH' THEN 'boleto' WHEN '3-MEDIUM' THEN 'voucher'
-    WHEN '4-NOT SPECIFIED' THEN 'not_defined' ELSE 'debit_card' END AS payment_type,
-  1 + o_orderkey % 12 AS payment_installments, CAST(o_totalprice AS DECIMAL(10,2)) AS payment_value
+  CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE CASE o_orderpriority WHEN '1-URGENT' THEN 'credit_card' WHEN '2-HIGH' THEN 'boleto' WHEN '3-MEDIUM' THEN 'voucher'
+    WHEN '4-NOT SPECIFIED' THEN 'not_defined' ELSE 'debit_card' END END AS payment_type,
+  1 + o_orderkey % 12 AS payment_installments,
+  CASE WHEN o_orderkey % 103 = 0 THEN 'abc' ELSE CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) END AS payment_value
 FROM orders""",
     "raw_order_reviews": """
-SELECT CAST(CASE WHEN o_orderkey % 50 = 1 THEN o_orderkey - 1 ELSE o_orderkey END AS VARCHAR) AS review_id,
-  CAST(o_orderkey AS VARCHAR) AS order_id, 1 + o_orderkey % 5 AS review_score,
+SELECT concat(CAST(CASE WHEN o_orderkey % 50 = 1 THEN o_orderkey - 1 ELSE o_orderkey END AS VARCHAR),
+    CASE WHEN coalesce(c.turn, 0) > 0 THEN concat('-', CAST(c.turn AS VARCHAR)) ELSE '' END) AS review_id,
+  CAST(o_orderkey AS VARCHAR) AS order_id, 1 + (o_orderkey + coalesce(c.turn, 0)) % 5 AS review_score,
   c.role AS review_comment_title, c.text AS review_comment_message,
   o_orderdate + INTERVAL '30' DAY AS review_creation_date, o_orderdate + INTERVAL '31' DAY AS review_answer_timestamp,
-  o_orderkey AS src_ord
-FROM orders LEFT JOIN conversations c ON c.conv_id = o_orderkey AND c.turn = 0""",
+  o_orderkey * 1000 + coalesce(c.turn, 0) AS src_ord
+FROM orders LEFT JOIN conversations c ON c.conv_id = o_orderkey""",
     "raw_geolocation": """
 SELECT CAST(c_nationkey AS VARCHAR) AS geolocation_zip_code_prefix, CAST(c_custkey % 90 AS DOUBLE) AS geolocation_lat,
   CAST(c_custkey % 7 AS DOUBLE) AS geolocation_lng, n_name AS geolocation_city, r_name AS geolocation_state
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "raw_order_items": """
-SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id, CAST(l_partkey AS VARCHAR) AS product_id,
-  CAST(l_suppkey AS VARCHAR) AS seller_id, l_shipdate AS shipping_limit_date,
-  CAST(l_extendedprice AS DECIMAL(10,2)) AS price, CAST(l_quantity AS DECIMAL(10,2)) AS freight_value
+SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
+  CASE WHEN l_orderkey % 101 = 0 THEN 'x' ELSE CAST(l_linenumber AS VARCHAR) END AS order_item_id, CAST(l_partkey AS VARCHAR) AS product_id,
+  CAST(l_suppkey AS VARCHAR) AS seller_id, 
+  CASE WHEN l_orderkey % 83 = 0 THEN 'not a date' ELSE CAST(l_shipdate AS VARCHAR) END AS shipping_limit_date,
+  l_extendedprice AS price, CASE WHEN l_orderkey % 71 = 0 THEN -1.0 ELSE l_quantity END AS freight_value
 FROM lineitem""",
 }
 
@@ -77,7 +84,7 @@ SELECT customer_id, customer_unique_id, customer_zip_code_prefix, customer_city,
     "translation": """
 SELECT product_category_name, product_category_name_english FROM (
   SELECT *, row_number() OVER (PARTITION BY product_category_name ORDER BY src_rank, ord) AS rn FROM (
-    SELECT product_category_name, product_category_name_english, 0 AS src_rank, 0 AS ord FROM raw_product_category_translation
+    SELECT product_category_name, product_category_name_english, 0 AS src_rank, src_ord AS ord FROM raw_product_category_translation
     UNION ALL SELECT 'portateis_cozinha_e_preparadores_de_alimentos', 'portable_kitchen_and_food_preparers', 1, 0
     UNION ALL SELECT 'pc_gamer', 'pc_gamer', 1, 1)) WHERE rn = 1""",
     "dim_products": """
@@ -110,8 +117,9 @@ WHERE NOT EXISTS (SELECT 1 FROM undefined_orders u WHERE u.order_id = o.order_id
     "dim_payments": """
 SELECT order_id, CAST(payment_sequential AS BIGINT) AS payment_sequential,
   CASE WHEN payment_type = 'boleto' THEN 'bank_slip' ELSE payment_type END AS payment_type,
-  CAST(payment_installments AS BIGINT) AS payment_installments, payment_value
-FROM raw_order_payments WHERE payment_type IS DISTINCT FROM 'not_defined'""",
+  CAST(payment_installments AS BIGINT) AS payment_installments, TRY_CAST(payment_value AS DECIMAL(10,2)) AS payment_value
+FROM raw_order_payments WHERE payment_type IS DISTINCT FROM 'not_defined'
+  AND (payment_value IS NULL OR TRY_CAST(payment_value AS DECIMAL(10,2)) IS NOT NULL)""",
     "dim_reviews": """
 SELECT review_id, order_id, CAST(review_score AS BIGINT) AS review_score,
   strip_accents(review_comment_title) AS review_comment_title,
@@ -123,19 +131,21 @@ WHERE rn = 1""",
 SELECT geolocation_zip_code_prefix, geolocation_lat, geolocation_lng,
   {_norm_place('geolocation_city')} AS geolocation_city, geolocation_state FROM raw_geolocation""",
     "fact_order_items": """
-SELECT i.order_id, CAST(i.order_item_id AS BIGINT) AS order_item_id, i.product_id, i.seller_id,
-  i.shipping_limit_date AS shipping_deadline, i.price, i.freight_value
+SELECT i.order_id, coalesce(TRY_CAST(i.order_item_id AS BIGINT), 0) AS order_item_id, i.product_id, i.seller_id,
+  TRY_CAST(i.shipping_limit_date AS TIMESTAMP) AS shipping_deadline,
+  CAST(i.price AS DECIMAL(10,2)) AS price, CAST(i.freight_value AS DECIMAL(10,2)) AS freight_value
 FROM raw_order_items i
 WHERE i.price > 0 AND i.freight_value >= 0
   AND i.order_id IN (SELECT order_id FROM dim_orders)
   AND i.product_id IN (SELECT product_id FROM dim_products)
   AND i.seller_id IN (SELECT seller_id FROM dim_sellers)""",
     "base_order_items": """
-SELECT foi.order_id, foi.product_id, foi.seller_id, foi.order_item_id, foi.price, foi.freight_value,
-  foi.price + foi.freight_value AS gmv_item, o.order_status, o.order_purchase_timestamp, o.order_approved_at,
-  o.order_delivered_customer_date, o.order_estimated_delivery_date, p.product_category_name
-FROM fact_order_items foi JOIN dim_orders o ON o.order_id = foi.order_id
-LEFT JOIN dim_products p ON p.product_id = foi.product_id""",
+WITH categories AS (SELECT product_id, product_category_name FROM dim_products),
+purchases AS (SELECT order_id, order_status, order_purchase_timestamp, order_approved_at,
+                order_delivered_customer_date, order_estimated_delivery_date FROM dim_orders),
+money AS (SELECT order_id, product_id, seller_id, order_item_id, price, freight_value, freight_value + price AS gmv_item
+          FROM fact_order_items)
+SELECT * FROM (SELECT * FROM money NATURAL JOIN purchases) LEFT JOIN categories USING (product_id)""",
 }
 
 
@@ -150,20 +160,19 @@ def table(name: str) -> str:
 
 
 SELLER_MONTHLY = """
-, base AS (
-  SELECT CAST(date_trunc('month', order_purchase_timestamp) AS TIMESTAMP) AS month, seller_id,
-    COUNT(DISTINCT order_id) AS orders, COUNT(*) AS items,
-    CAST(SUM(price + freight_value) AS DECIMAL(38,2)) AS gmv,
-    AVG(CASE WHEN order_delivered_customer_date IS NOT NULL
-              AND order_delivered_customer_date <= order_estimated_delivery_date THEN 1 ELSE 0 END) AS on_time_rate
-  FROM base_order_items GROUP BY 1, 2
-), seller_reviews AS (
-  SELECT foi.seller_id, AVG(r.review_score) AS avg_review
-  FROM fact_order_items foi JOIN dim_reviews r ON r.order_id = foi.order_id GROUP BY foi.seller_id
+, flagged AS (  -- one row per item: its month, and whether its order came in time
+  SELECT strftime(b.order_purchase_timestamp, '%Y-%m-01 00:00:00')::TIMESTAMP AS month, b.seller_id, b.order_id,
+    b.gmv_item, coalesce(b.order_delivered_customer_date <= b.order_estimated_delivery_date, FALSE) AS in_time
+  FROM base_order_items b
+), scores AS (  -- all review scores of a seller's items
+  SELECT f.seller_id, list(r.review_score) AS given
+  FROM dim_reviews r, fact_order_items f WHERE r.order_id = f.order_id GROUP BY f.seller_id
 )
-SELECT b.month, b.seller_id, b.orders, b.items, b.gmv, b.on_time_rate, r.avg_review
-FROM base b LEFT JOIN seller_reviews r ON r.seller_id = b.seller_id
-ORDER BY b.month, b.seller_id
+SELECT month, f.seller_id, count(DISTINCT f.order_id) AS orders, count(f.order_id) AS items,
+  CAST(sum(f.gmv_item) AS DECIMAL(38,2)) AS gmv,
+  CAST(count(*) FILTER (WHERE f.in_time) AS DOUBLE) / count(*) AS on_time_rate,
+  (SELECT list_avg(s.given) FROM scores s WHERE s.seller_id = f.seller_id) AS avg_review
+FROM flagged f GROUP BY month, f.seller_id
 """
 
 

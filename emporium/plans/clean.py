@@ -12,13 +12,12 @@ defaults follow what the source effectively loads where that is defensible.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import numeric as N
 from ..functions import temporal as TM
 from ..functions import text as TX
 from ..operators.dedup import INGEST_ORDINAL, first_per_key, with_ingest_ordinal
@@ -38,6 +37,9 @@ class CleanOptions:
     legacy_nan: bool = False
     # Zip prefixes read as integers lose leading zeros in the source.
     legacy_zip: bool = False
+    # Keep rows with a value that does not convert, marked (REJECTED, RAW_ROW), for the load
+    # to set aside; otherwise such rows are left out, as a load with ON_ERROR = continue does.
+    keep_rejects: bool = False
 
 
 ORDER_TS = ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
@@ -82,8 +84,36 @@ def _zip(c: str, legacy: bool) -> Column:
     return F.col(c).try_cast("long").cast("string") if legacy else _s(c)
 
 
-def _select_target(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*TABLES[table].columns)
+# Columns of a marked row: names of the values that did not convert, and the source row as JSON.
+REJECTED, RAW_ROW = "_rejected", "_raw_row"
+# Text that loads as null.
+NULL_TEXT = ("", "NULL")
+
+
+def _mark(raw: DataFrame, parsed: dict[str, tuple[str, Column]], columns: Sequence[str] | None = None) -> list[Column]:
+    """Marks for rows whose value is there but does not convert: ``target -> (source column, converted)``."""
+    types = dict(raw.dtypes)
+    flags = []
+    for name, (source, converted) in parsed.items():
+        value = F.col(source)
+        there = value.isNotNull()
+        if types[source] == "string":
+            there = there & ~value.isin(*NULL_TEXT)
+        if types[source] in ("float", "double"):
+            there = there & ~F.isnan(value)  # NaN is a missing value
+        flags.append(F.when(there & converted.isNull(), F.lit(name)))
+    bad = F.array_compact(F.array(*flags))
+    row = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns or raw.columns if types[c] != "binary"]))
+    return [F.when(F.size(bad) > 0, bad).alias(REJECTED), F.when(F.size(bad) > 0, row).alias(RAW_ROW)]
+
+
+def _select_target(df: DataFrame, table: str, opts: CleanOptions | None = None) -> DataFrame:
+    columns = TABLES[table].columns
+    if REJECTED not in df.columns:
+        return df.select(*columns)
+    if opts is not None and opts.keep_rejects:
+        return df.select(*columns, REJECTED, RAW_ROW)
+    return df.where(F.col(REJECTED).isNull()).select(*columns)
 
 
 # ---------------------------------------------------------------------------
@@ -106,13 +136,13 @@ def category_translation(raw_translation: DataFrame) -> DataFrame:
     file_rows = (with_ingest_ordinal(raw_translation)
                  .select(_s("product_category_name").alias("product_category_name"),
                          _s("product_category_name_english").alias("product_category_name_english"),
-                         F.lit(0).alias("_src_rank"), F.col(INGEST_ORDINAL).cast("long").alias("_ord")))
+                         F.lit(-1).alias("_appended"), F.col(INGEST_ORDINAL).alias("_ord")))
     extra = spark.createDataFrame(
-        [(k, v, 1, i) for i, (k, v) in enumerate(EXTRA_TRANSLATIONS)],
-        "product_category_name string, product_category_name_english string, _src_rank int, _ord long")
-    both = file_rows.unionByName(extra)
-    return (first_per_key(both, ["product_category_name"], ["_src_rank", "_ord"])
-            .drop("_src_rank", "_ord"))
+        [(k, v, i) for i, (k, v) in enumerate(EXTRA_TRANSLATIONS)],
+        "product_category_name string, product_category_name_english string, _appended int")
+    both = file_rows.unionByName(extra, allowMissingColumns=True)
+    return (first_per_key(both, ["product_category_name"], ["_appended", "_ord"])
+            .drop("_appended", "_ord"))
 
 
 def untranslated_categories(products: DataFrame, translation: DataFrame) -> DataFrame:
@@ -130,7 +160,8 @@ def _renamed_products(raw: DataFrame) -> DataFrame:
 def filtered_products(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
     """Products with a category and positive weight and dimensions (before translation)."""
     p = _renamed_products(raw).where(F.col("product_category_name").isNotNull())
-    p = p.withColumns({c: F.col(c).try_cast("double") for c in PRODUCT_MEASURES})
+    number = {c: F.col(c).try_cast("double") for c in PRODUCT_MEASURES}
+    p = p.withColumns({c: F.when(~F.isnan(x), x) for c, x in number.items()})  # NaN is a missing value
     if opts.impute == "median":
         from ..operators.quantiles import fill_with_median
         p = fill_with_median(p, PRODUCT_MEASURES)
@@ -147,12 +178,14 @@ def clean_products(raw: DataFrame, raw_translation: DataFrame,
     # Left join keeps every product; the translation side is one row per category
     # (a few hundred at most) and AQE broadcasts it from its measured size.
     joined = p.join(category_translation(raw_translation), "product_category_name", "left")
-    return joined.select(
+    counts = ["product_name_length", "product_description_length", "product_photos_qty", *PRODUCT_MEASURES]
+    whole = {c: _whole(joined, c) for c in counts}
+    return _select_target(joined.select(
         _s("product_id").alias("product_id"),
         _s("product_category_name").alias("product_category_name"),
-        *[_whole(joined, c).alias(c) for c in ["product_name_length", "product_description_length",
-                                       "product_photos_qty", *PRODUCT_MEASURES]],
-        F.col("product_category_name_english"))
+        *[c.alias(n) for n, c in whole.items()],
+        F.col("product_category_name_english"),
+        *_mark(joined, {n: (n, c) for n, c in whole.items()})), "dim_products", opts)
 
 
 # ---------------------------------------------------------------------------
@@ -197,9 +230,9 @@ def chronology_violation() -> Column:
 
 
 def undefined_payment_orders(raw_payments: DataFrame) -> DataFrame:
-    """Order ids that have a payment of the undefined type (one row per id)."""
+    """Order ids that have a payment of the undefined type (one row per payment; only for semi and anti joins)."""
     t = TX.replace_values(_s("payment_type"), PAYMENT_TYPE_FIXES)
-    return raw_payments.where(t == UNDEFINED_PAYMENT).select(_s("order_id").alias("order_id")).distinct()
+    return raw_payments.where(t == UNDEFINED_PAYMENT).select(_s("order_id").alias("order_id"))
 
 
 def undefined_payment_order_count(raw_orders: DataFrame, raw_payments: DataFrame) -> DataFrame:
@@ -221,12 +254,12 @@ def clean_orders(raw_orders: DataFrame, raw_payments: DataFrame | None,
 
 def clean_payments(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
     t = TX.replace_values(_s("payment_type"), PAYMENT_TYPE_FIXES)
-    return (raw.select(_s("order_id").alias("order_id"),
-                       _whole(raw, "payment_sequential").alias("payment_sequential"),
-                       t.alias("payment_type"),
-                       _whole(raw, "payment_installments").alias("payment_installments"),
-                       F.col("payment_value").try_cast("decimal(10,2)").alias("payment_value"))
-            .where(~F.col("payment_type").eqNullSafe(UNDEFINED_PAYMENT)))
+    parsed = {"payment_sequential": _whole(raw, "payment_sequential"),
+              "payment_installments": _whole(raw, "payment_installments"),
+              "payment_value": F.col("payment_value").try_cast("decimal(10,2)")}
+    rows = raw.select(_s("order_id").alias("order_id"), t.alias("payment_type"),
+                      *[c.alias(n) for n, c in parsed.items()], *_mark(raw, {n: (n, c) for n, c in parsed.items()}))
+    return _select_target(rows.where(~F.col("payment_type").eqNullSafe(UNDEFINED_PAYMENT)), "dim_payments", opts)
 
 
 # ---------------------------------------------------------------------------
@@ -239,7 +272,8 @@ def parse_reviews(raw: DataFrame) -> DataFrame:
                     _s("review_comment_title").alias("review_comment_title"),
                     _s("review_comment_message").alias("review_comment_message"),
                     *[TM.parse_timestamp(c).alias(c) for c in REVIEW_TS],
-                    F.col(INGEST_ORDINAL))
+                    F.col(INGEST_ORDINAL),
+                    *_mark(r, {"review_score": ("review_score", _whole(r, "review_score"))}, raw.columns))
 
 
 def clean_reviews(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
@@ -247,7 +281,7 @@ def clean_reviews(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFr
     strip = TX.strip_accents_legacy if opts.legacy_nan else TX.strip_accents
     r = r.withColumns({"review_comment_message": strip("review_comment_message"),
                        "review_comment_title": strip("review_comment_title")})
-    return _select_target(r, "dim_reviews")
+    return _select_target(r, "dim_reviews", opts)
 
 
 # ---------------------------------------------------------------------------
@@ -255,40 +289,53 @@ def clean_reviews(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFr
 # ---------------------------------------------------------------------------
 def clean_geolocation(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
     raw = TX.with_normalized_place(raw, "geolocation_city", "geolocation_city", opts.legacy_nan)
-    return raw.select(
+    place = {c: F.col(c).try_cast("double") for c in ("geolocation_lat", "geolocation_lng")}
+    return _select_target(raw.select(
         _zip("geolocation_zip_code_prefix", opts.legacy_zip).alias("geolocation_zip_code_prefix"),
-        F.col("geolocation_lat").try_cast("double").alias("geolocation_lat"),
-        F.col("geolocation_lng").try_cast("double").alias("geolocation_lng"),
+        *[c.alias(n) for n, c in place.items()],
         F.col("geolocation_city"),
-        _s("geolocation_state").alias("geolocation_state"))
+        _s("geolocation_state").alias("geolocation_state"),
+        *_mark(raw, {n: (n, c) for n, c in place.items()})), "dim_geolocation", opts)
 
 
 # ---------------------------------------------------------------------------
 # E8 fact
 # ---------------------------------------------------------------------------
 def conform_order_items(raw: DataFrame) -> DataFrame:
-    """Range filter, parse, rename, numeric fill -- before the key filters."""
-    price_num = F.col("price").try_cast("double")
-    freight_num = F.col("freight_value").try_cast("double")
-    return (raw.where((price_num > 0) & (freight_num >= 0))
+    """Range filter, parse, rename, numeric fill -- before the key filters.
+
+    A missing price (null, NaN, text that is no number) fails the range filter. A price that does
+    not fit the column (too large, infinite) is marked as rejected; it is never stored as another value.
+    """
+    types = dict(raw.dtypes)
+
+    def number(c: str) -> Column:  # numbers are compared as they are, so the filter reaches the scan
+        return F.col(c).try_cast("double") if types[c] == "string" else F.col(c)
+
+    def there(c: str) -> Column:
+        return ~F.isnan(number(c)) if types[c] in ("string", "float", "double") else F.lit(True)
+
+    money = {c: F.col(c).try_cast("decimal(10,2)") for c in ("price", "freight_value")}
+    return (raw.where((number("price") > 0) & (number("freight_value") >= 0))
+            .where(there("price") & there("freight_value"))
             .select(_s("order_id").alias("order_id"),
                     F.coalesce(_whole(raw, "order_item_id"), F.lit(0).cast("long")).alias("order_item_id"),
                     _s("product_id").alias("product_id"),
                     _s("seller_id").alias("seller_id"),
                     TM.parse_timestamp("shipping_limit_date").alias("shipping_deadline"),
-                    N.to_number_or_zero("price", "decimal(10,2)").alias("price"),
-                    N.to_number_or_zero("freight_value", "decimal(10,2)").alias("freight_value")))
+                    *[c.alias(n) for n, c in money.items()],
+                    *_mark(raw, {n: (n, c) for n, c in money.items()})))
 
 
 def clean_order_items(raw: DataFrame, dim_orders: DataFrame, dim_products: DataFrame,
-                      dim_sellers: DataFrame) -> DataFrame:
+                      dim_sellers: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
     f = conform_order_items(raw)
     # Keep items whose order, product and seller survived cleaning. Semi joins never
     # duplicate fact rows; AQE picks broadcast or sort-merge per side from its size.
     f = f.join(dim_orders.select("order_id"), "order_id", "left_semi")
     f = f.join(dim_products.select("product_id"), "product_id", "left_semi")
     f = f.join(dim_sellers.select("seller_id"), "seller_id", "left_semi")
-    return _select_target(f, "fact_order_items")
+    return _select_target(f, "fact_order_items", opts)
 
 
 # ---------------------------------------------------------------------------
@@ -317,6 +364,18 @@ class LazyTables(Mapping):
         return len(self._builders)
 
 
+def _good(df: DataFrame) -> DataFrame:
+    return df.where(F.col(REJECTED).isNull()) if REJECTED in df.columns else df
+
+
+def _product_keys(raw: Mapping[str, DataFrame], opts: CleanOptions) -> DataFrame:
+    """Ids of the products that stay, without the translation join that no key needs."""
+    p = filtered_products(raw["products"], opts)
+    counts = ["product_name_length", "product_description_length", "product_photos_qty", *PRODUCT_MEASURES]
+    marks = _mark(p, {c: (c, _whole(p, c)) for c in counts})[0]
+    return p.where(marks.isNull()).select(_s("product_id").alias("product_id"))
+
+
 def clean_all(raw: dict[str, DataFrame | None], opts: CleanOptions = CleanOptions()) -> LazyTables:
     """Build every warehouse table whose sources are present; warn and skip the rest."""
     b: dict[str, Callable[[], DataFrame]] = {}
@@ -343,7 +402,8 @@ def clean_all(raw: dict[str, DataFrame | None], opts: CleanOptions = CleanOption
     tables = LazyTables(b)
     if have("order_items") and all(k in b for k in ("dim_orders", "dim_products", "dim_sellers")):
         b["fact_order_items"] = lambda: clean_order_items(
-            raw["order_items"], tables["dim_orders"], tables["dim_products"], tables["dim_sellers"])
+            raw["order_items"], _good(tables["dim_orders"]), _product_keys(raw, opts),
+            _good(tables["dim_sellers"]), opts)
     for t in TABLES:
         if t not in b:
             log.warning("source data for %s not available; table skipped", t)

@@ -88,14 +88,14 @@ def kpi_exec(t: Tables) -> DataFrame:
 # Time grouping (M9-M11)
 # ---------------------------------------------------------------------------
 def _gmv_by_order_attribute(t: Tables, attrs: dict[str, Column]) -> DataFrame:
-    orders = t["dim_orders"]
+    orders = one_row_per_order(t["dim_orders"])
     keyed = orders.select("order_id", *[c.alias(n) for n, c in attrs.items()])
     keys = list(attrs)
     g = (order_totals(t["fact_order_items"]).join(keyed, "order_id")
          .groupBy(*keys).agg(_money(F.sum("gmv")).alias("gmv"), F.sum("items").alias("items")))
     o = keyed.groupBy(*keys).agg(F.count_distinct("order_id").alias("total_orders"))
     out = _combine([g, o], keys, ["gmv", "items", "total_orders"])
-    return out.select(*keys, "gmv", "items", "total_orders",
+    return out.select(*keys, "gmv", F.coalesce("items", F.lit(0)).cast("long").alias("items"), "total_orders",
                       N.safe_divide("gmv", "total_orders").alias("avg_order_value"))
 
 
@@ -129,9 +129,19 @@ def gmv_weekday_vs_weekend(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 # M12 geography
 # ---------------------------------------------------------------------------
+def one_row_per_order(orders: DataFrame) -> DataFrame:
+    """A broken key must not multiply money: of rows that share an order id the earliest purchase stays.
+
+    Grouped with map-side combining; where the key holds, every group is one row."""
+    rest = [c for c in orders.columns if c != "order_id"]
+    first = F.struct("order_purchase_timestamp", *[c for c in rest if c != "order_purchase_timestamp"])
+    one = orders.groupBy("order_id").agg(F.min(first).alias("o"))
+    return one.select("order_id", *[F.col(f"o.{c}").alias(c) for c in rest])
+
+
 def orders_with_customers(t: Tables) -> DataFrame:
     c = t["dim_customers"].select("customer_id", "customer_state", "customer_city")
-    return t["dim_orders"].join(c, "customer_id", "left")
+    return one_row_per_order(t["dim_orders"]).join(c, "customer_id", "left")
 
 
 def gmv_by_state(t: Tables) -> DataFrame:
@@ -139,7 +149,7 @@ def gmv_by_state(t: Tables) -> DataFrame:
     per_state = (oc.join(order_totals(t["fact_order_items"]), "order_id", "left")
                  .groupBy("customer_state")
                  .agg(_money(F.sum("gmv")).alias("gmv"),
-                      F.count_distinct("order_id").alias("total_orders"),
+                      F.count("order_id").alias("total_orders"),
                       F.count_distinct("customer_id").alias("active_customers")))
     total = F.sum("gmv").over(Window.partitionBy())
     return per_state.select(
@@ -282,7 +292,7 @@ def seller_scorecard(t: Tables) -> DataFrame:
     scored = (s.where(F.col("orders") > 0)
               .select("seller_id", "orders", "items", "gmv",
                       N.safe_divide("on_time_items", "items").alias("on_time_rate"), "avg_review"))
-    return global_rank(scored, [F.desc_nulls_last("gmv")], "gmv_rank")
+    return global_rank(scored, [("gmv", True)], "gmv_rank")
 
 
 # ---------------------------------------------------------------------------
@@ -295,7 +305,10 @@ def with_first_purchase(orders: DataFrame) -> DataFrame:
     """
     first = (orders.groupBy("customer_id")
              .agg(F.min("order_purchase_timestamp").alias("first_purchase_timestamp")))
-    return orders.join(first, "customer_id", "left")
+    # Null-safe: orders without a customer share one first purchase. A join and not a window,
+    # because a join on a hot customer can be split.
+    first = first.withColumnRenamed("customer_id", "_customer")
+    return orders.join(first, orders["customer_id"].eqNullSafe(first["_customer"]), "left").drop("_customer")
 
 
 def orders_first_purchase(t: Tables) -> DataFrame:
@@ -395,13 +408,14 @@ def measure_frame(t: Tables, measures: Sequence[str] = MEASURES, by: Sequence[st
     elif by_o:
         # item groups carry the order measures of their order/customer slice
         cond = [F.col(f"i.{b}").eqNullSafe(F.col(f"o.{b}")) for b in by_o]
-        out = (f.alias("i").join(om.alias("o"), reduce(lambda a, b: a & b, cond), "left")
-               .select(*[F.col(f"i.{b}").alias(b) for b in by],
+        # (an order slice without items stays, with blank item fields)
+        out = (f.withColumn("_i", F.lit(1)).alias("i").join(om.alias("o"), reduce(lambda a, b: a & b, cond), "full")
+               .select(*[F.when(F.col("i._i").isNotNull(), F.col(f"i.{b}")).otherwise(F.col(f"o.{b}")).alias(b)
+                         if b in by_o else F.col(f"i.{b}").alias(b) for b in by],
                        *[F.col(f"o.{v}") for v in order_vals], *[F.col(f"i.{v}") for v in item_vals]))
     else:
-        # no order/customer slice: order measures are one row of totals
-        tot = om.first()
-        out = f.select(*by, *[F.lit(tot[v]).cast("long").alias(v) for v in order_vals], *item_vals)
+        # no order/customer slice: order measures are one row of totals, on every item group
+        out = f.join(F.broadcast(om)).select(*by, *order_vals, *item_vals)
     derived = {
         "total_orders": F.coalesce("total_orders", F.lit(0)).cast("long"),
         "active_customers": F.coalesce("active_customers", F.lit(0)).cast("long"),

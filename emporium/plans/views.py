@@ -104,14 +104,18 @@ def seller_monthly(fact: DataFrame, orders: DataFrame, reviews: DataFrame,
 # ---------------------------------------------------------------------------
 BASE_ORDER_ITEMS_SQL = """
 CREATE OR REPLACE TEMP VIEW base_order_items AS
-SELECT foi.order_id, foi.product_id, foi.seller_id, foi.order_item_id, foi.price, foi.freight_value,
-       foi.price + foi.freight_value AS gmv_item,
-       o.order_status, o.order_purchase_timestamp, o.order_approved_at,
-       o.order_delivered_customer_date, o.order_estimated_delivery_date,
-       p.product_category_name
-FROM fact_order_items foi
-JOIN dim_orders o ON o.order_id = foi.order_id
-LEFT JOIN dim_products p ON p.product_id = foi.product_id
+WITH sold AS (
+  SELECT order_id, order_status, order_purchase_timestamp, order_approved_at,
+         order_delivered_customer_date, order_estimated_delivery_date
+  FROM dim_orders
+), kinds AS (
+  SELECT product_id, product_category_name FROM dim_products
+)
+SELECT order_id, product_id, seller_id, order_item_id, price, freight_value, price + freight_value AS gmv_item,
+       order_status, order_purchase_timestamp, order_approved_at, order_delivered_customer_date,
+       order_estimated_delivery_date, product_category_name
+FROM fact_order_items
+INNER JOIN sold USING (order_id) LEFT OUTER JOIN kinds USING (product_id)
 """
 
 # The catalog view, in the same pre-aggregated form as ``seller_monthly``.

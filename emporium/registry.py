@@ -329,7 +329,7 @@ register("seller_scorecard", O.with_ctes("""
 rv AS (SELECT f.seller_id, AVG(r.review_score) AS avg_review
        FROM fact_order_items f JOIN dim_reviews r ON r.order_id = f.order_id GROUP BY f.seller_id)
 SELECT os.seller_id, os.orders, os.items, os.gmv, os.on_time_rate, rv.avg_review,
-  CAST(RANK() OVER (ORDER BY os.gmv DESC NULLS LAST) AS INTEGER) AS gmv_rank
+  CAST(RANK() OVER (ORDER BY os.gmv DESC NULLS LAST) AS BIGINT) AS gmv_rank
 FROM os LEFT JOIN rv ON rv.seller_id = os.seller_id"""))(_measure(M.seller_scorecard))
 
 register("first_purchase_cohort", O.with_ctes(f"""
@@ -398,10 +398,15 @@ fm AS (SELECT p.product_category_name_english, oa.customer_state, CAST(SUM({O.GM
        LEFT JOIN dim_sellers s ON s.seller_id = f.seller_id
        WHERE s.seller_city <> 'sao paulo'
        GROUP BY 1, 2)
-SELECT fm.product_category_name_english, fm.customer_state, om.total_orders, om.active_customers,
-  CAST(om.on_time AS DOUBLE) / NULLIF(om.delivered, 0) AS on_time_pct, fm.gmv, fm.items, fm.active_sellers,
-  CAST(fm.gmv AS DOUBLE) / NULLIF(om.total_orders, 0) AS avg_order_value
-FROM fm LEFT JOIN om ON om.customer_state IS NOT DISTINCT FROM fm.customer_state"""))
+, cells AS (  -- every item group, and a blank item group for each state that has none
+SELECT product_category_name_english, customer_state, gmv, items, active_sellers FROM fm
+UNION ALL
+SELECT NULL, customer_state, NULL, NULL, NULL FROM om
+WHERE NOT EXISTS (SELECT 1 FROM fm WHERE fm.customer_state IS NOT DISTINCT FROM om.customer_state))
+SELECT cells.product_category_name_english, cells.customer_state, om.total_orders, om.active_customers,
+  CAST(om.on_time AS DOUBLE) / NULLIF(om.delivered, 0) AS on_time_pct, cells.gmv, cells.items, cells.active_sellers,
+  CAST(cells.gmv AS DOUBLE) / NULLIF(om.total_orders, 0) AS avg_order_value
+FROM cells, om WHERE om.customer_state IS NOT DISTINCT FROM cells.customer_state"""))
 def q_measures_by_category_state(spark, sf_dir):
     """Slicers on both sides: customer state (reaches every measure) and category/seller
     city (reach the item measures only)."""

@@ -6,6 +6,8 @@ Library functions never create a session themselves; they take the caller's
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,11 +27,16 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "emporium",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = None, app: str = "emporium",
+                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """A session with the defaults above. Master and partition count are set only if given:
+    on a cluster spark-submit and its configuration decide both."""
+    builder = SparkSession.builder.appName(app)
+    if master is not None:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -68,11 +75,27 @@ def recommended_conf(input_bytes: int, total_cores: int,
     }
 
 
+def as_location(path: str) -> str:
+    """A location that means the same everywhere: URIs as they are, local paths made absolute."""
+    return path if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) else os.path.abspath(path)
+
+
+def join_location(base: str, *parts: str) -> str:
+    return "/".join([base.rstrip("/"), *parts])
+
+
+def location_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as
-    is. Only when it is unset (unit tests, a laptop) do we create one ourselves.
+    is. Only when it is unset and the master is local (unit tests, a laptop) do we
+    create one ourselves; on any other master that is an error.
     On a Spark Connect session (no SparkContext) the server's setting applies.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -85,6 +108,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = configured or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="emporium-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

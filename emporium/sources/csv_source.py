@@ -9,13 +9,15 @@ the other sources; ``require_all`` turns any failure into ``ExtractError``.
 from __future__ import annotations
 
 import logging
-import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.dedup import INGEST_ORDINAL, with_ingest_ordinal
 from ..schema import SOURCE_SCHEMAS
+from ..session import join_location
 
 log = logging.getLogger(__name__)
 
@@ -47,31 +49,68 @@ class ExtractError(RuntimeError):
         self.errors = errors
 
 
+# Text that the source pipeline's CSV reader takes for a missing value.
+MISSING_TEXT = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+CORRUPT = "_corrupt_record"
+
+
 def source_paths(base_dir: str, specs: dict[str, SourceSpec] = SOURCES) -> dict[str, str]:
-    return {name: os.path.join(base_dir, s.filename) for name, s in specs.items()}
+    return {name: join_location(base_dir, s.filename) for name, s in specs.items()}
+
+
+def _read(spark: SparkSession, name: str, path: str, multiline: bool) -> DataFrame:
+    """All rows by header name, with the corrupt-record column; an unknown or missing column is an error."""
+    options = {"header": True, "multiLine": multiline, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    header = spark.read.options(**options).csv(path).columns
+    wanted = SOURCE_SCHEMAS[name].fieldNames()
+    unknown, missing = sorted(set(header) - set(wanted)), sorted(set(wanted) - set(header))
+    if unknown or missing:
+        raise ValueError(f"columns of {name}: missing {missing}, unknown {unknown}")
+    # enforceSchema off: every file's own header must agree with the names and order found.
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+    return (spark.read.schema(schema).options(**options, enforceSchema=False, columnNameOfCorruptRecord=CORRUPT)
+            .csv(path))
+
+
+def _sound(field: str) -> Column:
+    """Whether a row is no corrupt record. A field takes part, because Spark does not let the
+    corrupt column be queried alone (a bare count)."""
+    return F.concat_ws("", F.col(CORRUPT), F.substring(field, 1, 0)) == ""
 
 
 def read_csv_source(spark: SparkSession, name: str, path: str, multiline: bool = True) -> DataFrame:
     """One source file (or folder of part files) with header, quotes and embedded newlines.
 
+    Columns are bound by header name. Rows with too many or too few fields are left out
+    (``corrupt_rows`` lists them). Text that stands for a missing value becomes null.
     ``multiline`` keeps quoted newlines inside a field; it makes each file one
     task, so very large sources are better landed to Parquet once (keeping the
     ordinal) and read from there.
     """
-    reader = (spark.read.schema(SOURCE_SCHEMAS[name])
-              .option("header", True).option("multiLine", multiline)
-              .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
-    df = reader.csv(path)
+    df = _read(spark, name, path, multiline)
     spec = SOURCES.get(name)
-    return with_ingest_ordinal(df) if spec is not None and spec.ordinal else df
+    columns = SOURCE_SCHEMAS[name].fieldNames()
+    if spec is not None and spec.ordinal:
+        df = with_ingest_ordinal(df)
+    rest = [c for c in df.columns if c not in columns and c != CORRUPT]
+    value = {c: F.when(~F.col(c).isin(*MISSING_TEXT), F.col(c)) for c in columns}
+    return df.where(_sound(df.columns[0])).select(*[v.alias(c) for c, v in value.items()], *rest)
+
+
+def corrupt_rows(spark: SparkSession, name: str, path: str, multiline: bool = True) -> DataFrame:
+    """``(source, record)``: the raw text of every row that has not the header's number of fields."""
+    df = _read(spark, name, path, multiline)
+    return df.where(~_sound(df.columns[0])).select(F.lit(name).alias("source"), F.col(CORRUPT).alias("record"))
 
 
 def extract(spark: SparkSession, paths: dict[str, str], multiline: bool = True,
             require_all: bool = False) -> tuple[dict[str, DataFrame | None], dict[str, str]]:
     """Read every source; a failed one maps to ``None`` and its error is returned.
 
-    Path problems surface at analysis time (when the DataFrame is created), so
-    nothing is scanned here.
+    Path and header problems surface when the DataFrame is created; only headers are read here.
     """
     frames: dict[str, DataFrame | None] = {}
     errors: dict[str, str] = {}
@@ -81,7 +120,7 @@ def extract(spark: SparkSession, paths: dict[str, str], multiline: bool = True,
             log.info("extracted %s from %s", name, path)
         except Exception as e:  # noqa: BLE001 -- isolate any reader failure per source
             frames[name] = None
-            errors[name] = f"{type(e).__name__}: {str(e).splitlines()[0][:300]}"
+            errors[name] = f"{type(e).__name__}: {e}"
             log.error("could not read %s (%s): %s", name, path, errors[name])
     if require_all and errors:
         raise ExtractError(errors)
@@ -92,7 +131,7 @@ def write_csv_sources(frames: dict[str, DataFrame], base_dir: str) -> dict[str,
     """Write source frames as CSV folders (header, quoted) -- used to stage test inputs."""
     out = {}
     for name, df in frames.items():
-        path = os.path.join(base_dir, SOURCES[name].filename)
+        path = join_location(base_dir, SOURCES[name].filename)
         cols = [c for c in df.columns if c in SOURCE_SCHEMAS[name].fieldNames()]
         if INGEST_ORDINAL in df.columns:
             # keep file order = ordinal order, so a re-read assigns the same ranking
@@ -119,7 +158,7 @@ def land_as_parquet(spark: SparkSession, paths: dict[str, str], landing_dir: str
         raise ExtractError(errors)
     out = {}
     for name, df in frames.items():
-        path = os.path.join(landing_dir, name)
+        path = join_location(landing_dir, name)
         df.write.mode("overwrite").parquet(path)
         out[name] = path
     return out

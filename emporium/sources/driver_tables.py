@@ -27,16 +27,9 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 FIXED_SIZE_TABLES = ("nation", "region")
 
 
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one driver table (the unresolved scan is reused within a session)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _READ_CACHE:
-        _READ_CACHE[key] = spark.read.parquet(path)
-    return _READ_CACHE[key]
+    """Parquet scan of one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _days(n) -> Column:
@@ -77,7 +70,9 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     return p.select(
         k.cast("string").alias("product_id"),
-        F.when(k % 53 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand"))
+        # A category only the hand-appended translations know, and one nobody knows.
+        F.when(k % 53 == 0, F.lit(None).cast("string")).when(k % 41 == 0, F.lit("pc_gamer"))
+        .when(k % 43 == 0, F.lit("unlisted_category")).otherwise(F.col("p_brand"))
         .alias("product_category_name"),
         F.length("p_name").alias("product_name_lenght"),
         F.length("p_type").alias("product_description_lenght"),
@@ -92,11 +87,11 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_product_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_driver_table(spark, sf_dir, "part")
-    # Two brands are left without a translation on purpose.
-    return (p.where(~F.col("p_brand").isin("Brand#7", "Brand#9"))
-            .select(F.col("p_brand").alias("product_category_name"),
-                    F.concat(F.lit("en_"), F.col("p_brand")).alias("product_category_name_english"))
-            .distinct())
+    # A brand is named once for each of its part sizes: the first row of a category wins.
+    return p.select(F.col("p_brand").alias("product_category_name"),
+                    F.concat(F.lit("en_"), F.col("p_brand"), F.when(F.col("p_size") % 2 == 1, F.lit("_odd"))
+                             .otherwise(F.lit(""))).alias("product_category_name_english"),
+                    F.col("p_partkey").alias("src_ord"))
 
 
 def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,12 +113,14 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_driver_table(spark, sf_dir, "orders")
-    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    k = F.col("o_orderkey")
+    # Every 71st order lies years ahead and has no valid item (raw_order_items): periods without items.
+    d = F.when(k % 71 == 0, F.col("o_orderdate") + F.make_ym_interval(F.lit(20))).otherwise(F.col("o_orderdate"))
     status = (F.when(F.col("o_orderstatus") == "F", "delivered")
               .when(F.col("o_orderstatus") == "O", "shipped").otherwise("canceled"))
     return o.select(
         k.cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.when(k % 61 != 0, F.col("o_custkey").cast("string")).alias("customer_id"),
         status.alias("order_status"),
         d.alias("order_purchase_timestamp"),
         F.when(k % 97 == 0, d - _days(1)).otherwise(d + F.make_dt_interval(hours=F.lit(1).cast("int")))
@@ -142,41 +139,50 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     ptype = (F.when(pr == "1-URGENT", "credit_card").when(pr == "2-HIGH", "boleto")
              .when(pr == "3-MEDIUM", "voucher").when(pr == "4-NOT SPECIFIED", "not_defined")
              .otherwise("debit_card"))
+    ptype = F.when(F.col("o_orderkey") % 29 != 0, ptype)
     return o.select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.lit(1).alias("payment_sequential"),
         ptype.alias("payment_type"),
         (1 + F.col("o_orderkey") % 12).alias("payment_installments"),
-        F.col("o_totalprice").cast("decimal(10,2)").alias("payment_value"))
+        # Text, as a CSV file has it; a value that is no number is rejected by the load.
+        F.when(F.col("o_orderkey") % 103 == 0, F.lit("abc"))
+        .otherwise(F.col("o_totalprice").cast("decimal(10,2)").cast("string")).alias("payment_value"))
 
 
 def raw_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews keep ``src_ord`` (the file-order ordinal) so first-wins dedup is defined."""
     o = read_driver_table(spark, sf_dir, "orders")
-    c = (read_driver_table(spark, sf_dir, "conversations").where(F.col("turn") == 0)
-         .select("conv_id", "role", "text"))
+    c = read_driver_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    turn = F.coalesce(F.col("turn"), F.lit(0))
+    own = F.when(k % 50 == 1, k - 1).otherwise(k).cast("string")
+    # Every turn of a conversation is a review of its order; the first one has the order's number.
     return (o.join(c, k == c.conv_id, "left")
-            .select(F.when(k % 50 == 1, k - 1).otherwise(k).cast("string").alias("review_id"),
+            .select(F.when(turn == 0, own).otherwise(F.concat_ws("-", own, turn.cast("string"))).alias("review_id"),
                     k.cast("string").alias("order_id"),
-                    (1 + k % 5).alias("review_score"),
+                    (1 + (k + turn) % 5).alias("review_score"),
                     F.col("role").alias("review_comment_title"),
                     F.col("text").alias("review_comment_message"),
                     (d + _days(F.lit(30))).alias("review_creation_date"),
                     (d + _days(F.lit(31))).alias("review_answer_timestamp"),
-                    k.alias("src_ord")))
+                    (k * 1000 + turn).alias("src_ord")))
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_driver_table(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey")
     return li.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
+        k.cast("string").alias("order_id"),
+        # Text, as a CSV file has it: a number that is none becomes 0, a date that is none is null.
+        F.when(k % 101 == 0, F.lit("x")).otherwise(F.col("l_linenumber").cast("string")).alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
-        F.col("l_quantity").cast("decimal(10,2)").alias("freight_value"))
+        F.when(k % 83 == 0, F.lit("not a date"))
+        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("shipping_limit_date"),
+        # The amounts stay as they are read, so the range filter reaches the scan.
+        F.col("l_extendedprice").alias("price"),
+        F.when(k % 71 == 0, F.lit(-1.0)).otherwise(F.col("l_quantity")).alias("freight_value"))
 
 
 BUILDERS = {

@@ -18,16 +18,18 @@
 from __future__ import annotations
 
 import logging
-import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.temporal import format_timestamp
+from ..plans import clean as C
 from ..plans import views as V
 from ..schema import TABLES, TableSpec, load_levels, load_order
+from ..session import join_location, location_exists
 
 log = logging.getLogger(__name__)
 
@@ -105,15 +107,40 @@ class LoadResult:
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def _write_table(spark: SparkSession, df: DataFrame, db: str, name: str, buckets: int | None) -> DataFrame:
+def split_rejects(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(rows to load, rejected rows): rows that cleaning marked, and those that ``conform`` finds."""
+    if C.REJECTED not in df.columns:
+        return conform(df, spec)
+    good, found = conform(df.where(F.col(C.REJECTED).isNull()).select(*spec.columns), spec)
+    marked = df.where(F.col(C.REJECTED).isNotNull()).select(
+        F.lit(spec.name).alias("table_name"), F.concat_ws(",", C.REJECTED).alias("columns"),
+        F.col(C.RAW_ROW).alias("_raw"))
+    return good, marked.unionByName(found)
+
+
+def rejects_db(db: str) -> str:
+    """Rejected rows lie beside the warehouse, so its own listing and export stay as they are."""
+    return f"{db}_rejects"
+
+
+def _write_table(spark: SparkSession, df: DataFrame, db: str, name: str, buckets: int | None) -> None:
+    """Write the good rows; count the others on the way and write them only if there are any."""
     spec = TABLES[name]
-    good, bad = conform(df, spec)
+    seen = Observation()
+    good, bad = split_rejects(df.observe(seen, F.count(F.lit(1)).alias("rows")), spec)
+    kept = Observation()
+    good = good.observe(kept, F.count(F.lit(1)).alias("rows"))
     if spec.bucket_by and buckets:
         # one task per bucket: each bucket is written as one file, not one per task
         good = good.repartition(buckets, spec.bucket_by)
     good.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).insertInto(f"{db}.{name}", overwrite=True)
+    read, loaded = (o.get.get("rows", 0) for o in (seen, kept))  # no metric: an empty plan
+    if read != loaded:
+        bad = split_rejects(df, spec)[1]
+        (bad.select("columns", "_raw", "table_name").write.mode("append")
+         .insertInto(f"{rejects_db(db)}.rejected_rows"))
+        log.warning("%s.%s: %d rows rejected", db, name, read - loaded)
     log.info("loaded %s.%s", db, name)
-    return bad
 
 
 def load_tables(spark: SparkSession, tables: dict[str, DataFrame], db: str,
@@ -127,7 +154,8 @@ def load_tables(spark: SparkSession, tables: dict[str, DataFrame], db: str,
     """
     create_database(spark, db)
     create_tables(spark, db, buckets)
-    loaded, rejects = [], []
+    start_rejects(spark, db, list(tables))
+    loaded = []
     for level in load_levels():
         names = [n for n in level if n in tables]
         if not names:
@@ -135,10 +163,18 @@ def load_tables(spark: SparkSession, tables: dict[str, DataFrame], db: str,
         with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(names)))) as pool:
             futures = {n: pool.submit(_write_table, spark, tables[n], db, n, buckets) for n in names}
             for n in names:
-                rejects.append(futures[n].result())
+                futures[n].result()
                 loaded.append(n)
-    rej = reduce(lambda a, b: a.unionByName(b), rejects) if rejects else None
-    return LoadResult(loaded, rej)
+    return LoadResult(loaded, spark.table(f"{rejects_db(db)}.rejected_rows"))
+
+
+def start_rejects(spark: SparkSession, db: str, names: list[str]) -> None:
+    """An empty place for the rejected rows of these tables (a partition of each table)."""
+    create_database(spark, rejects_db(db))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {rejects_db(db)}.rejected_rows (columns string, _raw string, "
+              "table_name string) USING parquet PARTITIONED BY (table_name)")
+    for n in names:
+        spark.sql(f"ALTER TABLE {rejects_db(db)}.rejected_rows DROP IF EXISTS PARTITION (table_name = '{n}')")
 
 
 def attach_warehouse(spark: SparkSession, db: str, location: str) -> list[str]:
@@ -151,8 +187,8 @@ def attach_warehouse(spark: SparkSession, db: str, location: str) -> list[str]:
     create_database(spark, db)
     attached = []
     for name in load_order():
-        path = os.path.join(location, name)
-        if not spark.catalog.tableExists(f"{db}.{name}") and os.path.isdir(path):
+        path = join_location(location, name)
+        if not spark.catalog.tableExists(f"{db}.{name}") and location_exists(spark, path):
             spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
             attached.append(name)
     if {"fact_order_items", "dim_orders", "dim_products", "dim_reviews"} <= set(
@@ -190,25 +226,28 @@ def list_objects(spark: SparkSession, db: str, types=("MANAGED", "EXTERNAL", "VI
     return df.where(F.col("table_type").isin(*types)).orderBy("name")
 
 
-def export_csv(spark: SparkSession, db: str, out_dir: str) -> DataFrame:
+def export_csv(spark: SparkSession, db: str, out_dir: str, upper: bool = False) -> DataFrame:
     """Write every table and view of ``db`` to ``out_dir/<name>`` as CSV with a header.
 
-    Empty objects are skipped; a failing object is reported and the rest go on.
+    Quotes in text are doubled, so any CSV reader finds the same values; ``upper`` writes column
+    names in upper case. Empty objects are skipped; a failing object is reported and the rest go on.
     Returns ``(name, status, path)``.
     """
     report = []
     for r in list_objects(spark, db).collect():  # one row per catalog object
         name = r["name"]
-        path = os.path.join(out_dir, name.lower())
+        path = join_location(out_dir, name.lower())
         try:
             df = spark.table(f"{db}.{name}")
             if df.isEmpty():
                 report.append((name, "empty", None))
                 continue
-            (df.write.mode("overwrite").option("header", True)
-             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+            stamps = [f.name for f in df.schema if f.dataType.typeName() == "timestamp_ntz"]
+            df = df.withColumns({c: format_timestamp(c) for c in stamps})
+            (upper_columns(df) if upper else df).write.mode("overwrite").option("header", True).option(
+                "quote", '"').option("escape", '"').csv(path)
             report.append((name, "written", path))
         except Exception as e:  # noqa: BLE001 -- one object's failure must not stop the rest
             log.error("export of %s failed: %s", name, e)
-            report.append((name, f"error: {str(e).splitlines()[0][:200]}", None))
+            report.append((name, f"error: {e}", None))
     return spark.createDataFrame(report, "name string, status string, path string")

@@ -87,7 +87,7 @@ def test_global_rank_equals_sql_rank_with_ties_and_nulls(spark):
     rows = [(i, random.choice([None, 1.0, 2.0, 2.0, 3.5]) if i % 7 else 2.0) for i in range(500)]
     df = spark.createDataFrame(rows, "id int, v double")
     order = [F.desc_nulls_last("v")]
-    ours = {r.id: r.r for r in global_rank(df, order, "r", partitions=7).collect()}
+    ours = {r.id: r.r for r in global_rank(df, [("v", True)], "r", partitions=7).collect()}
     ref = {r.id: r.r for r in df.withColumn("r", F.rank().over(Window.orderBy(*order))).collect()}
     assert ours == ref
 
