@@ -40,6 +40,7 @@ def test_induced_sorting_finds_all_repeats(seed, monkeypatch):
     for _ in range(60):
         monkeypatch.setattr(I, "RANGES", rng.choice([64, 4, 2]))
         monkeypatch.setattr(I, "PIECE", rng.choice([1 << 20, 7]))
+        monkeypatch.setattr(I, "IN_MEMORY", rng.choice([1 << 20, 10]))
         letters = rng.choice([b"ab", b"abc", bytes(range(256)), b"a"])
         pieces = [bytes(rng.choice(letters) for _ in range(rng.randint(0, 70))) for _ in range(rng.randint(1, 8))]
         pieces.append(pieces[0][3:20] + b"xyz" + pieces[-1])
