@@ -338,18 +338,26 @@ ORDER_MEASURES = ("total_orders", "active_customers", "on_time_pct")
 FACT_MEASURES = ("gmv", "items", "active_sellers")
 DERIVED = ("avg_order_value",)
 MEASURES = ORDER_MEASURES + FACT_MEASURES + DERIVED
+PAYMENT_MEASURES = ("payments", "payment_total", "avg_payment")
+REVIEW_MEASURES = ("reviews", "avg_review_score")
+ALL_MEASURES = MEASURES + PAYMENT_MEASURES + REVIEW_MEASURES
 
 # Slicer fields reached through the fact only (product and seller attributes).
 PRODUCT_ATTRS = ("product_category_name", "product_category_name_english")
 SELLER_ATTRS = ("seller_city", "seller_state", "seller_zip_code_prefix")
+# Slicer fields of the tables that hang on orders by order_id; each reaches its own measures only.
+PAYMENT_ATTRS = ("payment_type", "payment_installments")
+REVIEW_ATTRS = ("review_score",)
 
 
 def order_attributes(t: Tables) -> DataFrame:
-    """dim_orders + customer attributes + derived calendar columns (the slicer fields)."""
+    """dim_orders + customer attributes + calendar, delay and cohort columns (the slicer fields)."""
     ts = F.col("order_purchase_timestamp")
+    delay = TM.delay_bucket(TM.delay_days("order_delivered_customer_date", "order_estimated_delivery_date"))
+    day = F.element_at(F.array(*[F.lit(d) for d in DAY_NAMES]), TM.weekday(ts) + 1)
     return (orders_with_customers(t)
             .withColumns({"purchase_year": F.year(ts), "purchase_month": TM.month_start(ts),
-                          "purchase_weekday": TM.weekday(ts)}))
+                          "purchase_weekday": TM.weekday(ts), "purchase_day_name": day, "delay_bucket": delay}))
 
 
 def _item_attributes(t: Tables, by_i: Sequence[str], item_where) -> DataFrame:
@@ -367,61 +375,98 @@ def _item_attributes(t: Tables, by_i: Sequence[str], item_where) -> DataFrame:
     return f.where(item_where) if item_where is not None else f
 
 
+def _items_branch(t: Tables, o: DataFrame, by_o: list[str], own: list[str], item_where) -> DataFrame:
+    return (_item_attributes(t, own, item_where).join(o.select("order_id", *by_o), "order_id")
+            .groupBy(*by_o, *own).agg(_money(F.sum("gmv")).alias("gmv"), F.sum("n_items").alias("items"),
+                                      F.count_distinct("seller_id").alias("active_sellers")))
+
+
+def _payments_branch(t: Tables, o: DataFrame, by_o: list[str], own: list[str]) -> DataFrame:
+    # One row per order (and slicer value) before the join: a hot order is summed up first.
+    p = t["dim_payments"].groupBy("order_id", *own).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("payment_value").alias("v"), F.count("payment_value").alias("c"))
+    return (p.join(o.select("order_id", *by_o), "order_id").groupBy(*by_o, *own)
+            .agg(F.sum("n").alias("payments"), _money(F.sum("v")).alias("payment_total"), F.sum("c").alias("_valued")))
+
+
+def _reviews_branch(t: Tables, o: DataFrame, by_o: list[str], own: list[str]) -> DataFrame:
+    r = t["dim_reviews"].groupBy("order_id", *own).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("review_score").alias("v"), F.count("review_score").alias("c"))
+    return (r.join(o.select("order_id", *by_o), "order_id").groupBy(*by_o, *own)
+            .agg(F.sum("n").alias("reviews"), F.sum("v").alias("_score"), F.sum("c").alias("_scored")))
+
+
 def measure_frame(t: Tables, measures: Sequence[str] = MEASURES, by: Sequence[str] = (),
                   where: str | Column | None = None, item_where: str | Column | None = None) -> DataFrame:
     """Evaluate ``measures`` grouped by ``by`` under the filters.
 
-    ``by`` may mix order/customer fields (``order_attributes``) and product/seller
-    fields (``PRODUCT_ATTRS``, ``SELLER_ATTRS``). ``where`` filters orders and
-    customers and so reaches every measure; ``item_where`` filters products and
-    sellers and reaches only the item measures (gmv, items, active_sellers,
-    and gmv's share in avg_order_value) -- filters flow from a dimension to the
-    fact, never from the fact back to orders.
+    ``by`` may mix order/customer fields (``order_attributes``) with the fields of one table that
+    hangs on orders: items (``PRODUCT_ATTRS``, ``SELLER_ATTRS``), payments (``PAYMENT_ATTRS``) or
+    reviews (``REVIEW_ATTRS``). ``where`` filters orders and customers and so reaches every
+    measure; ``item_where`` filters products and sellers and reaches only the item measures.
+    Filters and slices flow from a dimension to the tables that refer to it, never back:
+    a slice by payment type splits the payment measures and repeats the others.
     """
-    unknown = set(measures) - set(MEASURES)
+    unknown = set(measures) - set(ALL_MEASURES)
     if unknown:
         raise ValueError(f"unknown measures {sorted(unknown)}")
-    item_fields = set(PRODUCT_ATTRS) | set(SELLER_ATTRS)
+    fields = {"items": PRODUCT_ATTRS + SELLER_ATTRS, "payments": PAYMENT_ATTRS, "reviews": REVIEW_ATTRS}
+    values = {"items": ["gmv", "items", "active_sellers"], "payments": ["payments", "payment_total", "_valued"],
+              "reviews": ["reviews", "_score", "_scored"]}
+    asked = {"items": FACT_MEASURES + DERIVED, "payments": PAYMENT_MEASURES, "reviews": REVIEW_MEASURES}
     by = list(by)
-    by_o = [b for b in by if b not in item_fields]
-    by_i = [b for b in by if b in item_fields]
+    own = {k: [b for b in by if b in f] for k, f in fields.items()}
+    sliced = [k for k, f in own.items() if f]
+    if len(sliced) > 1:
+        raise ValueError(f"slices of {sliced} can't be mixed: no key leads from one to the other")
+    by_o = [b for b in by if not any(b in f for f in fields.values())]
+    needed = [k for k in fields if k in sliced or set(measures) & set(asked[k])]
     o = order_attributes(t)
     if where is not None:
         o = o.where(where)
     d, e = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
-    om = o.groupBy(*by_o).agg(
+    order_vals = ["total_orders", "active_customers", "_on_time", "_delivered"]
+    frames = [o.groupBy(*by_o).agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count_distinct("customer_id").alias("active_customers"),
         F.count_if(d.isNotNull() & e.isNotNull() & (d <= e)).alias("_on_time"),
-        F.count_if(d.isNotNull()).alias("_delivered"))
-    order_vals = ["total_orders", "active_customers", "_on_time", "_delivered"]
-    item_vals = ["gmv", "items", "active_sellers"]
-    need_items = bool(set(measures) & set(FACT_MEASURES + DERIVED)) or by_i
-    if need_items:
-        f = (_item_attributes(t, by_i, item_where).join(o.select("order_id", *by_o), "order_id")
-             .groupBy(*by).agg(_money(F.sum("gmv")).alias("gmv"), F.sum("n_items").alias("items"),
-                               F.count_distinct("seller_id").alias("active_sellers")))
-    if not by_i:
-        frames = [om, f] if need_items else [om]
-        out = (_combine(frames, by, order_vals + item_vals) if by
-               else _combine_global(frames, order_vals + item_vals))
-    elif by_o:
-        # item groups carry the order measures of their order/customer slice
-        cond = [F.col(f"i.{b}").eqNullSafe(F.col(f"o.{b}")) for b in by_o]
-        # (an order slice without items stays, with blank item fields)
-        out = (f.withColumn("_i", F.lit(1)).alias("i").join(om.alias("o"), reduce(lambda a, b: a & b, cond), "full")
-               .select(*[F.when(F.col("i._i").isNotNull(), F.col(f"i.{b}")).otherwise(F.col(f"o.{b}")).alias(b)
-                         if b in by_o else F.col(f"i.{b}").alias(b) for b in by],
-                       *[F.col(f"o.{v}") for v in order_vals], *[F.col(f"i.{v}") for v in item_vals]))
+        F.count_if(d.isNotNull()).alias("_delivered"))]
+    split = None
+    for k in needed:
+        frame = {"items": lambda f: _items_branch(t, o, by_o, f, item_where),
+                 "payments": lambda f: _payments_branch(t, o, by_o, f),
+                 "reviews": lambda f: _reviews_branch(t, o, by_o, f)}[k](own[k])
+        if k in sliced:
+            split = frame
+        else:
+            frames.append(frame)
+    whole_vals = order_vals + [v for k in needed if k not in sliced for v in values[k]]
+    whole = _combine(frames, by_o, whole_vals) if by_o else _combine_global(frames, whole_vals)
+    if split is None:
+        out = whole
     else:
-        # no order/customer slice: order measures are one row of totals, on every item group
-        out = f.join(F.broadcast(om)).select(*by, *order_vals, *item_vals)
+        split_vals = values[sliced[0]]
+        if by_o:
+            # Groups of the slice carry the other measures of their order slice, and an order slice
+            # without any stays, with blank fields.
+            cond = [F.col(f"i.{b}").eqNullSafe(F.col(f"o.{b}")) for b in by_o]
+            out = (split.withColumn("_i", F.lit(1)).alias("i")
+                   .join(whole.alias("o"), reduce(lambda a, b: a & b, cond), "full")
+                   .select(*[F.when(F.col("i._i").isNotNull(), F.col(f"i.{b}")).otherwise(F.col(f"o.{b}")).alias(b)
+                             if b in by_o else F.col(f"i.{b}").alias(b) for b in by],
+                           *[F.col(f"o.{v}") for v in whole_vals], *[F.col(f"i.{v}") for v in split_vals]))
+        else:
+            # no order slice: the other measures are one row of totals, on every group
+            out = split.join(F.broadcast(whole)).select(*by, *whole_vals, *split_vals)
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     derived = {
-        "total_orders": F.coalesce("total_orders", F.lit(0)).cast("long"),
-        "active_customers": F.coalesce("active_customers", F.lit(0)).cast("long"),
+        "total_orders": zero("total_orders"), "active_customers": zero("active_customers"),
         "on_time_pct": N.safe_divide("_on_time", "_delivered"),
         "gmv": F.col("gmv"), "items": F.col("items"), "active_sellers": F.col("active_sellers"),
         "avg_order_value": N.safe_divide("gmv", "total_orders"),
+        "payments": F.col("payments"), "payment_total": F.col("payment_total"),
+        "avg_payment": N.safe_divide("payment_total", "_valued"),
+        "reviews": F.col("reviews"), "avg_review_score": N.safe_divide("_score", "_scored"),
     }
     return out.select(*by, *[derived[m].alias(m) for m in measures])
 

@@ -423,3 +423,38 @@ SELECT order_id, customer_id, order_purchase_timestamp,
   MIN(order_purchase_timestamp) OVER (PARTITION BY customer_id) AS first_purchase_timestamp,
   CAST(date_trunc('month', MIN(order_purchase_timestamp) OVER (PARTITION BY customer_id)) AS TIMESTAMP) AS cohort_month
 FROM dim_orders"""))(_measure(M.orders_first_purchase))
+
+
+_PAID = ("payments", "payment_total", "avg_payment", "total_orders", "gmv")
+
+
+@register("measures_by_payment_state", O.with_ctes(f"""
+, oa AS (SELECT o.order_id, c.customer_state FROM dim_orders o LEFT JOIN dim_customers c ON c.customer_id = o.customer_id),
+states AS (SELECT customer_state, COUNT(DISTINCT order_id) AS total_orders FROM oa GROUP BY 1),
+sold AS (SELECT oa.customer_state, CAST(SUM({O.GMV}) AS DECIMAL(38,2)) AS gmv
+         FROM fact_order_items f JOIN oa ON oa.order_id = f.order_id GROUP BY 1),
+paid AS (SELECT p.payment_type, oa.customer_state, TRUE AS any_paid, COUNT(*) AS payments,
+           CAST(SUM(p.payment_value) AS DECIMAL(38,2)) AS payment_total, AVG(CAST(p.payment_value AS DECIMAL(38,2))) AS avg_payment
+         FROM dim_payments p JOIN oa ON oa.order_id = p.order_id GROUP BY 1, 2)
+SELECT paid.payment_type, st.customer_state, paid.payments, paid.payment_total,
+  CAST(paid.payment_total AS DOUBLE) / paid.payments AS avg_payment, st.total_orders, sold.gmv
+FROM states st LEFT JOIN paid ON paid.customer_state IS NOT DISTINCT FROM st.customer_state
+LEFT JOIN sold ON sold.customer_state IS NOT DISTINCT FROM st.customer_state"""))
+def q_measures_by_payment_state(spark, sf_dir):
+    """A payment slicer beside a customer slicer: payment measures split, the others repeat."""
+    return M.measure_frame(driver_warehouse(spark, sf_dir), _PAID, by=["payment_type", "customer_state"])
+
+
+@register("measures_by_delay_day", O.with_ctes(f"""
+, oa AS (SELECT order_id, dayname(order_purchase_timestamp) AS purchase_day_name, {O.DELAY_BUCKET} AS delay_bucket
+         FROM (SELECT *, date_diff('day', CAST(order_estimated_delivery_date AS DATE),
+                                   CAST(order_delivered_customer_date AS DATE)) AS dd FROM dim_orders)),
+total AS (SELECT delay_bucket, purchase_day_name, COUNT(DISTINCT order_id) AS total_orders FROM oa GROUP BY 1, 2),
+said AS (SELECT oa.delay_bucket, oa.purchase_day_name, COUNT(*) AS reviews, AVG(r.review_score) AS avg_review_score
+         FROM dim_reviews r JOIN oa ON oa.order_id = r.order_id GROUP BY 1, 2)
+SELECT delay_bucket, purchase_day_name, total_orders, reviews, avg_review_score
+FROM total LEFT JOIN said USING (delay_bucket, purchase_day_name)"""))
+def q_measures_by_delay_day(spark, sf_dir):
+    """Review measures by delivery delay and day of purchase."""
+    return M.measure_frame(driver_warehouse(spark, sf_dir), ["total_orders", "reviews", "avg_review_score"],
+                           by=["delay_bucket", "purchase_day_name"])
