@@ -1,8 +1,9 @@
 """Removal of repeated word windows: count-min prefilter, then exact groups of what may repeat.
 
-Pass 1 hashes every window of ``width`` consecutive words and sketches the counts (``sketch``).
-Pass 2 keeps only windows that the merged sketch estimates to occur twice; the estimate is never
-too small, so no repeated window is lost. Those windows are grouped by a 128-bit hash of their
+Pass 1 sketches window counts (``sketch``) through the windows' minimizers: consecutive windows that
+share one are counted once, so the sketch holds a small part of the windows, and a minimizer in
+two documents is the least that a window in two documents needs. Pass 2 keeps only windows that the
+merged sketch estimates to occur twice; the estimate is never too small, so no repeated window is lost. Those windows are grouped by a 128-bit hash of their
 words (two independent 64-bit lanes): first inside the task, where a window that a smaller
 document of the same task starts is decided at once, so that a hot window sends one row per task
 (not one per document) into the second, global group. Covered words are removed and the rest is
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from . import rolling
 from .common import byte_slices, id_and_text, key_runs, rank_id, text_bytes, to_batch
+from .minimizer import sliding_min
 from .sketch import count_repeated
 
 LANES = (rolling.Hasher(301), rolling.Hasher(302))
@@ -32,20 +34,30 @@ FOUND = "h1 long, h2 long, decided boolean, rank long, text_key long, start int,
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-def window_hashes(texts: list[bytes], width: int, lane: rolling.Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(hash, text number, word number)`` of every window that lies in one text."""
-    buf, start, end, count = rolling.words(texts)
+def window_hashes(texts: list[bytes], width: int, lane: rolling.Hasher) -> tuple[np.ndarray, ...]:
+    """``(hash, text number, word number, minimizer)`` of every window that lies in one text.
+
+    The minimizer of a window is the least hash of its runs of a third of its words, so equal windows
+    have equal minimizers and a minimizer occurs at least as often as each window it stands for."""
+    items, count = rolling.word_hashes(texts, lane)
     text = np.repeat(np.arange(len(texts)), count)
-    hashes = lane.windows(lane.spans(buf, start, end), width)
+    hashes = lane.windows(items, width)
     n = len(hashes)
+    gram = max(1, width // 3)
+    least = sliding_min(lane.windows(items, gram), width - gram + 1) if n else hashes
     inside = text[:n] == text[width - 1:width - 1 + n]
     first = np.concatenate([[0], np.cumsum(count)])
     at = np.flatnonzero(inside)
-    return hashes[at], text[at], at - first[text[at]]
+    return hashes[at], text[at], at - first[text[at]], least[at]
+
+
+def run_starts(least: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Where a text's windows change their minimizer."""
+    return key_runs(least, text)
 
 
 def slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    return byte_slices([len(t) for t in texts], 4 << 20)
+    return byte_slices([len(t) for t in texts], rolling.SLICE)
 
 
 def merge_runs(row: np.ndarray, start: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,14 +88,15 @@ def decide(h1, h2, row, start, rank) -> dict[str, np.ndarray]:
     return dict(zip(("h1", "h2", "decided", "row", "start", "count"), map(np.concatenate, zip(*parts))))
 
 
-def repeated_windows(rows: DataFrame, width: int, bits: int, flush: int = 1_500_000) -> DataFrame:
+def repeated_windows(rows: DataFrame, width: int, bits: int, flush: int = 1_000_000) -> DataFrame:
     """``(rank, text_key, start, count)``: runs of windows that a smaller document also starts."""
     spark = rows.sparkSession
 
     def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         texts = text_bytes(batch.column(1))
         for a, b in slices(texts):
-            yield window_hashes(texts[a:b], width, LANES[0])[0]
+            _, text, _, least = window_hashes(texts[a:b], width, LANES[0])
+            yield least[run_starts(least, text)[:-1]]
 
     sketch = spark.sparkContext.broadcast(count_repeated(rows.select("doc_id", "text"), keys, bits))
     schema = spark.createDataFrame([], FOUND).schema
@@ -107,8 +120,9 @@ def repeated_windows(rows: DataFrame, width: int, bits: int, flush: int = 1_500_
             texts = text_bytes(batch.column(1))
             rank, key = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             for a, b in slices(texts):
-                h1, text, start = window_hashes(texts[a:b], width, LANES[0])
-                may = np.flatnonzero(sketch.value(h1))
+                h1, text, start, least = window_hashes(texts[a:b], width, LANES[0])
+                runs = run_starts(least, text)
+                may = np.flatnonzero(np.repeat(sketch.value(least[runs[:-1]]), np.diff(runs)))
                 if len(may):
                     h2 = window_hashes(texts[a:b], width, LANES[1])[0]
                     held.append((h1[may], h2[may], text[may] + rows_held, start[may]))
@@ -129,7 +143,7 @@ def repeated_windows(rows: DataFrame, width: int, bits: int, flush: int = 1_500_
             .filter("decided OR rank > least").select("rank", "text_key", "start", "count"))
 
 
-def remove_repeated(docs: DataFrame, width: int = 50, bits: int = 28) -> DataFrame:
+def remove_repeated(docs: DataFrame, width: int = 50, bits: int = 27) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_removed, kept_sha256``."""
     rows = id_and_text(docs)
     runs = (repeated_windows(rows, width, bits).groupBy("rank", "text_key")
