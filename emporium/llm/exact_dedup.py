@@ -122,12 +122,12 @@ def _finish(rows: DataFrame) -> DataFrame:
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
     kept = (exact_dedup(docs).filter("kept")
-            .select(F.col("doc_id").alias("_kept_id"), F.unhex("text_sha256").alias("_kept_sha")))
+            .select(F.col("doc_id").alias("__kept_id"), F.unhex("text_sha256").alias("__kept_sha")))
     sha = sha256(normalised(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    marked = docs.withColumn("_sha", sha)
-    found = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_kept_id"]) & (marked["_sha"] == kept["_kept_sha"]))
+    marked = docs.withColumn("__sha", sha)
+    found = marked.join(kept, marked["doc_id"].eqNullSafe(kept["__kept_id"]) & (marked["__sha"] == kept["__kept_sha"]))
     # After the join equal rows lie together; only repeats of one id and text are left to drop.
-    return found.dropDuplicates(["_kept_id", "_kept_sha"]).select(*[docs[c] for c in docs.columns])
+    return found.dropDuplicates(["__kept_id", "__kept_sha"]).select(*[docs[c] for c in docs.columns])
 
 
 ORACLE = r"""

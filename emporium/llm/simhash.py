@@ -184,8 +184,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Data
 def drop_near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """One document of each component stays (the smallest id), with all its columns."""
     first = (simhash_groups(docs, shingle, max_bits).filter("first")
-             .select(F.col("doc_id").alias("_first"), F.col("text_key").alias("_key")))
-    marked = docs.withColumn("_text_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    found = marked.join(first, marked["doc_id"].cast("long").eqNullSafe(first["_first"])
-                        & (marked["_text_key"] == first["_key"]))
-    return found.dropDuplicates(["_first", "_key"]).select(*[docs[c] for c in docs.columns])
+             .select(F.col("doc_id").alias("__first"), F.col("text_key").alias("__key")))
+    marked = docs.withColumn("__text_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    found = marked.join(first, marked["doc_id"].cast("long").eqNullSafe(first["__first"])
+                        & (marked["__text_key"] == first["__key"]))
+    return found.dropDuplicates(["__first", "__key"]).select(*[docs[c] for c in docs.columns])

@@ -103,6 +103,14 @@ def test_cut_texts_stay_valid_and_keep_columns(spark, documents):
     assert got[2].text == "ö" and got[3].text is None and got[4].text == "plain" and got[4].n_chars == 9
 
 
+def test_columns_with_the_names_used_inside_survive(spark):
+    text = "".join(random.Random(2).choice("abcdefghij ") for _ in range(500))
+    df = spark.createDataFrame([(1, text, 1, 2, "s", "c"), (2, text + "x", 3, 4, "s", "c")],
+                               "doc_id long, text string, rank int, text_key int, starts string, counts string")
+    got = {r.doc_id: tuple(r)[1:] for r in S.cut_repeated_bytes(df).collect()}
+    assert got == {1: ("", 1, 2, "s", "c"), 2: ("x", 3, 4, "s", "c")}
+
+
 def test_empty_table(no_documents):
     assert S.remove_repeated_bytes(no_documents).count() == 0
     assert S.cut_repeated_bytes(no_documents).count() == 0
