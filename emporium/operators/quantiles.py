@@ -35,16 +35,26 @@ def _value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c")))
 
 
+# Distinct values that one partition ranks.
+VALUES_PER_PARTITION = 1_000_000
+
+
+def value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column_name, v, c)``: each distinct value with its count, written once for several readers."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return _value_counts_long(df, cols).checkpoint(eager=True)
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Rows ``(column_name, prob, value)``; nulls and NaN are skipped, as in pandas.
 
-    ``value`` is null for a column without values.
+    ``value`` is null for a column without values. ``counts`` gives a ``value_counts_long`` that
+    is there already. The number of partitions follows the number of distinct values.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vc = _value_counts_long(df, cols)
+    vc = value_counts_long(df, cols) if counts is None else counts
+    n_parts = partitions or max(1, -(-vc.count() // VALUES_PER_PARTITION))
     ranged = (vc.repartitionByRange(n_parts, "column_name", "v")
               .sortWithinPartitions("column_name", "v")
               .checkpoint(eager=True))
