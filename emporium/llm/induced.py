@@ -22,6 +22,7 @@ from . import rolling
 
 RANGES = 64
 PIECE = 1 << 20  # tuples read back at a time
+IN_MEMORY = 24 << 20  # bytes of one array that need no file
 LANE = rolling.Hasher(1010)
 
 
@@ -272,17 +273,15 @@ class Inducer:
         self.depth = depth
         order = np.concatenate(parts)[::-1]
         # Names: equal pieces from one such position to the next get one name.
-        end = mapped(self.folder, np.int64, self.n)
-        end[lms] = np.append(lms[1:], self.n - 1) + 1
-        length = end[order] - order
-        hashes = spans_by_piece(self.text, order, end[order])
+        place = np.searchsorted(lms, order)
+        end = (np.append(lms[1:], self.n - 1) + 1)[place]
+        length = end - order
+        hashes = spans_by_piece(self.text, order, end)
         name = np.cumsum((np.diff(length, prepend=-1) != 0) | (np.diff(hashes.view(np.int64), prepend=0) != 0))
         if m <= 1 or name[-1] == m:
             return order
         names = mapped(self.folder, np.int64, m + 1)
-        place = mapped(self.folder, np.int64, self.n)
-        place[lms] = np.arange(m)
-        names[place[order]] = name
+        names[place] = name
         names[m] = 0
         deeper = Inducer(names, self.folder, self.memory)
         found: list[np.ndarray] = []
@@ -291,6 +290,9 @@ class Inducer:
 
 
 def mapped(folder: str, kind, n: int) -> np.ndarray:
+    """An array of zeros; a large one lies in a file that the system pages in and out."""
+    if n * np.dtype(kind).itemsize <= IN_MEMORY:
+        return np.zeros(n, kind)
     handle, path = tempfile.mkstemp(dir=folder)
     os.close(handle)
     return np.memmap(path, kind, "w+", shape=n).view(np.ndarray)
@@ -333,7 +335,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
     return out
 
 
-def repeated_starts(pieces: Iterable[bytes], depth: int, memory: int = 64 << 20) -> np.ndarray:
+def repeated_starts(pieces: Iterable[bytes], depth: int, memory: int = 32 << 20) -> np.ndarray:
     """Which positions of the joined pieces (each followed by one separator) start ``depth`` bytes that
     also start elsewhere in a piece. The pieces are read once and written to disk."""
     with tempfile.TemporaryDirectory() as folder:

@@ -31,7 +31,7 @@ from .minimizer import segments
 from .sketch import count_repeated
 
 LANE = rolling.Hasher(1001)
-SHARD_BYTES = 24 << 20  # text for each shard
+SHARD_BYTES = 12 << 20  # text for each shard
 SEGMENT = "shard long, key long, data binary, places binary"
 RUNS = "rank long, text_key long, start long, count long"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -82,7 +82,7 @@ def kept_segments(rows: DataFrame, width: int, shards: int, bits: int, flush: in
                     if places is None:
                         places = held[k, data] = []
                         size += len(data)
-                    size += 24
+                    size += 200  # a place as Python holds it
                     places.append((int(rank[row[t]]), int(text_key[row[t]]), s + int(offset[t])))
                 if size >= flush:
                     yield done()
@@ -183,13 +183,13 @@ def repeated_runs(rows: DataFrame, width: int, bits: int) -> DataFrame:
 
 
 def with_runs(docs: DataFrame, width: int, bits: int) -> DataFrame:
-    """The documents, null text as empty in ``_text``, with ``starts`` and ``counts`` of their runs."""
-    named = docs.withColumns({"_id": F.col("doc_id").cast("long"),
-                              "_text": F.coalesce(F.col("text").cast("string"), F.lit(""))})
-    runs = (repeated_runs(id_and_text(docs), width, bits).groupBy("rank", "text_key")
-            .agg(F.collect_list("start").alias("starts"), F.collect_list("count").alias("counts")))
-    return (named.withColumns({"rank": rank_id(F.col("_id")), "text_key": F.xxhash64("_text")})
-            .join(runs, ["rank", "text_key"], "left").drop("rank", "text_key"))
+    """The documents, null text as empty in ``__text``, with ``__starts`` and ``__counts`` of their runs."""
+    runs = (repeated_runs(id_and_text(docs), width, bits)
+            .groupBy(F.col("rank").alias("__rank"), F.col("text_key").alias("__text_key"))
+            .agg(F.collect_list("start").alias("__starts"), F.collect_list("count").alias("__counts")))
+    named = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    keyed = named.withColumns({"__rank": rank_id(F.col("doc_id").cast("long")), "__text_key": F.xxhash64("__text")})
+    return keyed.join(runs, ["__rank", "__text_key"], "left").drop("__rank", "__text_key")
 
 
 def covered(size: int, starts: list[int] | None, counts: list[int] | None, width: int) -> np.ndarray:
@@ -209,7 +209,7 @@ def kept_parts(text: bytes, edges: np.ndarray) -> list[bytes]:
     return [text[a:b] for a, b in zip(cut[0::2], cut[1::2])]
 
 
-def remove_repeated_bytes(docs: DataFrame, width: int = 400, bits: int = 27) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, width: int = 400, bits: int = 26) -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
     schema = docs.sparkSession.createDataFrame([], RESULT).schema
 
@@ -225,20 +225,21 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 400, bits: int = 27) ->
                     out[name].append(value)
             yield to_batch(schema, out)
 
-    return with_runs(docs.select("doc_id", "text"), width, bits).select("_id", "_text", "starts", "counts").mapInArrow(run, schema)
+    return (with_runs(docs.select("doc_id", "text"), width, bits)
+            .select(F.col("doc_id").cast("long").alias("doc_id"), "__text", "__starts", "__counts").mapInArrow(run, schema))
 
 
-def cut_repeated_bytes(docs: DataFrame, width: int = 400, bits: int = 27) -> DataFrame:
+def cut_repeated_bytes(docs: DataFrame, width: int = 400, bits: int = 26) -> DataFrame:
     """The documents with the repeated bytes cut from ``text`` (and ``n_chars``, if there, counted anew).
 
     A character goes only if all its bytes are covered, so texts stay valid; null texts stay null."""
     spans = F.udf(lambda text, starts, counts: cut_characters(text, starts, counts, width), "string",
                   useArrow=True)
     found = with_runs(docs, width, bits)
-    text = F.when(F.col("starts").isNull(), F.col("text")).otherwise(spans("_text", "starts", "counts"))
+    text = F.when(F.col("__starts").isNull(), F.col("text")).otherwise(spans("__text", "__starts", "__counts"))
     columns = {c: F.col(c) for c in docs.columns} | {"text": text}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("starts").isNull(), F.col("n_chars")).otherwise(
+        columns["n_chars"] = F.when(F.col("__starts").isNull(), F.col("n_chars")).otherwise(
             F.length(text).cast(docs.schema["n_chars"].dataType))
     return found.select(*[c.alias(n) for n, c in columns.items()])
 
