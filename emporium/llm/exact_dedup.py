@@ -68,8 +68,10 @@ def first_seen_state(spark: SparkSession, landed: str, schema, files_per_batch:
 
 
 def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256,
-                files_per_batch: int = 24) -> DataFrame:
-    """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256, digest, locator``."""
+                files_per_batch: int | None = None) -> DataFrame:
+    """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256, locator``.
+
+    Unless ``files_per_batch`` says otherwise, the landed files make about eight micro-batches (of 24 files at least)."""
     spark = docs.sparkSession
     rows = (id_and_text(docs).withColumn("file", F.input_file_name())
             .withColumn("norm", normalised(F.col("text"))).drop("text"))
@@ -77,10 +79,11 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256,
                          sha256(F.col("norm")).alias("sha"),
                          F.struct(F.col("file"), F.col("doc_id")).alias("locator"))
     landed = materialize(narrow, "dedup-landing")
-    if not landed.inputFiles() or landed.isEmpty():
+    files = landed.inputFiles()
+    if not files or landed.isEmpty():
         return _finish(narrow.withColumns({"keep_rank": F.col("rank"), "n": F.lit(1).cast("long")}))
-    state = materialize(first_seen_state(spark, landed.inputFiles()[0].rsplit("/", 1)[0], narrow.schema,
-                                         files_per_batch), "dedup-groups")
+    state = materialize(first_seen_state(spark, files[0].rsplit("/", 1)[0], narrow.schema,
+                                         files_per_batch or max(24, len(files) // 8)), "dedup-groups")
 
     # Full bytes on hits. Equal texts of a partition are combined before they are moved; while the
     # hits are few enough to be sent to every task, no other text is moved at all.
