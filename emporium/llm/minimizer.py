@@ -29,6 +29,8 @@ def segments(texts: list[bytes], width: int, lane: rolling.Hasher):
     buf = np.frombuffer(b"".join(texts), np.uint8)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     none = np.zeros(0, np.int64)
+    if len(buf) > 1 << PLACE_BITS:
+        raise ValueError(f"{len(buf)} joined bytes; places have {PLACE_BITS} bits")
     if len(buf) < width:
         return none.view(np.uint64), none.view(np.uint64), none, none, none
     at = np.arange(len(buf) - GRAM + 1)

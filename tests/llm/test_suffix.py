@@ -93,6 +93,25 @@ def test_long_texts_come_in_pieces(spark, monkeypatch):
     assert seen == Counter((0, i) for i in range(9_000 - 399))
 
 
+def test_an_empty_text_before_a_text_of_several_slices():
+    rng = np.random.default_rng(3)
+    text = rng.integers(97, 123, 5 << 20, np.uint8).tobytes()
+    passage = text[(9 << 19):(9 << 19) + 3_000]  # beyond the places that a slice can number
+    keys = []
+    for texts in ([b"", text], [passage]):
+        found = {}
+        for part, row, offset in S.pieces(texts, 400):
+            assert sum(map(len, part)) <= rolling.SLICE + 399
+            _, key, t, start, windows = M.segments(part, 400, S.LANE)
+            for k, a, s, n in zip(key.tolist(), t.tolist(), start.tolist(), windows.tolist()):
+                if len(texts) == 1 or s + n + int(offset[a]) > 9 << 19 and s + int(offset[a]) < (9 << 19) + 2_601:
+                    found.update((int(offset[a]) + s + i, k) for i in range(n))
+        keys.append(found)
+    assert [keys[0][(9 << 19) + i] for i in range(2_601)] == [keys[1][i] for i in range(2_601)]
+    with pytest.raises(ValueError):
+        M.segments([text], 400, S.LANE)
+
+
 def test_cut_texts_stay_valid_and_keep_columns(spark, documents):
     passage = "é" * 30 + "".join(random.Random(1).choice("abcdefghij ") for _ in range(420))
     rows = [(1, "ü" + passage + "end", "k", 9), (2, passage[1:] + "ö", "k", 9), (3, None, "k", 9), (4, "plain", None, 9)]
