@@ -1,8 +1,9 @@
 """Cutting texts into segments whose equal byte windows meet under one key.
 
-Every window of ``width`` bytes has a minimizer: the least hash of its ``GRAM``-byte strings. Equal
+Every window of ``width`` bytes has a minimizer: the least hash of its ``gram``-byte strings. Equal
 windows have equal minimizers, so windows grouped by minimizer are complete. Consecutive
-windows of one minimizer make one segment."""
+windows of one minimizer make one segment. Longer grams make smaller groups; a gram of the whole
+window makes one group for each distinct window."""
 
 from __future__ import annotations
 
@@ -24,7 +25,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[:n], before[width - 1:width - 1 + n])
 
 
-def segments(texts: list[bytes], width: int, lane: rolling.Hasher):
+def segments(texts: list[bytes], width: int, lane: rolling.Hasher, gram: int = GRAM):
     """``(keys of minimizer occurrences, key, text, start, windows)`` of all segments of the texts."""
     buf = np.frombuffer(b"".join(texts), np.uint8)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -33,10 +34,10 @@ def segments(texts: list[bytes], width: int, lane: rolling.Hasher):
         raise ValueError(f"{len(buf)} joined bytes; places have {PLACE_BITS} bits")
     if len(buf) < width:
         return none.view(np.uint64), none.view(np.uint64), none, none, none
-    at = np.arange(len(buf) - GRAM + 1)
-    hashes = lane.spans(buf, at, at + GRAM)
+    at = np.arange(len(buf) - gram + 1)
+    hashes = lane.spans(buf, at, at + gram)
     keyed = (hashes >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | at.astype(np.uint64)
-    least = sliding_min(keyed, width - GRAM + 1)
+    least = sliding_min(keyed, width - gram + 1)
     ends = np.cumsum(lengths)
     text = np.repeat(np.arange(len(texts)), lengths)[:len(least)]
     valid = np.flatnonzero(np.arange(len(least)) + width <= ends[text])

@@ -3,7 +3,9 @@
 Texts are cut into segments by the minimizers of their windows (``minimizer``), so that equal windows
 meet under one key. A sketch of the minimizer occurrences (never too small) leaves out segments
 whose key occurs once in the corpus; the others go, each distinct text once with all its places,
-to the shard of their key. A shard joins its distinct segments and sorts their suffixes by
+to the shard of their key. A key whose segments exceed ``KEY_BYTES`` (a footer with other text around it in
+every document) is split: its segments are cut again by minimizers of longer grams, at last of the whole window,
+so equal windows still meet. A shard joins its distinct segments and sorts their suffixes by
 external induction with common-prefix values (``induced``); windows with a common prefix of the full
 width, and all windows of a segment with several places, are repeated. Covered bytes are removed from every place.
 
@@ -24,15 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import byte_slices, id_and_text, rank_id, text_bytes, to_batch
+from .common import byte_slices, id_and_text, materialize, rank_id, text_bytes, to_batch
 from .induced import repeated_starts
 from .lm import expand, squeeze
-from .minimizer import segments
+from .minimizer import GRAM, PLACE_BITS, segments
 from .sketch import count_repeated
 
 LANE = rolling.Hasher(1001)
 SHARD_BYTES = 12 << 20  # text for each shard
-SEGMENT = "shard long, key long, data binary, places binary"
+KEY_BYTES = SHARD_BYTES >> 3  # text of a key before it is split
+HASH_BITS = 64 - PLACE_BITS
+SEGMENT = "key long, size long, data binary, places binary"
 RUNS = "rank long, text_key long, start long, count long"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -49,15 +53,35 @@ def pieces(texts: list[bytes], width: int) -> Iterator[tuple[list[bytes], np.nda
             yield [texts[a][at:at + rolling.SLICE + width - 1]], np.array([a]), np.array([at])
 
 
-def kept_segments(rows: DataFrame, width: int, shards: int, bits: int, flush: int = 12 << 20) -> DataFrame:
-    """Segments whose key may occur twice, each distinct text of a task once, with its places."""
+def longer_gram(gram: int, width: int) -> int:
+    """A quarter of the grams in a window, at last the whole window."""
+    return width + 1 - max(1, (width - gram + 1) // 4)
+
+
+def cut_again(texts: list[bytes], width: int, gram: int):
+    """Segments of all pieces of the texts: ``(their rows and offsets, keys of occurrences, key, text, start, windows)``."""
+    for part, row, offset in pieces(texts, width):
+        occurrences, key, *rest = segments(part, width, LANE, gram)
+        mark = np.uint64(gram << HASH_BITS if gram > GRAM else 0)  # keys of each length of gram are others
+        yield part, row, offset, occurrences + mark, key + mark, *rest
+
+
+def kept_segments(rows: DataFrame, width: int, bits: int, gram: int = GRAM, flush: int = 12 << 20) -> DataFrame:
+    """Segments whose key may occur twice, each distinct text of a task once, with its places.
+
+    ``rows`` are documents ``(text, rank, text_key)`` or segments ``(data, places)``."""
     spark = rows.sparkSession
+    again = "places" in rows.columns
 
     def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for texts, _, _ in pieces(text_bytes(batch.column(1)), width):
-            yield segments(texts, width, LANE)[0]
-
-    sketch = spark.sparkContext.broadcast(count_repeated(rows.select("doc_id", "text"), keys, bits))
+        texts = text_bytes(batch.column(0))
+        for _, row, _, occurrences, key, text, _, _ in cut_again(texts, width, gram):
+            yield occurrences
+            if again:  # all keys of a text with several places occur twice
+                several = np.array([len(expand(batch.column(1)[int(r)].as_py())[0]) > 1 for r in row], bool)
+                yield key[several[text]]
+
+    sketch = spark.sparkContext.broadcast(count_repeated(rows, keys, bits))
     schema = spark.createDataFrame([], SEGMENT).schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,15 +91,15 @@ def kept_segments(rows: DataFrame, width: int, shards: int, bits: int, flush: in
         def done() -> pa.RecordBatch:
             found = list(held.items())
             return to_batch(schema, {
-                "shard": [k % shards for (k, _), _ in found], "key": [k for (k, _), _ in found],
+                "key": [k for (k, _), _ in found], "size": [len(d) for (_, d), _ in found],
                 "data": [d for (_, d), _ in found],
                 "places": [squeeze(*np.array(p, np.int64).T.copy()) for _, p in found]})
 
         for batch in batches:
-            texts = text_bytes(batch.column(1))
-            rank, text_key = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            for part, row, offset in pieces(texts, width):
-                _, key, text, start, windows = segments(part, width, LANE)
+            texts = text_bytes(batch.column(0))
+            if not again:
+                rank, text_key = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            for part, row, offset, _, key, text, start, windows in cut_again(texts, width, gram):
                 may = np.flatnonzero(sketch.value(key))
                 for k, t, s, n in zip(key[may].astype(np.int64).tolist(), text[may].tolist(), start[may].tolist(),
                                       windows[may].tolist()):
@@ -84,16 +108,43 @@ def kept_segments(rows: DataFrame, width: int, shards: int, bits: int, flush: in
                     if places is None:
                         places = held[k, data] = []
                         size += len(data)
-                    size += 200  # a place as Python holds it
-                    places.append((int(rank[row[t]]), int(text_key[row[t]]), s + int(offset[t])))
-                if size >= flush:
-                    yield done()
-                    held, size = {}, 0
+                    s += int(offset[t])
+                    if again:
+                        before = expand(batch.column(1)[int(row[t])].as_py())
+                        places.extend((r, x, at + s) for r, x, at in zip(*(c.tolist() for c in before)))
+                        size += 200 * len(before[0])
+                    else:
+                        places.append((int(rank[row[t]]), int(text_key[row[t]]), s))
+                        size += 200  # a place as Python holds it
+                    if size >= flush:
+                        yield done()
+                        held, size = {}, 0
         if held:
             yield done()
 
-    return (rows.select("doc_id", "text", rank_id(F.col("doc_id")).alias("rank"),
-                        F.xxhash64("text").alias("text_key")).mapInArrow(run, schema))
+    return rows.mapInArrow(run, schema)
+
+
+def split_segments(rows: DataFrame, width: int, bits: int, limit: int) -> DataFrame:
+    """The kept segments of the documents, cut so that a key has at most ``limit`` bytes of them.
+
+    Equal windows have equal keys at every length of gram, so all segments of a large key are cut again
+    together. A key of whole windows holds a single text and is not cut further."""
+    gram = GRAM
+    kept = materialize(kept_segments(rows, width, bits), "suffix-segments")
+    small: list[DataFrame] = []
+    while gram < width:
+        large = materialize(kept.groupBy("key").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > limit)
+                            .select("key"), "suffix-large")
+        if large.isEmpty():
+            break
+        small.append(kept.join(large, "key", "left_anti"))
+        gram = longer_gram(gram, width)
+        kept = materialize(kept_segments(kept.join(large, "key", "left_semi").select("data", "places"),
+                                         width, bits, gram), "suffix-segments")
+    for part in small:
+        kept = kept.unionByName(part)
+    return kept
 
 
 class Shard:
@@ -180,8 +231,10 @@ def repeated_runs(rows: DataFrame, width: int, bits: int) -> DataFrame:
             if held:
                 yield to_batch(schema, dict(zip([f.name for f in schema], map(np.concatenate, zip(*held)))))
 
-    return (kept_segments(rows, width, shards, bits).repartition("shard").sortWithinPartitions("shard", "key", "data")
-            .mapInArrow(run, schema))
+    texts = rows.select("text", rank_id(F.col("doc_id")).alias("rank"), F.xxhash64("text").alias("text_key"))
+    dealt = split_segments(texts, width, bits, KEY_BYTES).select(
+        F.pmod("key", F.lit(shards)).alias("shard"), "key", "data", "places")
+    return dealt.repartition("shard").sortWithinPartitions("shard", "key", "data").mapInArrow(run, schema)
 
 
 def with_runs(docs: DataFrame, width: int, bits: int) -> DataFrame:

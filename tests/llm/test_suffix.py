@@ -112,6 +112,28 @@ def test_an_empty_text_before_a_text_of_several_slices():
         M.segments([text], 400, S.LANE)
 
 
+def test_a_passage_shared_by_many_documents_is_split(spark, monkeypatch):
+    """Each document has its own text on either side of the passage, so its segments differ."""
+    rng = random.Random(12)
+    letters = "abcdefghij "
+    passage = "".join(rng.choice(letters) for _ in range(450))
+    rows = [(i, "".join(rng.choice(letters) for _ in range(500)) + passage[i % 7:] + "".join(
+        rng.choice(letters) for _ in range(500))) for i in range(150)]
+    rows += [(200 + i, rows[i][1][:700]) for i in range(40)] + [(300, "of " * 2_000), (301, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = df.selectExpr("coalesce(text, '') text", "doc_id rank", "xxhash64(text) text_key")
+
+    def largest(limit):
+        kept = S.split_segments(texts, 400, 16, limit)
+        return kept.groupBy("key").agg({"size": "sum", "data": "min"}).selectExpr("max(`sum(size)`)").first()[0]
+
+    assert largest(1 << 40) > 60_000 and largest(8_000) <= 8_000
+    monkeypatch.setattr(S, "KEY_BYTES", 8_000)
+    assert rows_of(S.remove_repeated_bytes(df, bits=16)) == brute(rows, 400)
+    monkeypatch.setattr(S, "KEY_BYTES", 0)  # all keys, down to whole windows
+    assert rows_of(S.remove_repeated_bytes(df, bits=16)) == brute(rows, 400)
+
+
 def test_cut_texts_stay_valid_and_keep_columns(spark, documents):
     passage = "é" * 30 + "".join(random.Random(1).choice("abcdefghij ") for _ in range(420))
     rows = [(1, "ü" + passage + "end", "k", 9), (2, passage[1:] + "ö", "k", 9), (3, None, "k", 9), (4, "plain", None, 9)]
