@@ -4,8 +4,9 @@
 Suffixes are sorted by induction: the suffixes that begin a rise (after a fall) are sorted through
 the recursion on the shorter string of their names, then induce all falling suffixes in ascending and all
 rising ones in descending order. Tuples of position and common-prefix value wait in a priority queue by first
-symbol, in order of arrival; what exceeds its memory goes to disk. The text, names and orders are
-memory-mapped files, so a shard may be far larger than memory. On the way down, neighbours
+symbol, in order of arrival; what exceeds its memory goes to disk. Beyond ``IN_MEMORY`` bytes each, the
+text's classes and runs and the names are memory-mapped files, but seeds, orders, hashes and marks are whole
+arrays: a sort needs memory in proportion to its text, and callers bound that. On the way down, neighbours
 with a common prefix of ``depth`` mark their positions; no suffix array is stored.
 """
 

@@ -3,9 +3,9 @@
 Texts are cut into segments by the minimizers of their windows (``minimizer``), so that equal windows
 meet under one key. A sketch of the minimizer occurrences (never too small) leaves out segments
 whose key occurs once in the corpus; the others go, each distinct text once with all its places,
-to the shard of their key. A key whose segments exceed ``KEY_BYTES`` (a footer with other text around it in
+to the shard of their key. A shard is sorted by as many keys at a time as ``SORT_BYTES`` hold. A key whose segments exceed ``KEY_BYTES`` (a footer with other text around it in
 every document) is split: its segments are cut again by minimizers of longer grams, at last of the whole window,
-so equal windows still meet. A shard joins its distinct segments and sorts their suffixes by
+so equal windows still meet. A sort joins its distinct segments and orders their suffixes by
 external induction with common-prefix values (``induced``); windows with a common prefix of the full
 width, and all windows of a segment with several places, are repeated. Covered bytes are removed from every place.
 
@@ -34,6 +34,7 @@ from .sketch import count_repeated
 
 LANE = rolling.Hasher(1001)
 SHARD_BYTES = 12 << 20  # text for each shard
+SORT_BYTES = SHARD_BYTES  # segments and places sorted at a time, beyond the last key's
 KEY_BYTES = SHARD_BYTES >> 3  # text of a key before it is split
 HASH_BITS = 64 - PLACE_BITS
 SEGMENT = "key long, size long, data binary, places binary"
@@ -201,35 +202,44 @@ class Shard:
                    (at[:, None] + start[None, :]).ravel(), np.tile(count, len(at)))
 
 
+def sorted_runs(rows: Iterator[tuple], width: int, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Runs of repeated windows of ``(shard, key, data, places)`` in order. Keys share no window, so each
+    sort takes as many keys as ``limit`` bytes hold, beyond it the rest of the last one."""
+    row = next(rows, None)
+
+    def some() -> Iterator[tuple]:
+        nonlocal row
+        (shard, key, *_), size = row, 0
+        while row is not None and row[0] == shard and (row[1] == key or size < limit):
+            key = row[1]
+            size += len(row[2]) + len(row[3])
+            yield row[1:]
+            row = next(rows, None)
+
+    while row is not None:
+        yield from Shard(width).runs(some())
+
+
 def repeated_runs(rows: DataFrame, width: int, bits: int) -> DataFrame:
     """``(rank, text_key, start, count)``: runs of byte windows that start elsewhere too."""
     spark = rows.sparkSession
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, int(size) // SHARD_BYTES)
     schema = spark.createDataFrame([], RUNS).schema
+    limit = SORT_BYTES
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
-        row = next(stream, None)
-        while row is not None:
-            shard = row[0]
-
-            def of_shard() -> Iterator[tuple]:
-                nonlocal row
-                while row is not None and row[0] == shard:
-                    yield row[1:]
-                    row = next(stream, None)
-
-            held: list[tuple] = []
-            n = 0
-            for found in Shard(width).runs(of_shard()):
-                held.append(found)
-                n += len(found[0])
-                if n >= 100_000:
-                    yield to_batch(schema, dict(zip([f.name for f in schema], map(np.concatenate, zip(*held)))))
-                    held, n = [], 0
-            if held:
+        held: list[tuple] = []
+        n = 0
+        for found in sorted_runs(stream, width, limit):
+            held.append(found)
+            n += len(found[0])
+            if n >= 100_000:
                 yield to_batch(schema, dict(zip([f.name for f in schema], map(np.concatenate, zip(*held)))))
+                held, n = [], 0
+        if held:
+            yield to_batch(schema, dict(zip([f.name for f in schema], map(np.concatenate, zip(*held)))))
 
     texts = rows.select("text", rank_id(F.col("doc_id")).alias("rank"), F.xxhash64("text").alias("text_key"))
     dealt = split_segments(texts, width, bits, KEY_BYTES).select(

@@ -134,6 +134,32 @@ def test_a_passage_shared_by_many_documents_is_split(spark, monkeypatch):
     assert rows_of(S.remove_repeated_bytes(df, bits=16)) == brute(rows, 400)
 
 
+def test_a_sort_takes_no_more_than_its_bytes(spark, documents, monkeypatch, tmpdir_path):
+    """One shard far above the bound is sorted in parts that end with a key."""
+    monkeypatch.setattr(S, "SORT_BYTES", 20_000)
+    monkeypatch.setattr(S, "KEY_BYTES", 10_000)
+    df, rows = documents
+    log = f"{tmpdir_path}/sorted"
+    plain = S.Shard.read
+
+    def read(self, taken):
+        taken = list(taken)
+        with open(log, "a") as f:
+            f.write(f"{sum(len(d) + len(p) for k, d, p in taken if k != taken[-1][0])} {len({k for k, _, _ in taken})}\n")
+        return plain(self, iter(taken))
+
+    kept = S.split_segments(df.selectExpr("coalesce(text, '') text", "coalesce(doc_id, 0) rank",
+                                           "xxhash64(text) text_key"), 400, 22, 10_000)
+    taken = [(0, *r) for r in kept.select("key", "data", "places").orderBy("key", "data").collect()]
+    assert sum(len(d) for _, _, d, _ in taken) > 60_000
+    monkeypatch.setattr(S.Shard, "read", read)
+    assert sum(len(r[0]) for r in S.sorted_runs(iter(taken), 400, 20_000)) > 0
+    sizes = [tuple(map(int, x.split())) for x in open(log)]
+    assert len(sizes) > 2 and all(size < 20_000 for size, _ in sizes)
+    assert sum(n for _, n in sizes) == len({k for _, k, _, _ in taken})
+    assert rows_of(S.remove_repeated_bytes(df, bits=22)) == brute(rows, 400)
+
+
 def test_cut_texts_stay_valid_and_keep_columns(spark, documents):
     passage = "é" * 30 + "".join(random.Random(1).choice("abcdefghij ") for _ in range(420))
     rows = [(1, "ü" + passage + "end", "k", 9), (2, passage[1:] + "ö", "k", 9), (3, None, "k", 9), (4, "plain", None, 9)]
