@@ -217,6 +217,7 @@ class Vocabulary:
         self.tokens = sum(int(v[2]) for v in sizes.values())
         self.smoothing = smoothing
         self.number = np.uint32 if n < 1 << 32 else np.uint64
+        self.count = np.uint32 if self.tokens < 1 << 32 else np.uint64  # of a word in all training texts
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         """log10 of the base probability."""
@@ -252,6 +253,16 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.rint((x - lo) / step).astype(np.uint8), book
 
 
+def question(vocabulary: Vocabulary, numbers: np.ndarray, counts: np.ndarray, u: np.ndarray, w: np.ndarray,
+             n: np.ndarray) -> bytes:
+    """A chunk's bigrams for one shard: contexts and words with their training counts, and the bigrams' own in the chunk."""
+    contexts, each = np.unique(u, return_counts=True)
+    # Bigrams are in order of their context, so its words follow each other.
+    return squeeze(numbers[contexts].astype(vocabulary.number), counts[contexts].astype(vocabulary.count),
+                   each.astype(np.uint32), numbers[w].astype(vocabulary.number),
+                   counts[w].astype(vocabulary.count), n.astype(np.uint32))
+
+
 def answer_bigrams(vocabulary: Vocabulary) -> Callable[[int, list[tuple]], Iterator[tuple]]:
     m = vocabulary.smoothing
 
@@ -324,12 +335,7 @@ def score_texts(docs: DataFrame, folds: int = 5, held_out: int = 1, smoothing: f
         cut = np.searchsorted(shard, np.arange(shards + 1))
         for s in np.flatnonzero(np.diff(cut)):
             a, b = cut[s], cut[s + 1]
-            contexts, first, each = np.unique(u[a:b], return_index=True, return_counts=True)
-            # Bigrams are in order of their context, so its words follow each other.
-            yield number, int(s), 2, squeeze(
-                numbers[contexts].astype(vocabulary.number), counts[contexts].astype(np.uint32),
-                each.astype(np.uint32), numbers[w[a:b]].astype(vocabulary.number), counts[w[a:b]].astype(np.uint32),
-                n[a:b].astype(np.uint32))
+            yield number, int(s), 2, question(vocabulary, numbers, counts, u[a:b], w[a:b], n[a:b])
 
     def finish(number: int, rows: list[tuple]) -> Iterator[tuple]:
         chunk, _, counts, _, _, which, _, shard, order = sorted_bigrams(rows)

@@ -89,3 +89,17 @@ def test_packed_arrays_round_trip():
     arrays = [np.array([], np.int64), np.arange(7, dtype=np.uint32), np.array([True, False]), np.array([-5, 9], np.int16)]
     for a, b in zip(arrays, L.expand(L.squeeze(*arrays))):
         assert a.dtype == b.dtype and a.tolist() == b.tolist()
+
+
+def test_counts_beyond_32_bits():
+    count = np.array([(1 << 32) + 7, 1 << 33, 12], np.int64)
+    vocabulary = L.Vocabulary([(0, np.array([3, 3, count.sum()], np.int64).tobytes())], 100.0)
+    u, w, n = np.array([0, 0, 2]), np.array([1, 2, 0]), np.array([5, 0, 1])
+    asked = L.question(vocabulary, np.arange(3), count, u, w, n)
+    (_, _, _, data), = L.answer_bigrams(vocabulary)(0, [(0, 0, 2, asked)])
+    p = 10 ** vocabulary.base(count)
+    want = np.log10((n + 100 * p[w]) / (count[u] + 100))
+    assert np.abs(L.expand(data)[0] / 1000 - want).max() < 0.05
+    assert L.expand(asked)[1].tolist() == count[[0, 2]].tolist()
+    small = L.Vocabulary([(0, np.array([3, 3, 60], np.int64).tobytes())], 100.0)
+    assert small.count is np.uint32
