@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import boundaries as B
 from . import exact_dedup as X
 from . import topk as K
 from .common import read_table
@@ -88,3 +89,11 @@ def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_induced_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_roaring_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.fill_in_middle(read_table(spark, sf_dir, "documents"), with_output=False)
+
+
+ORACLE["op11_roaring_fill_in_middle"] = B.ORACLE

@@ -4,7 +4,7 @@ SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string"
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def documents(spark):
     """All texts of the smallest table with the odd cases added, and columns whose names operators use inside."""
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
@@ -14,7 +14,8 @@ def documents(spark):
              (900_006, "of " * 60_000), (900_007, "x" * 70_000), (900_008, (first + " ") * 40)]
     df = spark.createDataFrame([(*r, 1, "a", 2, "b") for r in rows],
                                DOCS + ", rank int, digest string, key int, starts string").repartition(5)
-    return df.cache(), rows
+    yield df.cache(), rows
+    df.unpersist()  # tests of the library count cached tables
 
 
 @pytest.fixture()
