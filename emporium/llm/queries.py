@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bitplanes as P
 from . import boundaries as B
 from . import exact_dedup as X
 from . import topk as K
@@ -97,3 +98,11 @@ def op11_roaring_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_roaring_fill_in_middle"] = B.ORACLE
+
+
+@query
+def op13_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op13_bit_plane_clusters"] = P.oracle()
