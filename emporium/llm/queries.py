@@ -11,6 +11,7 @@ from . import bitplanes as P
 from . import boundaries as B
 from . import exact_dedup as X
 from . import topk as K
+from . import warc as W
 from .common import read_table
 from .lm import score_texts
 from .packing import pack
@@ -106,3 +107,11 @@ def op13_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op13_bit_plane_clusters"] = P.oracle()
+
+
+@query
+def op12_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.archived_pages(read_table(spark, sf_dir, "pages")).drop("url", "problem")
+
+
+ORACLE["op12_warc_segments"] = W.ORACLE
