@@ -20,7 +20,6 @@ no rows and no archives; extra columns are ignored. A record that can't be read
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import io
 import re
@@ -271,6 +270,32 @@ class Truncated(ValueError):
     """An archive that ends inside a record."""
 
 
+class Inflated(io.RawIOBase):
+    """The bytes of gzip members that follow each other; all that came before a fault is read first."""
+
+    def __init__(self, raw):
+        self.raw, self.z = raw, None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        out = b""
+        while not out:
+            if self.z is None or self.z.eof:
+                data = (self.z.unused_data if self.z else b"") or self.raw.read(1 << 16)
+                if not data:
+                    return 0
+                self.z = zlib.decompressobj(31)
+            else:
+                data = self.z.unconsumed_tail or self.raw.read(1 << 16)
+            out = self.z.decompress(data, len(buffer))
+            if not data and not out and not self.z.eof:
+                raise Truncated("archive ends inside a compressed record")
+        buffer[:len(out)] = out
+        return len(out)
+
+
 def read_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], Iterator[bytes]]]:
     """``(fields, pieces of the block)`` of each record; names of fields in lower case."""
     while line := stream.readline(PIECE):
@@ -359,12 +384,11 @@ def scan_archives(archives: DataFrame) -> DataFrame:
     def records(name: str) -> Iterator[dict]:
         files, path = _file(name)
         with files.open_input_stream(path, compression=None) as raw:
-            stream = io.BufferedReader(gzip.GzipFile(fileobj=raw), PIECE) if name.endswith(".gz") else (
-                io.BufferedReader(raw, PIECE))
+            stream = io.BufferedReader(Inflated(raw) if name.endswith(".gz") else raw, PIECE)
             try:
                 for fields, block in read_records(stream):
                     yield from rows_of(fields, block)
-            except (Framing, Truncated, EOFError, zlib.error, gzip.BadGzipFile) as e:
+            except (Framing, Truncated, zlib.error) as e:
                 yield {"record_type": "archive", "url": name, "problem": str(e)}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

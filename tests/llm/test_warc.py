@@ -169,6 +169,20 @@ def test_decoder_takes_any_cut_extensions_and_trailers():
             reader.finish()
 
 
+def test_members_and_truncation(monkeypatch):
+    data = W.record("response", "a", {}, b"x" * 100_000) + W.record("response", "b", {}, random.Random(3).randbytes(200_000))
+    for cut, ids in ((len(data), "ab"), (len(data) - 50_000, "a"), (60, "")):
+        seen = []
+        try:
+            for fields, block in W.read_records(io.BufferedReader(W.Inflated(io.BytesIO(data[:cut])), 1 << 20)):
+                if sum(map(len, block)):
+                    seen.append(fields["warc-record-id"][-2])
+            assert cut == len(data)
+        except W.Truncated:
+            assert cut < len(data)
+        assert "".join(seen) == ids
+
+
 def test_a_long_block_is_read_in_pieces(monkeypatch):
     monkeypatch.setattr(W, "PIECE", 1000)
     block = bytes(range(256)) * 40
