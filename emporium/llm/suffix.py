@@ -4,8 +4,9 @@ Texts are cut into segments by the minimizers of their windows (``minimizer``),
 meet under one key. A sketch of the minimizer occurrences (never too small) leaves out segments
 whose key occurs once in the corpus; the others go, each distinct text once with all its places,
 to the shard of their key. A shard is sorted by as many keys at a time as ``SORT_BYTES`` hold. A key whose segments exceed ``KEY_BYTES`` (a footer with other text around it in
-every document) is split: its segments are cut again by minimizers of longer grams, at last of the whole window,
-so equal windows still meet. A sort joins its distinct segments and orders their suffixes by
+every document) first loses the windows that a sketch of whole windows knows to occur once: what is left of a
+shared passage is the same text everywhere, one row with many places. A key that is still too large is
+split: its segments are cut again by minimizers of longer grams, at last of the whole window, so equal windows still meet. A sort joins its distinct segments and orders their suffixes by
 external induction with common-prefix values (``induced``); windows with a common prefix of the full
 width, and all windows of a segment with several places, are repeated. Covered bytes are removed from every place.
 
@@ -34,8 +35,9 @@ from .sketch import count_repeated
 
 LANE = rolling.Hasher(1001)
 SHARD_BYTES = 12 << 20  # text for each shard
-SORT_BYTES = SHARD_BYTES  # segments and places sorted at a time, beyond the last key's
-KEY_BYTES = SHARD_BYTES >> 3  # text of a key before it is split
+SORT_BYTES = 9 << 20  # segments and places sorted at a time, beyond the last key's
+KEY_BYTES = 4 << 20  # text of a key before it is split
+RUNS_HELD = 500_000  # runs joined before they leave a task
 HASH_BITS = 64 - PLACE_BITS
 SEGMENT = "key long, size long, data binary, places binary"
 RUNS = "rank long, text_key long, start long, count long"
@@ -86,16 +88,7 @@ def kept_segments(rows: DataFrame, width: int, bits: int, gram: int = GRAM, flus
     schema = spark.createDataFrame([], SEGMENT).schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
-        size = 0
-
-        def done() -> pa.RecordBatch:
-            found = list(held.items())
-            return to_batch(schema, {
-                "key": [k for (k, _), _ in found], "size": [len(d) for (_, d), _ in found],
-                "data": [d for (_, d), _ in found],
-                "places": [squeeze(*np.array(p, np.int64).T.copy()) for _, p in found]})
-
+        held = Gathered(schema, flush)
         for batch in batches:
             texts = text_bytes(batch.column(0))
             if not again:
@@ -105,33 +98,97 @@ def kept_segments(rows: DataFrame, width: int, bits: int, gram: int = GRAM, flus
                 for k, t, s, n in zip(key[may].astype(np.int64).tolist(), text[may].tolist(), start[may].tolist(),
                                       windows[may].tolist()):
                     data = part[t][s:s + n + width - 1]
-                    places = held.get((k, data))
-                    if places is None:
-                        places = held[k, data] = []
-                        size += len(data)
                     s += int(offset[t])
                     if again:
-                        before = expand(batch.column(1)[int(row[t])].as_py())
-                        places.extend((r, x, at + s) for r, x, at in zip(*(c.tolist() for c in before)))
-                        size += 200 * len(before[0])
+                        held.add(k, data, shifted(batch.column(1)[int(row[t])].as_py(), s))
                     else:
-                        places.append((int(rank[row[t]]), int(text_key[row[t]]), s))
-                        size += 200  # a place as Python holds it
-                    if size >= flush:
-                        yield done()
-                        held, size = {}, 0
-        if held:
-            yield done()
+                        held.add(k, data, [(int(rank[row[t]]), int(text_key[row[t]]), s)])
+                    if held.size >= flush:
+                        yield held.done()
+        if held.size:
+            yield held.done()
 
     return rows.mapInArrow(run, schema)
 
 
+class Gathered:
+    """Segments of a task, each distinct text of a key once with all its places."""
+
+    def __init__(self, schema, flush: int):
+        self.schema, self.flush = schema, flush
+        self.held: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+        self.size = 0
+
+    def add(self, key: int, data: bytes, places: list[tuple[int, int, int]]) -> None:
+        found = self.held.get((key, data))
+        if found is None:
+            found = self.held[key, data] = []
+            self.size += len(data)
+        found.extend(places)
+        self.size += 200 * len(places)  # a place as Python holds it
+
+    def done(self) -> pa.RecordBatch:
+        found = list(self.held.items())
+        self.held, self.size = {}, 0
+        return to_batch(self.schema, {
+            "key": [k for (k, _), _ in found], "size": [len(d) for (_, d), _ in found], "data": [d for (_, d), _ in found],
+            "places": [squeeze(*np.array(p, np.int64).T.copy()) for _, p in found]})
+
+
+def shifted(places: bytes, by: int) -> list[tuple[int, int, int]]:
+    return [(r, x, at + by) for r, x, at in zip(*(c.tolist() for c in expand(places)))]
+
+
+def window_keys(texts: list[bytes], width: int):
+    """All windows of all pieces of the texts: ``(their texts, rows and offsets, hash, text, start)``."""
+    for part, row, offset in pieces(texts, width):
+        lengths = np.fromiter(map(len, part), np.int64, len(part))
+        count = np.maximum(lengths - width + 1, 0)
+        text = np.repeat(np.arange(len(part)), count)
+        start = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+        at = (np.cumsum(lengths) - lengths)[text] + start
+        yield part, row, offset, LANE.spans(np.frombuffer(b"".join(part), np.uint8), at, at + width), text, start
+
+
+def trimmed_segments(rows: DataFrame, width: int, bits: int, flush: int = 12 << 20) -> DataFrame:
+    """The segments ``(key, data, places)`` without the windows that occur once: what is left in one stretch
+    is a segment of the same key."""
+    spark = rows.sparkSession
+    schema = spark.createDataFrame([], SEGMENT).schema
+
+    def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        several = np.array([len(expand(p)[0]) > 1 for p in batch.column(2).to_pylist()], bool)
+        for _, row, _, found, text, _ in window_keys(text_bytes(batch.column(1)), width):
+            yield found
+            yield found[several[row[text]]]  # a text with several places counts as two
+
+    sketch = spark.sparkContext.broadcast(count_repeated(rows.select("key", "data", "places"), keys, bits))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Gathered(schema, flush)
+        for batch in batches:
+            key = batch.column(0).to_pylist()
+            for part, row, offset, found, text, start in window_keys(text_bytes(batch.column(1)), width):
+                may = sketch.value(found)
+                edge = np.flatnonzero(may & np.append(True, ~may[:-1] | (text[1:] != text[:-1])))
+                last = np.flatnonzero(may & np.append(~may[1:] | (text[1:] != text[:-1]), True))
+                for t, s, e in zip(text[edge].tolist(), start[edge].tolist(), start[last].tolist()):
+                    places = batch.column(2)[int(row[t])].as_py()
+                    held.add(key[int(row[t])], part[t][s:e + width], shifted(places, s + int(offset[t])))
+                    if held.size >= flush:
+                        yield held.done()
+        if held.size:
+            yield held.done()
+
+    return rows.select("key", "data", "places").mapInArrow(run, schema)
+
+
 def split_segments(rows: DataFrame, width: int, bits: int, limit: int) -> DataFrame:
     """The kept segments of the documents, cut so that a key has at most ``limit`` bytes of them.
 
     Equal windows have equal keys at every length of gram, so all segments of a large key are cut again
     together. A key of whole windows holds a single text and is not cut further."""
-    gram = GRAM
+    gram, trimmed = GRAM, False
     kept = materialize(kept_segments(rows, width, bits), "suffix-segments")
     small: list[DataFrame] = []
     while gram < width:
@@ -140,9 +197,13 @@ def split_segments(rows: DataFrame, width: int, bits: int, limit: int) -> DataFr
         if large.isEmpty():
             break
         small.append(kept.join(large, "key", "left_anti"))
-        gram = longer_gram(gram, width)
-        kept = materialize(kept_segments(kept.join(large, "key", "left_semi").select("data", "places"),
-                                         width, bits, gram), "suffix-segments")
+        part = kept.join(large, "key", "left_semi")
+        if trimmed:
+            gram = longer_gram(gram, width)
+            part = kept_segments(part.select("data", "places"), width, bits, gram)
+        else:
+            part, trimmed = trimmed_segments(part, width, bits), True
+        kept = materialize(part, "suffix-segments")
     for part in small:
         kept = kept.unionByName(part)
     return kept
@@ -220,6 +281,16 @@ def sorted_runs(rows: Iterator[tuple], width: int, limit: int) -> Iterator[tuple
         yield from Shard(width).runs(some())
 
 
+def joined_runs(rank: np.ndarray, text_key: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The runs with those joined that touch in one text."""
+    order = np.lexsort((start, text_key, rank))
+    rank, text_key, start, end = rank[order], text_key[order], start[order], (start + count)[order]
+    apart = (rank[1:] != rank[:-1]) | (text_key[1:] != text_key[:-1]) | (start[1:] > end[:-1])
+    first = np.flatnonzero(np.append(True, apart)) if len(rank) else np.zeros(0, np.int64)
+    end = np.maximum.reduceat(end, first) if len(rank) else end
+    return rank[first], text_key[first], start[first], end - start[first]
+
+
 def repeated_runs(rows: DataFrame, width: int, bits: int) -> DataFrame:
     """``(rank, text_key, start, count)``: runs of byte windows that start elsewhere too."""
     spark = rows.sparkSession
@@ -232,14 +303,18 @@ def repeated_runs(rows: DataFrame, width: int, bits: int) -> DataFrame:
         stream = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
         held: list[tuple] = []
         n = 0
+
+        def done() -> pa.RecordBatch:
+            return to_batch(schema, dict(zip([f.name for f in schema], joined_runs(*map(np.concatenate, zip(*held))))))
+
         for found in sorted_runs(stream, width, limit):
             held.append(found)
             n += len(found[0])
-            if n >= 100_000:
-                yield to_batch(schema, dict(zip([f.name for f in schema], map(np.concatenate, zip(*held)))))
+            if n >= RUNS_HELD:
+                yield done()
                 held, n = [], 0
         if held:
-            yield to_batch(schema, dict(zip([f.name for f in schema], map(np.concatenate, zip(*held)))))
+            yield done()
 
     texts = rows.select("text", rank_id(F.col("doc_id")).alias("rank"), F.xxhash64("text").alias("text_key"))
     dealt = split_segments(texts, width, bits, KEY_BYTES).select(

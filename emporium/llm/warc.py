@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, materialize, rank_id, scratch_path, text_bytes, to_batch
+from .common import LAST_ID, drop_table, materialize, rank_id, scratch_path, text_bytes, to_batch
 
 SALTS = 32  # parts of a group of equal payloads
 PIECE = 1 << 20  # bytes of a record that are held at a time
@@ -261,8 +261,9 @@ def write_archives(pages: DataFrame, folder: str, segment_bytes: int = 16 << 10,
             yield done()
 
     rows = with_first(landed, least_bytes).select("page_id", "url", "html", "digest", "record_id", "first_id")
-    return materialize(rows.mapInArrow(run, schema), "warc-manifest").withColumn(
-        "archive", F.concat(F.lit(folder.rstrip("/") + "/"), "archive"))
+    manifest = materialize(rows.mapInArrow(run, schema), "warc-manifest")
+    drop_table(landed)
+    return manifest.withColumn("archive", F.concat(F.lit(folder.rstrip("/") + "/"), "archive"))
 
 
 # --- reading --------------------------------------------------------------------

@@ -128,12 +128,58 @@ def test_a_passage_shared_by_many_documents_is_split(spark, monkeypatch):
         return kept.groupBy("key").agg({"size": "sum", "data": "min"}).selectExpr("max(`sum(size)`)").first()[0]
 
     assert largest(1 << 40) > 60_000 and largest(8_000) <= 8_000
+    assert S.repeated_runs(df, 400, 16).count() < 2 * len(rows)
     monkeypatch.setattr(S, "KEY_BYTES", 8_000)
     assert rows_of(S.remove_repeated_bytes(df, bits=16)) == brute(rows, 400)
     monkeypatch.setattr(S, "KEY_BYTES", 0)  # all keys, down to whole windows
     assert rows_of(S.remove_repeated_bytes(df, bits=16)) == brute(rows, 400)
 
 
+@pytest.mark.parametrize("case", ["footer", "near copies"])
+def test_rows_a_document_stay_level_when_keys_are_split(spark, case, monkeypatch):
+    """Four times the documents, far above the size at which a key is split."""
+    monkeypatch.setattr(S, "KEY_BYTES", 60_000)
+    rng = random.Random(21)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(900)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    base = text(170)
+
+    def document() -> str:
+        if case == "footer":
+            return text(60) + base
+        near = base.split()
+        for _ in range(3):
+            near[rng.randrange(len(near))] = rng.choice(words)
+        return " ".join(near)
+
+    rate = []
+    for n in (250, 1_000):
+        rows = [(i, document()) for i in range(n)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        rate.append(S.repeated_runs(df, 400, 20).count() / n)
+        if n == 250:
+            assert rows_of(S.remove_repeated_bytes(df, bits=20)) == brute(rows, 400)
+    assert rate[1] <= 1.5 * rate[0] and rate[1] < 8, rate
+
+
+def test_trimming_keeps_all_windows_that_repeat(spark):
+    rng = random.Random(8)
+    shared = bytes(rng.choice(b"abcdef ") for _ in range(700))
+    data = [bytes(rng.choice(b"abcdef ") for _ in range(300)) + bytes([200 + i]) + shared + b"z" * (i % 3) for i in range(20)]
+    rows = [(7, len(d), d, S.squeeze(np.array([i]), np.array([5]), np.array([10]))) for i, d in enumerate(data)]
+    got = S.trimmed_segments(spark.createDataFrame(rows, S.SEGMENT).repartition(2), 400, 20).collect()
+    places = {(int(r), int(at), g.data) for g in got for r, _, at in zip(*S.expand(g.places))}
+    assert {g.key for g in got} == {7} and len({g.data for g in got}) <= 3
+    for i, d in enumerate(data):
+        assert any(r == i and at == 311 and x.startswith(shared) for r, at, x in places)
+
+
+def test_touching_runs_are_joined():
+    runs = np.array([(1, 5, 0, 10), (2, 5, 3, 4), (1, 5, 10, 2), (1, 6, 12, 1), (1, 5, 0, 10), (1, 5, 13, 1)]).T
+    got = set(zip(*(c.tolist() for c in S.joined_runs(*runs))))
+    assert got == {(1, 5, 0, 12), (1, 5, 13, 1), (1, 6, 12, 1), (2, 5, 3, 4)}
+
+
 def test_a_sort_takes_no_more_than_its_bytes(spark, documents, monkeypatch, tmpdir_path):
     """One shard far above the bound is sorted in parts that end with a key."""
     monkeypatch.setattr(S, "SORT_BYTES", 20_000)
