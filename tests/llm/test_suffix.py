@@ -167,7 +167,7 @@ def test_trimming_keeps_all_windows_that_repeat(spark):
     shared = bytes(rng.choice(b"abcdef ") for _ in range(700))
     data = [bytes(rng.choice(b"abcdef ") for _ in range(300)) + bytes([200 + i]) + shared + b"z" * (i % 3) for i in range(20)]
     rows = [(7, len(d), d, S.squeeze(np.array([i]), np.array([5]), np.array([10]))) for i, d in enumerate(data)]
-    got = S.trimmed_segments(spark.createDataFrame(rows, S.SEGMENT).repartition(2), 400, 20).collect()
+    got = S.trimmed_segments(spark.createDataFrame(rows, S.SEGMENT).repartition(2), 400, 25).collect()
     places = {(int(r), int(at), g.data) for g in got for r, _, at in zip(*S.expand(g.places))}
     assert {g.key for g in got} == {7} and len({g.data for g in got}) <= 3
     for i, d in enumerate(data):
