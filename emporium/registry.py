@@ -20,9 +20,12 @@ from .plans import clean as C
 from .plans import measures as M
 from .plans import views as V
 from .plans.clean import CleanOptions
+from .plans.incremental import Changes, SellerMonthlyStore
 from .plans.warehouse import driver_warehouse
 from .schema import TABLES
+from .session import ensure_checkpoint_dir
 from .sources.driver_tables import marketplace_sources
+from .sources.snapshots import new_run
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,6 +54,21 @@ def q_seller_monthly(spark, sf_dir):
     return V.seller_monthly(w["fact_order_items"], w["dim_orders"], w["dim_reviews"])
 
 
+@register("v_seller_monthly_stored", O.seller_monthly())
+def q_seller_monthly_stored(spark, sf_dir):
+    """The view from a store that got the history first, then the orders of the last year, and the reviews last."""
+    w = driver_warehouse(spark, sf_dir)
+    fact, orders, reviews = w["fact_order_items"], w["dim_orders"], w["dim_reviews"]
+    last = orders.agg(F.add_months(F.max("order_purchase_timestamp").cast("date"), -12).alias("since"))
+    recent = orders.join(F.broadcast(last), F.col("order_purchase_timestamp") >= F.col("since")).select(*orders.columns)
+    ids = recent.select("order_id")
+    store = SellerMonthlyStore(spark, f"{ensure_checkpoint_dir(spark)}/seller-monthly-{new_run()}")
+    store.apply(Changes(fact.join(ids, "order_id", "left_anti"), orders.join(ids, "order_id", "left_anti")), batch_id="history")
+    store.apply(Changes(fact.join(ids, "order_id", "left_semi"), orders.join(ids, "order_id", "left_semi")), batch_id="recent")
+    store.apply(Changes(reviews=reviews), batch_id="reviews")
+    return store.view()
+
+
 @register("v_base_order_items", O.table("base_order_items"))
 def q_base_order_items(spark, sf_dir):
     w = driver_warehouse(spark, sf_dir)

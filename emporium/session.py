@@ -90,6 +90,47 @@ def location_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, sorted; none if it is not there."""
+    p, fs = _path(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    p, fs = _path(spark, folder)
+    fs.mkdirs(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: written beside its place, then renamed."""
+    p, fs = _path(spark, path)
+    beside, _ = _path(spark, f"{path.rsplit('/', 1)[0]}/.{path.rsplit('/', 1)[1]}.tmp")
+    out = fs.create(beside, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if not fs.rename(beside, p):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by the cluster.
 

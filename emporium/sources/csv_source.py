@@ -9,9 +9,10 @@ the other sources; ``require_all`` turns any failure into ``ExtractError``.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,25 +144,52 @@ def write_csv_sources(frames: dict[str, DataFrame], base_dir: str) -> dict[str,
     return out
 
 
+@dataclass(frozen=True)
+class Landed:
+    """A source as Parquet, with the rows and the fingerprint that the landing pass counted."""
+
+    path: str
+    rows: int
+    fingerprint: str
+
+
+def _fingerprint_metrics(df: DataFrame) -> list[Column]:
+    """Two sums of row hashes: equal for equal rows in any order (and equal ordinals, where there are some)."""
+    columns = [F.col(c) for c in df.columns]
+    return [F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("a"),
+            F.sum(F.xxhash64(F.lit(1), *columns[::-1]).cast("decimal(38,0)")).alias("b")]
+
+
+def land_frames(spark: SparkSession, frames: dict[str, DataFrame], landing_dir: str,
+                parallel: int = 4) -> dict[str, Landed]:
+    """Write every source to Parquet once, keeping the file-order ordinal where first-wins needs it.
+
+    This is the only scan of a source: its rows and fingerprint are counted on the way, in the stage that writes."""
+
+    def land(name: str) -> Landed:
+        df = frames[name]
+        if name in SOURCES and SOURCES[name].ordinal:
+            df = with_ingest_ordinal(df)
+        seen, path = Observation(), join_location(landing_dir, name)
+        df.observe(seen, *_fingerprint_metrics(df)).write.mode("overwrite").parquet(path)
+        found = seen.get
+        mark = f"{found.get('rows', 0)}:{found.get('a')}:{found.get('b')}:{df.schema.simpleString()}"
+        return Landed(path, found.get("rows", 0), mark)
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return dict(zip(frames, pool.map(land, frames)))
+
+
 def land_as_parquet(spark: SparkSession, paths: dict[str, str], landing_dir: str,
                     multiline: bool = True) -> dict[str, str]:
     """Convert each CSV source to Parquet once, keeping the file-order ordinal.
 
-    A ``multiLine`` CSV file is read by one task; landing it once makes every
-    later read splittable and columnar. Sources that need first-wins ordering
-    carry ``src_ord`` into the Parquet files, so the ordering survives.
+    Sources that need first-wins ordering carry ``src_ord`` into the Parquet files, so the ordering survives.
     Returns the Parquet path per source; raises ``ExtractError`` if any source
     cannot be read (nothing half-landed is reported as success).
     """
-    frames, errors = extract(spark, paths, multiline)
-    if errors:
-        raise ExtractError(errors)
-    out = {}
-    for name, df in frames.items():
-        path = join_location(landing_dir, name)
-        df.write.mode("overwrite").parquet(path)
-        out[name] = path
-    return out
+    frames, _ = extract(spark, paths, multiline, require_all=True)
+    return {name: landed.path for name, landed in land_frames(spark, frames, landing_dir).items()}
 
 
 def read_landed(spark: SparkSession, landed: dict[str, str]) -> dict[str, DataFrame]:
