@@ -36,7 +36,7 @@ def cmd_elt(spark, args) -> int:
                         legacy_nan=args.legacy_nan, legacy_zip=args.legacy_zip)
     res = run_elt(spark, source_dir=args.source_dir, db=args.db, export_dir=args.export_dir, opts=opts,
                   strict=args.strict, buckets=args.buckets, landing_dir=args.landing_dir,
-                  multiline=not args.single_line)
+                  multiline="blocks" if args.blocks else not args.single_line, force=args.force)
     if res.pre_load is not None:
         res.pre_load.orderBy("table_name", "check_name", "column_name").show(100, truncate=False)
     res.post_load.orderBy("table_name", "check_name", "column_name").show(100, truncate=False)
@@ -91,6 +91,8 @@ def main(argv=None) -> int:
     e.add_argument("--export-dir")
     e.add_argument("--landing-dir")
     e.add_argument("--single-line", action="store_true", help="no quoted newlines: files are read by many tasks")
+    e.add_argument("--blocks", action="store_true", help="quoted newlines, and files are read by many tasks")
+    e.add_argument("--force", action="store_true", help="load tables anew whose sources did not change")
     e.add_argument("--buckets", type=int)
     e.add_argument("--strict", action="store_true")
     e.add_argument("--enforce-chronology", action="store_true")

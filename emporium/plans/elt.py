@@ -119,12 +119,13 @@ def run_elt(spark: SparkSession, source_dir: str | None = None, db: str = "marke
                  sources: dict[str, DataFrame] | None = None, export_dir: str | None = None,
                  opts: CleanOptions = CleanOptions(), strict: bool = False,
                  buckets: int | None = None, pre_checks: bool = True,
-                 landing_dir: str | None = None, multiline: bool = True, force: bool = False) -> EltResult:
+                 landing_dir: str | None = None, multiline: bool | str = True, force: bool = False) -> EltResult:
     """Run the whole load. Give either ``source_dir`` (CSV files) or ready ``sources`` frames.
 
     Any source that fails to read halts the run before transforming (as the source pipeline does). Each
     source is scanned once: that pass lands it as Parquet (in ``landing_dir``, else in a scratch folder that is removed at the
-    end) and takes its row count and fingerprint. ``multiline=False`` reads CSV files without quoted newlines by many tasks. Each
+    end) and takes its row count and fingerprint. ``multiline=False`` reads CSV files without quoted newlines by many tasks,
+    ``"blocks"`` those with quoted newlines too. Each
     table is cleaned and staged in one pass, which also counts what the pre-load gates ask for; they
     are evaluated and logged before any table changes, the post-load gates and the row counts after. ``strict`` makes
     a failed gate raise, before the load with the old tables in place; by default failures are reported and the load continues. A

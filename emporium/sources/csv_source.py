@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..operators.dedup import INGEST_ORDINAL, with_ingest_ordinal
 from ..schema import SOURCE_SCHEMAS
 from ..session import join_location
+from .csv_blocks import csv_records, parsed
 
 log = logging.getLogger(__name__)
 
@@ -62,9 +63,13 @@ def source_paths(base_dir: str, specs: dict[str, SourceSpec] = SOURCES) -> dict[
     return {name: join_location(base_dir, s.filename) for name, s in specs.items()}
 
 
-def _read(spark: SparkSession, name: str, path: str, multiline: bool) -> DataFrame:
+# Value of ``multiline``: quoted newlines, read by many tasks.
+BLOCKS = "blocks"
+
+
+def _read(spark: SparkSession, name: str, path: str, multiline: bool | str) -> DataFrame:
     """All rows by header name, with the corrupt-record column; an unknown or missing column is an error."""
-    options = {"header": True, "multiLine": multiline, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    options = {"header": True, "multiLine": multiline is True, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
     header = spark.read.options(**options).csv(path).columns
     wanted = SOURCE_SCHEMAS[name].fieldNames()
     unknown, missing = sorted(set(header) - set(wanted)), sorted(set(wanted) - set(header))
@@ -72,6 +77,13 @@ def _read(spark: SparkSession, name: str, path: str, multiline: bool) -> DataFra
         raise ValueError(f"columns of {name}: missing {missing}, unknown {unknown}")
     # enforceSchema off: every file's own header must agree with the names and order found.
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+    if multiline == BLOCKS:
+        told = {"multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        rows = parsed(csv_records(spark, path, header), schema, told)
+        if name in SOURCES and SOURCES[name].ordinal:
+            rows = rows.withColumn(INGEST_ORDINAL, F.struct("file", F.lit(0).cast("long").alias("block"),
+                                                            F.col("number").alias("row")))
+        return rows.drop("file", "number")
     return (spark.read.schema(schema).options(**options, enforceSchema=False, columnNameOfCorruptRecord=CORRUPT)
             .csv(path))
 
@@ -82,14 +94,13 @@ def _sound(field: str) -> Column:
     return F.concat_ws("", F.col(CORRUPT), F.substring(field, 1, 0)) == ""
 
 
-def read_csv_source(spark: SparkSession, name: str, path: str, multiline: bool = True) -> DataFrame:
+def read_csv_source(spark: SparkSession, name: str, path: str, multiline: bool | str = True) -> DataFrame:
     """One source file (or folder of part files) with header, quotes and embedded newlines.
 
     Columns are bound by header name. Rows with too many or too few fields are left out
     (``corrupt_rows`` lists them). Text that stands for a missing value becomes null.
-    ``multiline`` keeps quoted newlines inside a field; it makes each file one
-    task, so very large sources are better landed to Parquet once (keeping the
-    ordinal) and read from there.
+    ``multiline`` keeps quoted newlines inside a field; ``True`` makes each file one
+    task, ``"blocks"`` reads a file by many (``csv_blocks``; two passes over its lines).
     """
     df = _read(spark, name, path, multiline)
     spec = SOURCES.get(name)
@@ -101,13 +112,13 @@ def read_csv_source(spark: SparkSession, name: str, path: str, multiline: bool =
     return df.where(_sound(df.columns[0])).select(*[v.alias(c) for c, v in value.items()], *rest)
 
 
-def corrupt_rows(spark: SparkSession, name: str, path: str, multiline: bool = True) -> DataFrame:
+def corrupt_rows(spark: SparkSession, name: str, path: str, multiline: bool | str = True) -> DataFrame:
     """``(source, record)``: the raw text of every row that has not the header's number of fields."""
     df = _read(spark, name, path, multiline)
     return df.where(~_sound(df.columns[0])).select(F.lit(name).alias("source"), F.col(CORRUPT).alias("record"))
 
 
-def extract(spark: SparkSession, paths: dict[str, str], multiline: bool = True,
+def extract(spark: SparkSession, paths: dict[str, str], multiline: bool | str = True,
             require_all: bool = False) -> tuple[dict[str, DataFrame | None], dict[str, str]]:
     """Read every source; a failed one maps to ``None`` and its error is returned.
 
@@ -181,7 +192,7 @@ def land_frames(spark: SparkSession, frames: dict[str, DataFrame], landing_dir:
 
 
 def land_as_parquet(spark: SparkSession, paths: dict[str, str], landing_dir: str,
-                    multiline: bool = True) -> dict[str, str]:
+                    multiline: bool | str = True) -> dict[str, str]:
     """Convert each CSV source to Parquet once, keeping the file-order ordinal.
 
     Sources that need first-wins ordering carry ``src_ord`` into the Parquet files, so the ordering survives.
