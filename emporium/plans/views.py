@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..functions import temporal as TM
+from ..operators.skewjoin import skew_join
 
 BASE_COLUMNS = ["order_id", "product_id", "seller_id", "order_item_id", "price", "freight_value",
                 "gmv_item", "order_status", "order_purchase_timestamp", "order_approved_at",
@@ -32,14 +33,17 @@ BASE_COLUMNS = ["order_id", "product_id", "seller_id", "order_item_id", "price",
                 "product_category_name"]
 
 
-def base_order_items(fact: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+def base_order_items(fact: DataFrame, orders: DataFrame, products: DataFrame, hot_keys: bool = False) -> DataFrame:
+    """The item-grain view. A hot order or product is left to AQE; ``hot_keys`` looks for such keys first
+    (``operators.skewjoin``) and joins their items without a shuffle."""
     o = orders.select("order_id", "order_status", "order_purchase_timestamp", "order_approved_at",
                       "order_delivered_customer_date", "order_estimated_delivery_date")
     p = products.select("product_id", "product_category_name")
-    return (fact.join(o, "order_id", "inner")
-            .join(p, "product_id", "left")
-            .withColumn("gmv_item", F.col("price") + F.col("freight_value"))
-            .select(*BASE_COLUMNS))
+    if hot_keys:
+        items = skew_join(skew_join(fact, p, "product_id", "left"), o, "order_id")
+    else:
+        items = fact.join(o, "order_id", "inner").join(p, "product_id", "left")
+    return items.withColumn("gmv_item", F.col("price") + F.col("freight_value")).select(*BASE_COLUMNS)
 
 
 def items_per_order_seller(fact: DataFrame) -> DataFrame:

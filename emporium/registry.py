@@ -75,6 +75,12 @@ def q_base_order_items(spark, sf_dir):
     return V.base_order_items(w["fact_order_items"], w["dim_orders"], w["dim_products"])
 
 
+@register("v_base_order_items_hot", O.table("base_order_items"))
+def q_base_order_items_hot(spark, sf_dir):
+    w = driver_warehouse(spark, sf_dir)
+    return V.base_order_items(w["fact_order_items"], w["dim_orders"], w["dim_products"], hot_keys=True)
+
+
 # --- cleaned tables (E1-E8) and option branches --------------------------------
 for _t in TABLES:
     register(_t, O.table(_t))(_table_query(_t))
