@@ -2,7 +2,7 @@
 
 Longest matches come from one Aho-Corasick automaton over the pieces. The encoder walks the text
 left to right, keeps a token only if it is compatible with the one before it (re-merging the
-two strings gives the same two tokens), tries the next shorter prefix otherwise, and steps
+two strings, here by taking their merges back, gives the same two tokens), tries the next shorter prefix otherwise, and steps
 back when none is left; a bit field holds the positions from which no encoding goes on. A
 segment that no piece can cross is encoded on its own, and the ids of segments are kept in a
 bounded table.
@@ -32,7 +32,7 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 class PieceCodec:
     """Encoder and decoder of one piece model."""
 
-    def __init__(self, path: str, keep_segments: int = 250_000, keep_pairs: int = 1_000_000):
+    def __init__(self, path: str, keep_segments: int = 150_000, keep_pairs: int = 2_000_000):
         import ahocorasick
         from sentencepiece import SentencePieceProcessor
 
@@ -56,15 +56,32 @@ class PieceCodec:
                 self.output[i] = b""
         self.output[self.unknown] = " ⁇ ".encode()
 
-        # Pieces that merging can reach from their own characters.
-        tokens = [p for p in self.score if len(p) == 1 or self.merge(p) == [p]]
+        # Pieces that merging can reach from their own characters; a token is its piece's id.
+        kept = {p: parts for p in self.score for parts in [self.merge(p)] if parts[-1] == p}
         self.automaton = ahocorasick.Automaton()
-        for p in tokens:
-            self.automaton.add_word(p, p)
+        for p in kept:
+            self.automaton.add_word(p, self.id_of[p])
         self.automaton.make_automaton()
-        known = set(tokens)
-        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if k == 1 or p[:k] in known), None)
-                        for p in tokens}
+        self.length = [len(p) for p in names] + [1]  # the last is NO_PIECE, any character without a piece
+        self.none = n
+        if n >= 1 << 15:
+            raise ValueError("pairs of tokens are packed into 30 bits")
+        self.shorter = [-1] * (n + 1)  # the next shorter token that begins alike
+        for p in kept:
+            self.shorter[self.id_of[p]] = next((self.id_of[p[:k]] if p[:k] in kept else n
+                                                for k in range(len(p) - 1, 0, -1) if k == 1 or p[:k] in kept), -1)
+        # The two parts of the last merge of each token, and the order of merges.
+        self.parts = [(-1, -1)] * (n + 1)
+        for p, parts in kept.items():
+            if len(p) > 1:
+                self.parts[self.id_of[p]] = (self.id_of[parts[0]], self.id_of[parts[1]])
+        order = sorted((p for p in self.score if len(p) > 1), key=lambda p: -self.score[p])
+        self.rank = [-1] * (n + 1)  # single characters are there from the start
+        for i, p in enumerate(order):
+            self.rank[self.id_of[p]] = i if i == 0 or self.score[order[i - 1]] != self.score[p] else (
+                self.rank[self.id_of[order[i - 1]]])
+        self.names = [*names, ""]
+        self.digits = [str(i) for i in range(n)]
 
         letters = {c for p in self.score for c in p}
         apart = "".join(c for c in "\n\t\r" if c not in letters)
@@ -73,12 +90,16 @@ class PieceCodec:
                          re.compile(f"{SPACE}*[^{SPACE}{apart}]+|{SPACE}+|[{apart}]" if apart
                                     else f"{SPACE}*[^{SPACE}]+|{SPACE}+"))
         self.keep_segments, self.keep_pairs = keep_segments, keep_pairs
+        # Two generations: what is asked for again outlives the older one.
         self.known_segments: dict[str, tuple[str, tuple[int, ...]]] = {}
-        self.known_pairs: dict[tuple[str, str], bool] = {}
+        self.old_segments: dict[str, tuple[str, tuple[int, ...]]] = {}
+        self.known_pairs: dict[int, bool] = {}
 
     def merge(self, text: str) -> list[str]:
-        """The tokens of a short string by merging best pairs first, the leftmost of equal ones."""
+        """A short string by merging best pairs first, the leftmost of equal ones: the parts of its last
+        merge and the whole, if it merges to one piece; else the pieces that are left."""
         parts, score = list(text), self.score
+        last: list[str] = []
         while len(parts) > 1:
             best, at = None, -1
             for i in range(len(parts) - 1):
@@ -86,72 +107,104 @@ class PieceCodec:
                 if s is not None and (best is None or s > best):
                     best, at = s, i
             if best is None:
-                break
+                return parts
+            last = parts[at:at + 2]
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def compatible(self, left: str, right: str) -> bool:
-        pair = (left, right)
-        found = self.known_pairs.get(pair)
-        if found is None:
-            if len(self.known_pairs) >= self.keep_pairs:
-                self.known_pairs.clear()
-            found = self.known_pairs[pair] = self.merge(left + right) == [left, right]
-        return found
-
-    def tokens(self, segment: str) -> list[str]:
-        longest = list(segment)  # a character without a piece stands for itself
-        for end, piece in self.automaton.iter(segment):
-            longest[end - len(piece) + 1] = piece  # longer ones end later
-        n, shorter, pairs = len(segment), self.shorter, self.known_pairs
-        failed = bytearray(n // 8 + 1)
-        out: list[str] = []
-        at, token = 0, longest[0]
+        return [*last, *parts]
+
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether merging the two tokens' characters side by side gives the two tokens again.
+
+        The merges are taken back from the last one on. While two parts lie side by side at the border, a piece of
+        both would have been merged if it comes before the merge that took one of them away."""
+        if left == self.none or right == self.none:
+            return True
+        names, rank, parts, piece = self.names, self.rank, self.parts, self.id_of
+        limit = len(names)
+        while True:
+            both = piece.get(names[left] + names[right])
+            if both is not None and rank[both] < limit:
+                return False
+            if rank[left] > rank[right]:
+                limit, left = rank[left], parts[left][1]  # the left part's own merge goes first among equals
+            elif rank[right] >= 0:
+                limit, right = rank[right] + 1, parts[right][0]
+            else:
+                return True
+
+    def tokens(self, segment: str) -> list[int]:
+        n, length, shorter, pairs = len(segment), self.length, self.shorter, self.known_pairs
+        longest = [self.none] * n  # a character without a piece stands for itself
+        for end, token in self.automaton.iter(segment):
+            longest[end - length[token] + 1] = token  # longer ones end later
+        if length[longest[0]] == n:
+            return longest[:1]
+        failed = None  # bit field of the positions from which no encoding goes on
+        out: list[int] = []
+        at, token, last = 0, longest[0], -1
         while at < n:
-            last = out[-1] if out else None
-            while token is not None:
-                end = at + len(token)
-                if not failed[end >> 3] >> (end & 7) & 1 and (
-                        last is None or pairs.get((last, token)) or self.compatible(last, token)):
-                    out.append(token)
-                    at = end
-                    token = longest[at] if at < n else None
-                    break
-                token = shorter.get(token)
+            while token >= 0:
+                end = at + length[token]
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    if last < 0:
+                        break
+                    pair = last << 15 | token
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        if len(pairs) >= self.keep_pairs:
+                            pairs.clear()
+                        fits = pairs[pair] = self.compatible(last, token)
+                    if fits:
+                        break
+                token = shorter[token]
             else:
+                if failed is None:
+                    failed = bytearray(n // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 if not out:
                     raise ValueError("no encoding found")
                 token = out.pop()
-                at -= len(token)
-                token = shorter.get(token)
+                at -= length[token]
+                last = out[-1] if out else -1
+                token = shorter[token]
+                continue
+            out.append(token)
+            at, last = end, token
+            token = longest[at] if at < n else -1
         return out
 
     def ids(self, segment: str) -> tuple[int, ...]:
-        found: list[int] = []
-        for t in self.tokens(segment):
-            i = self.id_of.get(t)
-            if i is not None:
-                found.append(i)
+        found = self.tokens(segment)
+        if self.none not in found:
+            return tuple(found)
+        out: list[int] = []
+        at = 0
+        for t in found:
+            if t != self.none:
+                out.append(t)
             elif self.byte_id:
-                found.extend(self.byte_id[b] for b in t.encode())
+                out.extend(self.byte_id[b] for b in segment[at].encode())
             else:
-                found.append(self.unknown)
-        return tuple(found)
+                out.append(self.unknown)
+            at += self.length[t]
+        return tuple(out)
 
     def segment_ids(self, text: str) -> list[tuple[str, tuple[int, ...]]]:
         """Per segment its ids, also as decimal text."""
         if not text:
             return []
-        known, out = self.known_segments, []
+        known, old, digits, out = self.known_segments, self.old_segments, self.digits, []
         for s in self.segments.findall(SPACE + text.replace(" ", SPACE)):
             entry = known.get(s)
             if entry is None:
-                ids = self.ids(s)
-                entry = (",".join(map(str, ids)), ids)
+                entry = old.get(s)
+                if entry is None:
+                    ids = self.ids(s)
+                    entry = (",".join([digits[i] for i in ids]), ids)
                 if len(s) < 200:
                     if len(known) >= self.keep_segments:
-                        known.clear()
+                        old = self.old_segments = known
+                        known = self.known_segments = {}
                     known[s] = entry
             out.append(entry)
         return out

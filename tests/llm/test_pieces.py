@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -34,11 +35,29 @@ def test_any_ids_decode_like_the_library(ids):
         assert P.codec(PATH).decode(ids) == LIBRARY.decode(ids)
 
 
-@pytest.mark.parametrize("text", ["a" * 50_000, " " * 3_000 + "x", "ab" * 20_000, "▁" * 100, "\n" * 1000])
+@pytest.mark.parametrize("text", ["a" * 50_000, "aéxq" * 60_000, "ab" * 400_000, " " * 3_000 + "x", "ab" * 20_000, "▁" * 100, "\n" * 1000])
 def test_long_segments(text):
     assert P.codec(PATH).encode(text) == LIBRARY.encode(text)
 
 
+def test_compatible_pairs_are_those_that_merge_to_themselves():
+    c = P.codec(PATH)
+    rng = random.Random(5)
+    tokens = [c.id_of[p] for p in c.score if c.merge(p)[-1] == p]
+    common = [t for t in tokens if c.rank[t] < 2_000]
+    for k in range(40_000):
+        a, b = rng.choice(tokens if k % 2 else common), rng.choice(common)
+        x, y = c.names[a], c.names[b]
+        parts, best = list(x + y), 0
+        while best is not None:  # the plain rule: best score first, leftmost of equal ones
+            found = [(c.score[p + q], -i) for i, (p, q) in enumerate(zip(parts, parts[1:])) if p + q in c.score]
+            best = max(found, default=None)
+            if best is not None:
+                i = -best[1]
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        assert c.compatible(a, b) == (parts == [x, y]), (x, y)
+
+
 def test_small_tables_do_not_change_ids(library):
     c = P.PieceCodec(PATH, keep_segments=2, keep_pairs=2)
     text = "the quick brown fox and the quick brown dog " * 3
