@@ -396,6 +396,24 @@ def _reviews_branch(t: Tables, o: DataFrame, by_o: list[str], own: list[str]) ->
             .agg(F.sum("n").alias("reviews"), F.sum("v").alias("_score"), F.sum("c").alias("_scored")))
 
 
+# The parts that measures are made of, by the table they come from.
+ORDER_VALUES = ["total_orders", "active_customers", "_on_time", "_delivered"]
+PART_VALUES = {"items": ["gmv", "items", "active_sellers"], "payments": ["payments", "payment_total", "_valued"],
+               "reviews": ["reviews", "_score", "_scored"]}
+SLICE_FIELDS = {"items": PRODUCT_ATTRS + SELLER_ATTRS, "payments": PAYMENT_ATTRS, "reviews": REVIEW_ATTRS}
+
+
+def _parts_of(measures: Sequence[str], by: Sequence[str]) -> tuple[dict[str, list[str]], list[str], list[str], list[str]]:
+    """``(fields of by of each table, the table that is sliced, order fields, tables needed)``."""
+    asked = {"items": FACT_MEASURES + DERIVED, "payments": PAYMENT_MEASURES, "reviews": REVIEW_MEASURES}
+    own = {k: [b for b in by if b in f] for k, f in SLICE_FIELDS.items()}
+    sliced = [k for k, f in own.items() if f]
+    if len(sliced) > 1:
+        raise ValueError(f"slices of {sliced} can't be mixed: no key leads from one to the other")
+    by_o = [b for b in by if not any(b in f for f in SLICE_FIELDS.values())]
+    return own, sliced, by_o, [k for k in SLICE_FIELDS if k in sliced or set(measures) & set(asked[k])]
+
+
 def measure_frame(t: Tables, measures: Sequence[str] = MEASURES, by: Sequence[str] = (),
                   where: str | Column | None = None, item_where: str | Column | None = None) -> DataFrame:
     """Evaluate ``measures`` grouped by ``by`` under the filters.
@@ -410,24 +428,14 @@ def measure_frame(t: Tables, measures: Sequence[str] = MEASURES, by: Sequence[st
     unknown = set(measures) - set(ALL_MEASURES)
     if unknown:
         raise ValueError(f"unknown measures {sorted(unknown)}")
-    fields = {"items": PRODUCT_ATTRS + SELLER_ATTRS, "payments": PAYMENT_ATTRS, "reviews": REVIEW_ATTRS}
-    values = {"items": ["gmv", "items", "active_sellers"], "payments": ["payments", "payment_total", "_valued"],
-              "reviews": ["reviews", "_score", "_scored"]}
-    asked = {"items": FACT_MEASURES + DERIVED, "payments": PAYMENT_MEASURES, "reviews": REVIEW_MEASURES}
     by = list(by)
-    own = {k: [b for b in by if b in f] for k, f in fields.items()}
-    sliced = [k for k, f in own.items() if f]
-    if len(sliced) > 1:
-        raise ValueError(f"slices of {sliced} can't be mixed: no key leads from one to the other")
-    by_o = [b for b in by if not any(b in f for f in fields.values())]
-    needed = [k for k in fields if k in sliced or set(measures) & set(asked[k])]
+    own, sliced, by_o, needed = _parts_of(measures, by)
     o = order_attributes(t)
     if where is not None:
         o = o.where(where)
     d, e = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
-    order_vals = ["total_orders", "active_customers", "_on_time", "_delivered"]
     frames = [o.groupBy(*by_o).agg(
-        F.count_distinct("order_id").alias("total_orders"),
+        F.count("order_id").alias("total_orders"),  # order_attributes has one row an order
         F.count_distinct("customer_id").alias("active_customers"),
         F.count_if(d.isNotNull() & e.isNotNull() & (d <= e)).alias("_on_time"),
         F.count_if(d.isNotNull()).alias("_delivered"))]
@@ -440,7 +448,14 @@ def measure_frame(t: Tables, measures: Sequence[str] = MEASURES, by: Sequence[st
             split = frame
         else:
             frames.append(frame)
-    whole_vals = order_vals + [v for k in needed if k not in sliced for v in values[k]]
+    return _answer(frames, split, measures, by, by_o, needed, sliced)
+
+
+def _answer(frames: Sequence[DataFrame], split: DataFrame | None, measures: Sequence[str], by: Sequence[str],
+            by_o: Sequence[str], needed: Sequence[str], sliced: Sequence[str]) -> DataFrame:
+    """The measures from their parts: ``frames`` by the order fields, ``split`` by the sliced table's fields too."""
+    values = PART_VALUES
+    whole_vals = ORDER_VALUES + [v for k in needed if k not in sliced for v in values[k]]
     whole = _combine(frames, by_o, whole_vals) if by_o else _combine_global(frames, whole_vals)
     if split is None:
         out = whole

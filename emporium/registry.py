@@ -20,6 +20,7 @@ from .plans import clean as C
 from .plans import measures as M
 from .plans import views as V
 from .plans.clean import CleanOptions
+from .plans.cube import MeasureCube
 from .plans.incremental import Changes, SellerMonthlyStore
 from .plans.warehouse import driver_warehouse
 from .schema import TABLES
@@ -385,6 +386,14 @@ def q_measures_by_state_status(spark, sf_dir):
     return M.measure_frame(driver_warehouse(spark, sf_dir), by=["customer_state", "order_status"])
 
 
+@register("cube_by_state_status", ORACLE["measures_by_state_status"])
+def q_cube_by_state_status(spark, sf_dir):
+    """A slice by two of the five fields of a stored cube."""
+    cube = MeasureCube.build(driver_warehouse(spark, sf_dir), f"{ensure_checkpoint_dir(spark)}/cube-{new_run()}",
+                             ["customer_state", "order_status", "purchase_year", "purchase_month", "delay_bucket"])
+    return cube.frame(by=["customer_state", "order_status"])
+
+
 register("customer_locations", O.with_ctes("""
 SELECT c.customer_id, c.customer_zip_code_prefix, c.customer_city, c.customer_state, z.lat, z.lng, z.geolocation_rows
 FROM dim_customers c LEFT JOIN (
