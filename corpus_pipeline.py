@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from emporium.llm import common, exact_dedup, packing, quality, queries, simhash, suffix
 
 
+# A passage of over 50 words is to go; the shortest of them have under 300 bytes (the query op10 has a width of its own).
+PASSAGE_BYTES = 256
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, common.read_table(spark, sf_dir, "labels"))
 
@@ -23,7 +27,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix.cut_repeated_bytes(docs)
+    return suffix.cut_repeated_bytes(docs, PASSAGE_BYTES)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-import zlib
+from collections import Counter
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -38,11 +38,11 @@ def test_stages_and_run_equal_brute_force(spark):
 
     texts = [t.encode() for _, t in rows[3]]
     cut = {}
-    for (i, _), text, starts in zip(rows[3], texts, marks(texts, 400)):
+    for (i, _), text, starts in zip(rows[3], texts, marks(texts, C.PASSAGE_BYTES)):
         gone = [False] * len(text)
         for k, s in enumerate(starts):
             if s:
-                gone[k:k + 400] = [True] * 400
+                gone[k:k + C.PASSAGE_BYTES] = [True] * C.PASSAGE_BYTES
         at, out = 0, []
         for c in text.decode():  # a character goes only if all its bytes do
             n = len(c.encode())
@@ -51,6 +51,16 @@ def test_stages_and_run_equal_brute_force(spark):
         cut[i] = "".join(out)
     assert dict(rows[4]) == cut
 
+    # Of the passages of over 50 words that documents share, next to none is left.
+    def windows(text):
+        words = text.split()
+        return {tuple(words[k:k + 51]) for k in range(len(words) - 50)}
+
+    def shared(table):
+        return {w for w, n in Counter(w for _, x in table for w in windows(x)).items() if n > 1}
+
+    assert len(shared(rows[4])) < 0.05 * len(shared(rows[3])) + 1
+
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     expected = [(i, t.encode(x, add_special_tokens=False).ids + [1]) for i, x in rows[4]]
     check_pieces(tables[5].collect(), expected, 2048)
@@ -64,4 +74,4 @@ def test_registered_queries():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
