@@ -8,6 +8,7 @@ grain, independently of the Spark plans).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from .plans.incremental import Changes, SellerMonthlyStore
 from .plans.warehouse import driver_warehouse
 from .schema import TABLES
 from .session import ensure_checkpoint_dir
+from .sources import csv_source as CS
+from .sources import warehouse as WH
 from .sources.driver_tables import marketplace_sources
 from .sources.snapshots import new_run
 
@@ -55,6 +58,27 @@ def q_seller_monthly(spark, sf_dir):
     return V.seller_monthly(w["fact_order_items"], w["dim_orders"], w["dim_reviews"])
 
 
+# --- load and CSV (S1, S8-S10) ------------------------------------------------------
+@register("load_rejects", O.with_ctes("""
+SELECT 'dim_payments' AS table_name, 'payment_value' AS columns, order_id, payment_value
+FROM raw_order_payments WHERE TRY_CAST(payment_value AS DOUBLE) IS NULL AND payment_value IS NOT NULL
+  AND payment_type IS DISTINCT FROM 'not_defined'"""))
+def q_load_rejects(spark, sf_dir):
+    """The rows that a load of all tables sets aside, with the columns that did not convert."""
+    tables = driver_warehouse(spark, sf_dir, CleanOptions(keep_rejects=True))
+    bad = [WH.split_rejects(df, TABLES[t])[1] for t, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), bad).select(
+        "table_name", "columns", *[F.get_json_object("_raw", f"$.{c}").alias(c) for c in ("order_id", "payment_value")])
+
+
+@register("csv_blocks_reviews", O.table("dim_reviews"))
+def q_csv_blocks_reviews(spark, sf_dir):
+    """The reviews written as CSV (texts with commas, quotes and newlines), read back block by block, and cleaned."""
+    reviews = marketplace_sources(spark, sf_dir)["order_reviews"]
+    path = CS.write_csv_sources({"order_reviews": reviews}, f"{ensure_checkpoint_dir(spark)}/csv-{new_run()}")
+    return C.clean_reviews(CS.read_csv_source(spark, "order_reviews", path["order_reviews"], CS.BLOCKS))
+
+
 @register("v_seller_monthly_stored", O.seller_monthly())
 def q_seller_monthly_stored(spark, sf_dir):
     """The view from a store that got the history first, then the orders of the last year, and the reviews last."""
