@@ -75,7 +75,7 @@ def parsed(messages: DataFrame) -> DataFrame:
     rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                            F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"),
                            F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # Of rows that are equal in all columns one stays; texts are told apart by 128 bits.
+    # Of rows that are equal in all columns one stays; texts are told apart by two hashes of 64 and 32 bits.
     once = (rows.withColumns({"mid": F.xxhash64("role", "text"), "_other": F.crc32(F.encode("text", "UTF-8"))})
             .dropDuplicates(["conv_id", "turn", "role", "mid", "_other"]).drop("_other"))
     schema = rows.sparkSession.createDataFrame([], PARSED).schema
