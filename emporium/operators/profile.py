@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .dedup import duplicate_rows, repeated_value_count
 from .quality import column_null_counts
-from .quantiles import exact_quantiles, value_counts_long
+from .selection import narrowed_quantiles, stacked_values
 
 
 def value_counts(df: DataFrame, col: str, ordered: bool = True) -> DataFrame:
@@ -63,10 +63,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
              approx_accuracy: int | None = None) -> DataFrame:
     """count, mean, std (ddof 1), min, 25%, 50%, 75%, max per numeric column.
 
-    The input is read once, into counts of distinct values; moments and exact quartiles (linear
-    interpolation, by the distributed ranking in ``quantiles``) come from those. ``approx_accuracy``
-    switches the quartiles to ``approx_percentile`` sketches (one pass, bounded
-    state; nearest-rank values, not interpolated) for very large inputs.
+    Moments are one aggregate; exact quartiles (linear interpolation) come from ``selection``, so nothing that
+    is shuffled grows with the values. ``approx_accuracy`` switches the quartiles to ``approx_percentile`` sketches (one
+    pass for all; nearest-rank values, not interpolated).
     """
     cols = list(cols or numeric_columns(df))
     out = ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
@@ -81,18 +80,14 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
         agg = stacked.groupBy("column_name").agg(*moments, qs)
         return agg.select("column_name", "count", "mean", "std", "min", F.col("q")[0].alias("p25"),
                           F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
-    vc = value_counts_long(df, cols)
-    q = (exact_quantiles(df, cols, [0.25, 0.5, 0.75], counts=vc)
+    q = (narrowed_quantiles(df, cols, [0.25, 0.5, 0.75])
          .groupBy("column_name").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("value")))
     q = q.toDF("column_name", "p25", "p50", "p75")
-    basic = vc.groupBy("column_name").agg(
-        F.sum("c").alias("count"), (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"),
-        F.min("v").alias("min"), F.max("v").alias("max"))  # one row per column
-    away = F.col("v") - F.col("mean")
-    spread = (vc.join(F.broadcast(basic.select("column_name", "mean")), "column_name").groupBy("column_name")
-              .agg(F.sum(F.col("c") * away * away).alias("squares")))
-    std = F.sqrt(F.col("squares") / F.when(F.col("count") > 1, F.col("count") - 1))
-    moments = basic.join(spread, "column_name").withColumn("std", std)
+    names = F.array(*[F.lit(c) for c in cols])
+    moments = (stacked_values(df, cols).groupBy("column")
+               .agg(F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+                    F.min("v").alias("min"), F.max("v").alias("max"))
+               .withColumn("column_name", names[F.col("column")]))
     return (q.join(moments, "column_name", "left")
             .withColumn("count", F.coalesce("count", F.lit(0)).cast("long")).select(*out))
 

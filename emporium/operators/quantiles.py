@@ -15,6 +15,8 @@ the ranking is distributed instead:
    partition its global offset;
 4. the rows whose rank interval contains a wanted position are picked by a join
    against the per-column target table (one row per requested probability).
+
+All this shuffles the distinct values; ``medians`` needs one rank or two and takes them from ``selection``.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .selection import narrowed_quantiles
 
 
 def _value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -96,7 +99,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per column: ``(column_name, median)``."""
-    return (exact_quantiles(df, cols, [0.5])
+    return (narrowed_quantiles(df, cols, [0.5])
             .select("column_name", F.col("value").alias("median")))
 
 
