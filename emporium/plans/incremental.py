@@ -70,8 +70,13 @@ def contributions(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> Da
     return j.select("month", "seller_id", *[F.coalesce(c, F.lit(0)).cast(SUMS[x]).alias(x) for x, c in made.items()])
 
 
-class SellerMonthlyStore:
-    """The stored view. ``parts`` (folders by order) is fixed when the store is made."""
+class PartialStore:
+    """Partials by key, in folders by hash of the key, and the file that names the batches. ``parts`` (folders) is fixed
+    when the store is made."""
+
+    # table -> (keys, other columns with their types); types of keys that are no text.
+    tables: dict[str, tuple[list[str], dict[str, str]]] = {}
+    kinds: dict[str, str] = {"month": "timestamp_ntz"}
 
     def __init__(self, spark: SparkSession, path: str, parts: int = 16):
         self.spark, self.path = spark, path
@@ -84,9 +89,8 @@ class SellerMonthlyStore:
         write_text(self.spark, join_location(self.path, f"state-{run}.json"), json.dumps(self.state))
 
     def _schema(self, table: str) -> str:
-        keys, sums = PARTIALS[table]
-        kinds = {"month": "timestamp_ntz"}
-        return ", ".join(f"{c} {t}" for c, t in {**{k: kinds.get(k, "string") for k in keys}, **sums}.items())
+        keys, sums = self.tables[table]
+        return ", ".join(f"{c} {t}" for c, t in {**{k: self.kinds.get(k, "string") for k in keys}, **sums}.items())
 
     def _part(self, key: str):
         return F.pmod(F.xxhash64(key), F.lit(self.state["parts"])).cast("int")
@@ -106,6 +110,24 @@ class SellerMonthlyStore:
          .write.partitionBy("part").parquet(path))
         return sorted(int(n.removeprefix("part=")) for n in list_names(self.spark, path) if n.startswith("part="))
 
+    def _written(self, run: str, table: str, parts: Sequence[int]) -> DataFrame:
+        """What a batch wrote of a table."""
+        paths = [join_location(self.path, run, table, f"part={p}") for p in parts]
+        frame = self.spark.read.schema(self._schema(table))
+        return frame.parquet(*paths) if paths else self.spark.createDataFrame([], self._schema(table))
+
+    def _forget(self, run: str, former: set[str]) -> None:
+        """Remove batches that ``run`` has summed up, and the states that name them."""
+        for name in list_names(self.spark, self.path):
+            if name in former or name.startswith("state-") and name != f"state-{run}.json":
+                delete_path(self.spark, join_location(self.path, name))
+
+
+class SellerMonthlyStore(PartialStore):
+    """The stored view."""
+
+    tables = PARTIALS
+
     def apply(self, added: Changes, removed: Changes = Changes(), batch_id: str | None = None) -> bool:
         """Add a batch of changes. False if its id was applied before. Rows without an order id make no part of the view."""
         if batch_id is not None and batch_id in self.state["applied"]:
@@ -119,9 +141,7 @@ class SellerMonthlyStore:
                 frames.append(minus[t].withColumns({c: -F.col(c) for c in sums}))
             if frames:
                 parts[t] = self._write(_summed(frames, t).where("order_id IS NOT NULL"), run, t, "order_id")
-        delta = {t: (self.spark.read.schema(self._schema(t)).parquet(
-            *[join_location(self.path, run, t, f"part={p}") for p in parts[t]]) if parts[t]
-            else self.spark.createDataFrame([], self._schema(t))) for t in PARTIALS}
+        delta = {t: self._written(run, t, parts[t]) for t in PARTIALS}
         touched = reduce(lambda a, b: a.union(b), [d.select("order_id") for d in delta.values()]).distinct()
         held = {p for ps in parts.values() for p in ps}
         before = {t: _summed([self._read(t, held).join(touched, "order_id", "left_semi")], t) for t in PARTIALS}
@@ -163,6 +183,4 @@ class SellerMonthlyStore:
         self.sums().where(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in SUMS])).write.parquet(
             join_location(self.path, run, "view"))
         self._commit(run, [{"run": run, "parts": parts}], self.state["applied"])
-        for name in list_names(self.spark, self.path):
-            if name in former or name.startswith("state-") and name != f"state-{run}.json":
-                delete_path(self.spark, join_location(self.path, name))
+        self._forget(run, former)

@@ -21,6 +21,7 @@ from .plans import clean as C
 from .plans import measures as M
 from .plans import views as V
 from .plans.clean import CleanOptions
+from .plans.cohorts import CohortStore
 from .plans.cube import MeasureCube
 from .plans.incremental import Changes, SellerMonthlyStore
 from .plans.warehouse import driver_warehouse
@@ -381,14 +382,30 @@ SELECT os.seller_id, os.orders, os.items, os.gmv, os.on_time_rate, rv.avg_review
   CAST(RANK() OVER (ORDER BY os.gmv DESC NULLS LAST) AS BIGINT) AS gmv_rank
 FROM os LEFT JOIN rv ON rv.seller_id = os.seller_id"""))(_measure(M.seller_scorecard))
 
-register("first_purchase_cohort", O.with_ctes(f"""
+_COHORTS = O.with_ctes(f"""
 , pc AS (SELECT o.customer_id, MIN(o.order_purchase_timestamp) AS fp, COUNT(DISTINCT o.order_id) AS orders,
            SUM(t.gmv) AS gmv
          FROM dim_orders o LEFT JOIN {O.ORDER_TOTALS} t ON t.order_id = o.order_id
          WHERE o.customer_id IS NOT NULL GROUP BY o.customer_id)
 SELECT CAST(date_trunc('month', fp) AS TIMESTAMP) AS cohort_month, COUNT(*) AS customers,
   CAST(SUM(orders) AS BIGINT) AS orders, CAST(SUM(gmv) AS DECIMAL(38,2)) AS gmv
-FROM pc GROUP BY 1"""))(_measure(M.first_purchase_cohort))
+FROM pc GROUP BY 1""")
+register("first_purchase_cohort", _COHORTS)(_measure(M.first_purchase_cohort))
+
+
+@register("first_purchase_cohort_stored", _COHORTS)
+def q_first_purchase_cohort_stored(spark, sf_dir):
+    """Cohorts from a store that got the orders of the last year first, then all items, and the earlier orders last."""
+    w = driver_warehouse(spark, sf_dir)
+    orders = w["dim_orders"]
+    last = orders.agg(F.add_months(F.max("order_purchase_timestamp").cast("date"), -12).alias("since"))
+    late = F.coalesce(F.col("order_purchase_timestamp") >= F.col("since"), F.lit(False))
+    since = F.broadcast(last)  # one row
+    store = CohortStore(spark, f"{ensure_checkpoint_dir(spark)}/cohorts-{new_run()}")
+    store.apply(orders.join(since, late).select(*orders.columns), batch_id="recent")
+    store.apply(fact=w["fact_order_items"], batch_id="items")
+    store.apply(orders.join(since, ~late).select(*orders.columns), batch_id="history")
+    return store.view()
 
 
 @register("measures_by_state_status", O.with_ctes(f"""
