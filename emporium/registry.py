@@ -166,6 +166,15 @@ def q_dq_pk_duplicates(spark, sf_dir):
     return Q.pk_duplicates(driver_warehouse(spark, sf_dir))
 
 
+@register("dq_pk_duplicate_examples", O.with_ctes(f"""
+SELECT table_name, pk_value, duplicate_count
+FROM (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY pk_value) AS n
+      FROM ({O.pk_dups({t: list(s.pk) for t, s in TABLES.items()})}))
+WHERE n <= 5"""))
+def q_dq_pk_duplicate_examples(spark, sf_dir):
+    return Q.duplicate_examples(Q.pk_duplicates(driver_warehouse(spark, sf_dir)))
+
+
 @register("dq_orphans", O.with_ctes(O.orphans("fact_order_items")))
 def q_dq_orphans(spark, sf_dir):
     w = driver_warehouse(spark, sf_dir)
