@@ -332,9 +332,13 @@ def clean_order_items(raw: DataFrame, dim_orders: DataFrame, dim_products: DataF
     f = conform_order_items(raw)
     # Keep items whose order, product and seller survived cleaning. Semi joins never
     # duplicate fact rows; AQE picks broadcast or sort-merge per side from its size.
-    f = f.join(dim_orders.select("order_id"), "order_id", "left_semi")
     f = f.join(dim_products.select("product_id"), "product_id", "left_semi")
     f = f.join(dim_sellers.select("seller_id"), "seller_id", "left_semi")
+    # Orders last: what follows groups and joins items by order, and finds them dealt by order already. All
+    # shuffle partitions are kept, so that a task's share of the items does not depend on how AQE merges them. An
+    # inner join with distinct ids, since a semi join would move below the repartition and undo it.
+    parts = int(f.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    f = f.repartition(parts, "order_id").join(dim_orders.select("order_id").distinct(), "order_id")
     return _select_target(f, "fact_order_items", opts)
 
 
