@@ -164,33 +164,64 @@ def _table_checks(df: DataFrame, table: str, keys: Sequence[str], rules) -> Data
         "s.check_name", "table_name", "s.column_name", "s.bad_count")
 
 
+def _keyed_checks(df: DataFrame, table: str, keys: Sequence[str], rules, pk: Sequence[str],
+                  parents: Mapping[str, DataFrame]) -> DataFrame:
+    """``_table_checks`` with duplicate keys and orphans (``parents``: foreign key -> its dimension), in one pass.
+
+    Rows are counted per primary key first, so the key's duplicates and all other counts come from the same groups.
+    Each dimension's keys are joined once, as marks; the key that the rows are grouped by comes last and its
+    partitions serve the grouping too.
+    """
+    per_key = {"row_count": F.count(F.lit(1))}
+    labels: list[tuple[str, str, str | None]] = []  # (counted column, check, column)
+    for c in keys:
+        labels.append((f"null_{c}", "null_key", c))
+        per_key[f"null_{c}"] = F.count_if(F.col(c).isNull())
+    for i, (t, c, n, p) in enumerate(rules):
+        if t == table:
+            labels.append((f"range_{i}", f"range {n}", c))
+            per_key[f"range_{i}"] = F.count_if(F.expr(p))
+    for c in sorted(parents, key=lambda c: c in pk):
+        mark = f"__has_{c}"
+        df = df.join(parents[c].select(c).distinct().withColumn(mark, F.lit(True)), c, "left")
+        labels.append((f"orphan_{c}", "orphan", c))
+        per_key[f"orphan_{c}"] = F.count_if(F.col(mark).isNull())
+    counted = df.groupBy(*pk).agg(*[e.alias(f"__{n}") for n, e in per_key.items()])
+    labels.append(("dups", "pk_duplicate", None))
+    row = counted.agg(*[F.coalesce(F.sum(f"__{n}"), F.lit(0)).alias(n) for n in per_key],
+                      F.count_if(F.col("__row_count") > 1).alias("dups"))
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("check_name"), F.lit(c).cast("string").alias("column_name"),
+                 F.col(v).cast("long").alias("bad_count")) for v, n, c in labels]))
+    return row.select(F.lit(table).alias("table_name"), stacked.alias("s")).select(
+        "s.check_name", "table_name", "s.column_name", "s.bad_count")
+
+
 def gate_report(tables: Mapping[str, DataFrame], phase: str = "post_load") -> DataFrame:
     """All gates as one report: (phase, check_name, table_name, column_name, bad_count, status).
 
     One aggregate per table covers its null keys and range rules; the post-load
-    phase adds primary-key duplicates (grouped counts) and orphans (anti joins).
+    phase adds primary-key duplicates and orphans to the same pass over the table.
     """
-    keys = PRE_LOAD_NULL_KEYS if phase == "pre_load" else POST_LOAD_NULL_KEYS
-    per_table = _union([_table_checks(df, t, keys.get(t, []), RANGE_RULES) for t, df in tables.items()])
-    parts = [per_table.where(F.col("check_name") != "row_count")]
-    if phase != "pre_load":
-        dup = pk_duplicates(tables).groupBy("table_name").agg(F.count(F.lit(1)).alias("dups"))
-        spark = next(iter(tables.values())).sparkSession
-        all_tables = spark.createDataFrame([(t,) for t in tables], "table_name string")  # table names only
-        parts.append(all_tables.join(dup, "table_name", "left").select(
-            F.lit("pk_duplicate").alias("check_name"), "table_name",
-            F.lit(None).cast("string").alias("column_name"),
-            F.coalesce("dups", F.lit(0)).cast("long").alias("bad_count")))
-        if "fact_order_items" in tables:
-            orph = orphans(tables["fact_order_items"], tables).groupBy("fk_column").agg(
-                F.count(F.lit(1)).alias("n"))
-            fks = tables["fact_order_items"].sparkSession.createDataFrame(
-                [(c,) for c, _ in FK_CHECKS], "fk_column string")
-            parts.append(fks.join(orph, "fk_column", "left").select(
-                F.lit("orphan").alias("check_name"), F.lit("fact_order_items").alias("table_name"),
-                F.col("fk_column").alias("column_name"),
-                F.coalesce("n", F.lit(0)).cast("long").alias("bad_count")))
-    rep = _union(parts)
+    if phase == "pre_load":
+        rep = _union([_table_checks(df, t, PRE_LOAD_NULL_KEYS.get(t, []), RANGE_RULES) for t, df in tables.items()])
+        rep = rep.where(F.col("check_name") != "row_count")
+    else:
+        parts, zeros = [], []  # zeros: checks without anything to check
+        for t, df in tables.items():
+            keys = POST_LOAD_NULL_KEYS.get(t, [])
+            parents = ({c: tables[d] for c, d in FK_CHECKS if d in tables} if t == "fact_order_items" else {})
+            if t in TABLES:
+                parts.append(_keyed_checks(df, t, keys, RANGE_RULES, TABLES[t].pk, parents))
+            else:
+                parts.append(_table_checks(df, t, keys, RANGE_RULES).where(F.col("check_name") != "row_count"))
+                zeros.append(("pk_duplicate", t, None, 0))
+            if t == "fact_order_items":
+                zeros += [("orphan", t, c, 0) for c, d in FK_CHECKS if d not in tables]
+        if zeros:
+            parts.append(next(iter(tables.values())).sparkSession.createDataFrame(
+                zeros, "check_name string, table_name string, column_name string, bad_count long"))
+        rep = _union(parts)
     return rep.select(F.lit(phase).alias("phase"), "check_name", "table_name", "column_name", "bad_count",
                       F.when(F.col("bad_count") > 0, "fail").otherwise("ok").alias("status"))
 
