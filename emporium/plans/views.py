@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..functions import temporal as TM
-from ..operators.skewjoin import skew_join
+from ..operators.skewjoin import hot_keys_of, skew_join
 
 BASE_COLUMNS = ["order_id", "product_id", "seller_id", "order_item_id", "price", "freight_value",
                 "gmv_item", "order_status", "order_purchase_timestamp", "order_approved_at",
@@ -40,7 +40,8 @@ def base_order_items(fact: DataFrame, orders: DataFrame, products: DataFrame, ho
                       "order_delivered_customer_date", "order_estimated_delivery_date")
     p = products.select("product_id", "product_category_name")
     if hot_keys:
-        items = skew_join(skew_join(fact, p, "product_id", "left"), o, "order_id")
+        hot = hot_keys_of(fact, ["order_id", "product_id"])
+        items = skew_join(skew_join(fact, o, "order_id", hot=hot["order_id"]), p, "product_id", "left", hot["product_id"])
     else:
         items = fact.join(o, "order_id", "inner").join(p, "product_id", "left")
     return items.withColumn("gmv_item", F.col("price") + F.col("freight_value")).select(*BASE_COLUMNS)
