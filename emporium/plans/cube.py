@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, join_location
+from ..session import delete_path, ensure_checkpoint_dir, join_location
 from . import measures as M
 
 CELL, ONES = "__bucket", "__ones"
@@ -68,18 +68,31 @@ class MeasureCube:
         def write(df: DataFrame, table: str) -> None:
             df.write.mode("overwrite").parquet(join_location(path, table))
 
+        def write_cells(df: DataFrame, own: list[str], number: str, sums: dict[str, Column], table: str, distinct: str) -> None:
+            """Sums and bitmaps of the cells from one pass over the rows: both are made per cell and bucket first."""
+            n = F.col(number) + 1
+            made = join_location(path, f"_{table}")
+            (df.groupBy(*own, F.bitmap_bucket_number(n).alias(CELL))
+             .agg(*[c.alias(v) for v, c in sums.items()], F.bitmap_construct_agg(F.bitmap_bit_position(n)).alias(ONES))
+             .write.mode("overwrite").parquet(made))
+            cells = spark.read.parquet(made)
+            kinds = dict(cells.dtypes)
+            write(cells.groupBy(*own).agg(*[F.sum(v).cast(kinds[v]).alias(v) for v in sums]), table)
+            write(cells.where(F.col(CELL).isNotNull()).select(*own, CELL, ONES), distinct)
+            delete_path(spark, made)
+
         o = M.order_attributes(t)
         customers = dense_numbers(t["dim_orders"], "customer_id", "__customer")
         sellers = dense_numbers(t["fact_order_items"], "seller_id", "__seller")
         d, e = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
-        write(o.groupBy(*by).agg(F.count("order_id").alias("total_orders"),
-                                 F.count_if(d.isNotNull() & e.isNotNull() & (d <= e)).alias("_on_time"),
-                                 F.count_if(d.isNotNull()).alias("_delivered")), "orders")
-        write(bitmaps(o.join(customers, "customer_id").select(*by, "__customer"), by, "__customer"), "customers")
+        write_cells(o.join(customers, "customer_id", "left"), by, "__customer",
+                    {"total_orders": F.count("order_id"),
+                     "_on_time": F.count_if(d.isNotNull() & e.isNotNull() & (d <= e)),
+                     "_delivered": F.count_if(d.isNotNull())}, "orders", "customers")
         own = [*by, *item_by]
         items = M._item_attributes(t, item_by, None).join(o.select("order_id", *by), "order_id")
-        write(items.groupBy(*own).agg(M._money(F.sum("gmv")).alias("gmv"), F.sum("n_items").alias("items")), "items")
-        write(bitmaps(items.join(sellers, "seller_id").select(*own, "__seller"), own, "__seller"), "sellers")
+        write_cells(items.join(sellers, "seller_id", "left"), own, "__seller",
+                    {"gmv": M._money(F.sum("gmv")), "items": F.sum("n_items")}, "items", "sellers")
         write(M._payments_branch(t, o, by, list(payment_by)), "payments")
         write(M._reviews_branch(t, o, by, list(review_by)), "reviews")
         return cls(spark, path)
