@@ -51,10 +51,10 @@ class Changes:
         return {t: df for t, df in made.items() if df is not None}
 
 
-def _summed(frames: Sequence[DataFrame], table: str) -> DataFrame:
-    """The partials of several frames as one, one row a key."""
+def _summed(frames: Sequence[DataFrame], table: str, unique: bool = False) -> DataFrame:
+    """The partials of several frames as one, one row a key. ``unique``: there is one frame, and it is so already."""
     keys, sums = PARTIALS[table]
-    if len(frames) == 1:  # the partials of one frame have one row a key
+    if unique:
         return frames[0].select(*keys, *[F.col(c).cast(t).alias(c) for c, t in sums.items()])
     return (reduce(lambda a, b: a.unionByName(b), frames).groupBy(*keys)
             .agg(*[F.sum(c).cast(t).alias(c) for c, t in sums.items()]))
@@ -104,11 +104,6 @@ class PartialStore:
         frame = self.spark.read.schema(self._schema(table))
         return frame.parquet(*paths) if paths else self.spark.createDataFrame([], self._schema(table))
 
-    def _frames(self, table: str, parts: set[int]) -> list[DataFrame]:
-        """Stored partials of these parts, a frame for each batch that has some."""
-        paths = {r["run"]: [p for p in r["parts"][table] if p in parts] for r in self.state["runs"]}
-        return [self._written(run, table, some) for run, some in paths.items() if some]
-
     def _write(self, df: DataFrame, run: str, table: str, key: str) -> list[int]:
         """Write rows by part; the parts that there are."""
         path = join_location(self.path, run, table)
@@ -147,16 +142,16 @@ class SellerMonthlyStore(PartialStore):
             if t in minus:
                 frames.append(minus[t].withColumns({c: -F.col(c) for c in sums}))
             if frames:
-                parts[t] = self._write(_summed(frames, t).where("order_id IS NOT NULL"), run, t, "order_id")
+                parts[t] = self._write(_summed(frames, t, len(frames) == 1).where("order_id IS NOT NULL"), run, t, "order_id")
         delta = {t: self._written(run, t, parts[t]) for t in PARTIALS}
         held = {p for ps in parts.values() for p in ps}
-        stored = {t: self._frames(t, held) for t in PARTIALS}
-        if any(stored.values()):
+        batches = {t: sum(not held.isdisjoint(r["parts"][t]) for r in self.state["runs"]) for t in PARTIALS}
+        if any(batches.values()):
             touched = reduce(lambda a, b: a.union(b), [delta[t].select("order_id") for t in PARTIALS if parts[t]]).distinct()
-            before = {t: (_summed([f.join(touched, "order_id", "left_semi") for f in fs], t) if fs else self._read(t, set()))
-                      for t, fs in stored.items()}
+            before = {t: _summed([self._read(t, held).join(touched, "order_id", "left_semi")], t, n < 2)
+                      for t, n in batches.items()}
             # what a table lacks on one side needs no sum
-            after = {t: delta[t] if not stored[t] else _summed([before[t], delta[t]], t) if parts[t] else before[t] for t in PARTIALS}
+            after = {t: delta[t] if not batches[t] else _summed([before[t], delta[t]], t) if parts[t] else before[t] for t in PARTIALS}
             old = contributions(**before)
             change = contributions(**after).unionByName(old.withColumns({c: -F.col(c) for c in SUMS}))
         else:  # nothing is held of these orders
@@ -191,7 +186,7 @@ class SellerMonthlyStore(PartialStore):
         run, former = new_run(), {r["run"] for r in self.state["runs"]}
         parts = {}
         for t, (_, sums) in PARTIALS.items():
-            rows = _summed(self._frames(t, set(range(self.state["parts"]))) or [self._read(t)], t).where(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in sums]))
+            rows = _summed([self._read(t)], t).where(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in sums]))
             parts[t] = self._write(rows, run, t, "order_id")
         self.sums().where(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in SUMS])).write.parquet(
             join_location(self.path, run, "view"))
