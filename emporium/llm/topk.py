@@ -4,9 +4,11 @@ Vectors are rotated by the right singular vectors of all candidates (from the su
 products), so leading coordinates carry most of an inner product. Candidates are cut into blocks
 in descending length. A query skips a block when the product of the lengths is below its k-th score, and a
 vector when the partial sum over the leading coordinates plus the Cauchy-Schwarz bound of the
-residuals is below it; survivors are scored by integer arithmetic. Every query starts with the
+residuals is below it; where many pass, the sum over the other coordinates follows for the rows and columns
+that have any. Sums are products of whole blocks; survivors are scored by integer arithmetic. Every query starts with the
 k-th score of the longest block. Candidate groups and query groups form a grid whose cells are
-tasks of bounded size; each cell returns at most k rows for a query.
+tasks of bounded size; each cell returns at most k rows for a query. Where the bounds discard
+nothing (directions spread evenly over all coordinates) each query still meets every candidate.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part, nor do rows
 without an id; a missing trailing component counts as zero; rows that share the query's id are
@@ -26,10 +28,12 @@ from pyspark.sql import functions as F
 from .common import key_runs, materialize, to_batch
 
 BLOCK = 4096          # candidates in a block
-BLOCKS_PER_GROUP = 8  # blocks of a candidate group
+BLOCKS_PER_GROUP = 128  # most blocks of a candidate group
 QUERY_BLOCK = 512     # queries scored together
-BLOCKS_PER_QUERY_GROUP = 8
-SLACK = 1e-6          # relative margin over rounding in the bounds
+BLOCKS_PER_QUERY_GROUP = 256
+SLACK = 4 * 2.0 ** -24  # relative margin for each coordinate over rounding in the bounds, which are floats of 32 bits
+FEW = 1 / 64          # share of a block's pairs that are scored without the other coordinates
+CROWD = 16            # times k: rows above a floor that is worth raising
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -83,8 +87,9 @@ def packed(rows: DataFrame, order: list[Column], size: int, dim: int, label: str
 
         def block(n: int) -> pa.RecordBatch:
             longest = float(np.sqrt((x[:n] ** 2).sum(1).max()))
+            values = x[:n].astype(np.int16) if longest < 2 ** 15 else x[:n]
             return to_batch(schema, {"part": [part], "nth": [nth], "longest": [longest], "ids": [ids[:n].tobytes()],
-                                     "vectors": [x[:n].tobytes()]})
+                                     "vectors": [values.tobytes()]})
 
         for batch in batches:
             ids = np.concatenate([ids, batch.column(0).to_numpy()])
@@ -99,33 +104,72 @@ def packed(rows: DataFrame, order: list[Column], size: int, dim: int, label: str
     return materialize(ordered.select("id", "v").mapInArrow(run, schema), label)
 
 
+def factors(y: np.ndarray, lead: int, scale: np.ndarray | float, sign: float) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled rotated rows as factors of two products: leading coordinates with the residual's length, which gives
+    the bound, and the other coordinates with that length taken back, which makes the bound the score."""
+    y = y / scale
+    rest = np.sqrt((y[:, lead:] ** 2).sum(1))[:, None]
+    return (np.hstack([y[:, :lead], rest]).astype(np.float32),
+            np.hstack([y[:, lead:], sign * rest]).astype(np.float32))
+
+
+class Block:
+    """Consecutive candidates, rotated once for all queries that see them."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, longest: float, turn: np.ndarray, lead: int):
+        self.ids, self.x, self.longest, self.scale = ids, x, longest, longest or 1.0
+        self.lead, self.tail = factors(x @ turn, lead, self.scale, 1.0)
+
+
 class Best:
     """The k best rows of each query of a block: higher score first, smaller id on ties."""
 
-    def __init__(self, query_ids: np.ndarray, q: np.ndarray, k: int, v: np.ndarray, lead: int, floor: np.ndarray):
-        self.ids, self.q, self.k, self.lead = query_ids, q, k, lead
-        self.rotated, self.turn, self.floor = q @ v, v, floor.copy()
-        self.length = np.sqrt((q ** 2).sum(1))
-        self.rest = np.sqrt((self.rotated[:, lead:] ** 2).sum(1))
+    def __init__(self, query_ids: np.ndarray, q: np.ndarray, k: int, turn: np.ndarray, lead: int, floor: np.ndarray):
+        self.ids, self.q, self.k, self.floor = query_ids, q, k, floor.copy()
+        self.length = np.sqrt((q.astype(np.float64) ** 2).sum(1))
+        self.scale = np.where(self.length > 0, self.length, 1.0)
+        self.lead, self.tail = factors(q @ turn, lead, self.scale[:, None], -1.0)
+        self.slack = SLACK * (len(turn) + 4)
         self.found = np.zeros((0, 3), np.int64)  # query number, id, score
 
-    def see(self, ids: np.ndarray, x: np.ndarray, longest: float) -> None:
-        margin = SLACK * self.length * longest + 0.25
-        active = np.flatnonzero(self.length * longest + margin >= self.floor)
-        if not len(active):
+    def see(self, block: Block) -> None:
+        scale = self.scale * block.scale
+        margin = self.slack * scale + 0.25
+        rows = np.flatnonzero(self.length * block.longest + margin >= self.floor)
+        if not len(rows):
+            return
+
+        def least(r: np.ndarray) -> np.ndarray:
+            return ((self.floor[r] - margin[r]) / scale[r]).astype(np.float32)[:, None]
+
+        bound = self.lead[rows] @ block.lead.T
+        both = np.flatnonzero(np.isin(block.ids, self.ids[rows]))
+        i, j = np.nonzero(self.ids[rows][:, None] == block.ids[both][None, :])
+        bound[i, both[j]] = -np.inf
+        may = bound >= least(rows)
+        columns = np.arange(len(block.ids))
+        if np.count_nonzero(may) > may.size * FEW:
+            r, c = np.flatnonzero(may.any(1)), np.flatnonzero(may.any(0))
+            if len(r) * len(c) < may.size // 2:
+                rows, columns, bound = rows[r], columns[c], bound[np.ix_(r, c)]
+            bound += self.tail[rows] @ block.tail[columns].T
+            may = bound >= least(rows)
+            crowded = np.flatnonzero(np.count_nonzero(may, axis=1) > CROWD * self.k)
+            if len(crowded) and len(columns) >= self.k:  # these are scores but for the margin: k of them raise the floor
+                kth = np.partition(bound[crowded], len(columns) - self.k, axis=1)[:, len(columns) - self.k]
+                r = rows[crowded]
+                self.floor[r] = np.maximum(self.floor[r], kth * scale[r] - margin[r])
+                may[crowded] = bound[crowded] >= least(r)
+        hit = np.flatnonzero(may)
+        hit = hit[bound.ravel()[hit] > -np.inf]
+        if not len(hit):
             return
-        y = x @ self.turn
-        rest = np.sqrt((y[:, self.lead:] ** 2).sum(1))
-        bound = self.rotated[active, :self.lead] @ y[:, :self.lead].T + self.rest[active, None] * rest[None, :]
-        qi, xi = np.nonzero(bound + margin[active, None] >= self.floor[active, None])
-        qi = active[qi]
-        own = self.ids[qi] != ids[xi]
-        qi, xi = qi[own], xi[own]
+        qi, xi = rows[hit // len(columns)], columns[hit % len(columns)]
         score = np.empty(len(qi))
         for at in range(0, len(qi), 1 << 17):
             s = slice(at, at + (1 << 17))
-            score[s] = np.einsum("ij,ij->i", self.q[qi[s]], x[xi[s]])
-        self.keep(np.stack([qi, ids[xi], np.rint(score).astype(np.int64)], 1))
+            score[s] = np.einsum("ij,ij->i", self.q[qi[s]].astype(np.float64), block.x[xi[s]].astype(np.float64))
+        self.keep(np.stack([qi, block.ids[xi], np.rint(score).astype(np.int64)], 1))
 
     def keep(self, more: np.ndarray) -> None:
         rows = np.concatenate([self.found, more])
@@ -154,7 +198,9 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
     asked = packed(queries, [F.col("id")], QUERY_BLOCK, dim, "queries")
 
     def decode(ids: bytes, x: bytes) -> tuple[np.ndarray, np.ndarray]:
-        return np.frombuffer(ids, np.int64), np.frombuffer(x, np.float64).reshape(-1, dim)
+        numbers = np.frombuffer(ids, np.int64)
+        small = len(x) == 2 * dim * len(numbers)
+        return numbers, np.frombuffer(x, np.int16 if small else np.float64).reshape(-1, dim)
 
     # The longest block gives every query a first k-th score; it is one block, whatever the input.
     head = spark.sparkContext.broadcast([decode(r["ids"], r["vectors"]) + (r["longest"],) for r in
@@ -170,15 +216,16 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
                 ids, q = decode(packed_ids, packed_vectors)
                 best = Best(ids, q, k, turn, lead, np.full(len(ids), -np.inf))
                 for block in head.value:
-                    best.see(*block)
+                    best.see(Block(*block, turn, lead))
                 out["floor"].append(best.floor.tobytes())
             yield to_batch(seeded_schema, out)
 
     # The grid: every query group meets every candidate group once. A group mixes blocks of all
     # lengths, so each cell sees long vectors first.
     seeded = asked.mapInArrow(first_floor, seeded_schema)
-    n_c = -(-cand.count() // BLOCKS_PER_GROUP)
+    blocks = cand.count()
     n_q = max(1, -(-asked.count() // BLOCKS_PER_QUERY_GROUP))
+    n_c = max(-(-blocks // BLOCKS_PER_GROUP), min(blocks, -(-2 * spark.sparkContext.defaultParallelism // n_q)))
     block = F.xxhash64("part", "nth")
     cells = (seeded.select(F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("c"),
                            F.pmod(block, F.lit(n_q)).cast("int").alias("q"), F.lit(0).alias("kind"),
@@ -187,7 +234,7 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
                                       F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("q"),
                                       F.lit(1).alias("kind"), "longest", "ids", "vectors",
                                       F.lit(None).cast("binary").alias("floor"))))
-    dealt = (cells.withColumn("cell", F.xxhash64("c", "q")).repartition("cell")
+    dealt = (cells.withColumn("cell", F.xxhash64("c", "q")).repartition(2 * n_c * n_q, "cell")
              .sortWithinPartitions("cell", "c", "q", "kind", F.col("longest").desc()))
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,8 +254,9 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
                 if r["kind"] == 0:
                     bests.append(Best(ids, x, k, turn, lead, np.frombuffer(r["floor"], np.float64)))
                     continue
+                seen = Block(ids, x, r["longest"], turn, lead)
                 for best in bests:
-                    best.see(ids, x, r["longest"])
+                    best.see(seen)
         yield result()
 
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
