@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from .conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "conversations",
-          "documents", "embeddings", "labels"]
+          "documents", "embeddings", "labels", "pages"]
 
 
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
