@@ -227,3 +227,50 @@ def test_columns_with_the_names_used_inside_survive(spark):
 def test_empty_table(no_documents):
     assert S.remove_repeated_bytes(no_documents).count() == 0
     assert S.cut_repeated_bytes(no_documents).count() == 0
+
+
+def test_only_windows_that_may_repeat_are_sorted(monkeypatch):
+    """Segments of one key share a passage; the rest of each occurs once and is not sorted."""
+    rng = random.Random(31)
+    text = lambda n: bytes(rng.choice(b"abcdefghij ") for _ in range(n))
+    shared = text(700)
+    data = sorted(text(600) + shared + text(600) for _ in range(12)) + [b"of " * 300]
+    rows = [(0, 1 + (d[:3] == b"of "), d, S.squeeze(*np.array([[i], [9], [40]]))) for i, d in enumerate(data)]
+    rows += [(0, 3, shared, S.squeeze(*np.array([[50, 150], [9, 9], [5, 7]])))]
+    other = text(901)
+    rows += [(0, 4, other[:900], S.squeeze(*np.array([list(range(200, 300)), [9] * 100, [0] * 100])))]
+    rows += [(0, 4, other, S.squeeze(*np.array([[400], [9], [0]])))]
+    taken = []
+    monkeypatch.setattr(S, "repeated_starts", lambda pieces, width: I.repeated_starts(taken.append(list(pieces)) or taken[-1], width))
+    got = {(r, at + i) for run in S.sorted_runs(iter(rows), 400, 1 << 20) for r, _, at, n in zip(*(c.tolist() for c in run))
+           for i in range(n)}
+    want = set()
+    for key in (1, 2, 4):
+        mine = [(d, S.expand(p)) for _, k, d, p in rows if k == key]
+        count = Counter(d[i:i + 400] for d, (rank, _, _) in mine for i in range(len(d) - 399) for _ in rank)
+        want |= {(int(r), int(at) + i) for d, (rank, _, start) in mine for r, at in zip(rank, start)
+                 for i in range(len(d) - 399) if count[d[i:i + 400]] > 1}
+    want |= {(r, at + i) for r, at in ((50, 5), (150, 7)) for i in range(301)}
+    assert got == want
+    assert sum(map(len, taken[0])) < 12 * 710 + 1_200 + 2 * 910  # of 12 * 1,900 and those
+
+
+def test_common_prefixes_of_seeds_equal_a_plain_comparison(tmpdir_path):
+    rng = random.Random(17)
+    for depth in (1, 7, 40, 400):
+        for letters in (b"ab", b"abcdefgh", b"a"):
+            base = bytes(rng.choice(letters) for _ in range(600))
+            raw = b"".join(rng.choice([base, base[:300], base[17:500]]) + bytes([rng.choice(letters)]) * rng.randint(0, 9)
+                           for _ in range(6))
+            text = np.append(np.frombuffer(raw, np.uint8).astype(np.uint16) + 2, 0).astype(np.uint16)
+            order = I.Inducer(text, tmpdir_path, 1 << 20, depth).sorted_seeds()
+            want = [0] + [next((i for i in range(depth) if text[a + i] != text[b + i]), depth)
+                          for a, b in zip(order[:-1].tolist(), order[1:].tolist())]
+            assert I.common_prefixes(text, order, depth).tolist() == want[:len(order)]
+
+
+def test_hashes_of_all_strings_are_those_of_spans():
+    buf = np.frombuffer(b"of the " * 90 + b"x", np.uint8)
+    at = np.arange(len(buf) - 49)
+    lane = rolling.Hasher(3)
+    assert (lane.every(buf, 50) == lane.spans(buf, at, at + 50)).all() and not len(lane.every(buf[:9], 50))
